@@ -14,6 +14,9 @@ from outpour.operators.conform import conform, quoted
 
 BATCH_COLUMNS = ["bucket", "batch_no", "item_number"]
 
+# Batches of one bucket that stay together when unfolded rows are spread over the tasks.
+SPREAD_BATCHES = 64
+
 
 def number_batches(
     df: DataFrame,
@@ -34,70 +37,61 @@ def number_batches(
     A bucket is one window group, so it has to stay small as the table grows. By default it is
     a hash; a caller's ``bucket`` should have bounded groups (blocks of ids), or be cut into
     ``slices`` by hash. Copies of a row cannot be told apart by any hash, so they are first
-    folded into runs of at most ``batch_size`` copies with a count, numbered as runs and unfolded
-    after the last shuffle, which is by batch. ``unique_rows=True`` promises that there are no
-    copies and saves that: one shuffle instead of three.
+    folded into one row with a count, and unfolded after they have been numbered and spread
+    again. ``unique_rows=True`` promises that there are no copies and saves that: one shuffle
+    instead of three.
     """
     if batch_size < 1 or slices < 1:
         raise ValueError("batch_size and slices must be at least 1")
     columns = [F.col(quoted(name)) for name in df.columns]
-    numbered = only if only is not None else F.lit(True)
-    runs = df.withColumn("__numbered", F.coalesce(numbered, F.lit(False)))
-    if unique_rows:
-        runs = runs.withColumn("__run", F.lit(0).cast("long"))
-    else:
-        runs = _runs_of_copies(runs, batch_size)
-    spread = [*columns, F.col("__run")]
+    rows = df.withColumn("__numbered", F.lit(True) if only is None else F.coalesce(only, F.lit(False)))
+    if not unique_rows:
+        rows = rows.groupBy(*columns, "__numbered").agg(F.count(F.lit(1)).alias("__copies"))
     if bucket is None:
         count = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        by = [F.col(name) for name in key] if unique_rows else spread
-        label = F.pmod(F.xxhash64(*by), F.lit(4 * count))
-    else:
-        label = bucket
+        hashed = [F.col(name) for name in key] if unique_rows else columns
+        bucket = F.pmod(F.xxhash64(*hashed), F.lit(4 * count))
     if slices > 1:
-        label = label * slices + F.pmod(F.xxhash64(*spread), F.lit(slices))
-    runs = runs.withColumn("bucket", label.cast("long"))
+        bucket = bucket * slices + F.pmod(F.xxhash64(*columns), F.lit(slices))
+    rows = rows.withColumn("bucket", bucket.cast("long"))
     if parallelism is not None:
-        runs = runs.repartition(parallelism, "bucket")
+        rows = rows.repartition(parallelism, "bucket")
 
-    order = [*key, F.xxhash64(*columns), "__run"]
-    window = W.partitionBy("bucket", "__numbered").orderBy(*order)
-    size = F.lit(batch_size)
+    window = W.partitionBy("bucket", "__numbered").orderBy(*key, F.xxhash64(*columns))
     if unique_rows:
-        placed = runs.withColumn("__at", F.row_number().over(window) - 1)
-        placed = placed.withColumn("batch_no", F.expr(f"__at div {batch_size}"))
-        placed = placed.withColumn("item_number", F.col("__at") % size + 1)
+        placed = rows.withColumn("__place", F.row_number().over(window).cast("long") - 1)
     else:
-        placed = _unfold(runs, window, batch_size, parallelism)
-    numbers = {"bucket": "long", "batch_no": "long", "item_number": "int"}
-    return placed.select(
+        placed = _unfold(rows, window, SPREAD_BATCHES * batch_size, parallelism)
+    placed = placed.select(
         *columns,
-        *[F.when(F.col("__numbered"), F.col(n)).cast(t).alias(n) for n, t in numbers.items()],
+        "__numbered",
+        "bucket",
+        F.expr(f"__place div {batch_size}").alias("batch_no"),
+        (F.col("__place") % batch_size + 1).cast("int").alias("item_number"),
     )
+    if only is None:
+        return placed.drop("__numbered")
+    numbers = [F.when(F.col("__numbered"), F.col(name)).alias(name) for name in BATCH_COLUMNS]
+    return placed.select(*columns, *numbers)
 
 
-def _runs_of_copies(rows: DataFrame, batch_size: int) -> DataFrame:
-    """Equal rows folded into runs of at most ``batch_size`` copies: ``__run``, ``__copies``."""
-    folded = rows.groupBy(*[F.col(quoted(name)) for name in rows.columns]).agg(F.count(F.lit(1)).alias("__total"))
-    run = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__total - 1) div {batch_size}")))
-    runs = folded.withColumn("__run", run)
-    left = F.col("__total") - F.col("__run") * batch_size
-    return runs.withColumn("__copies", F.least(F.lit(batch_size).cast("long"), left)).drop("__total")
-
+def _unfold(rows: DataFrame, window: W, span: int, parallelism: int | None) -> DataFrame:
+    """Give each of a row's ``__copies`` its place in the bucket.
 
-def _unfold(runs: DataFrame, window: W, batch_size: int, parallelism: int | None) -> DataFrame:
-    """Number runs by their copies, cut them where a batch ends, and unfold them batch by batch."""
+    The places of a row are cut into spans, the spans are spread over all tasks, and only there
+    unfolded, so a row with very many copies is nobody's burden.
+    """
+    zero = F.lit(0).cast("long")
     before = F.sum("__copies").over(window.rowsBetween(W.unboundedPreceding, -1))
-    placed = runs.withColumn("__at", F.coalesce(before, F.lit(0).cast("long")))
-    placed = placed.withColumn("__end", F.col("__at") + F.col("__copies") - 1)
-    batches = F.explode(F.expr(f"sequence(__at div {batch_size}, __end div {batch_size})"))
-    placed = placed.withColumn("batch_no", batches)
-    start = F.col("batch_no") * batch_size
-    first = F.greatest(F.col("__at") - start, F.lit(0)) + 1
-    last = F.least(F.col("__end") - start, F.lit(batch_size - 1)) + 1
-    by_batch = ["bucket", "__numbered", "batch_no"]
-    placed = placed.repartition(parallelism, *by_batch) if parallelism else placed.repartition(*by_batch)
-    return placed.withColumn("item_number", F.explode(F.sequence(first, last)))
+    placed = rows.withColumn("__first", F.coalesce(before, zero))
+    placed = placed.withColumn("__last", F.col("__first") + F.col("__copies") - 1)
+    spans = F.explode(F.expr(f"sequence(__first div {span}, __last div {span})"))
+    placed = placed.withColumn("__span", spans)
+    where = ["bucket", "__span"]
+    placed = placed.repartition(parallelism, *where) if parallelism else placed.repartition(*where)
+    start = F.col("__span") * span
+    places = F.sequence(F.greatest("__first", start), F.least("__last", start + span - 1))
+    return placed.withColumn("__place", F.explode(places))
 
 
 def has_user_ids(context: Context) -> Column:
