@@ -47,8 +47,8 @@ def number_batches(
     rows = df.withColumn("__numbered", F.lit(True) if only is None else F.coalesce(only, F.lit(False)))
     if not unique_rows:
         rows = rows.groupBy(*columns, "__numbered").agg(F.count(F.lit(1)).alias("__copies"))
+    count = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if bucket is None:
-        count = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         hashed = [F.col(name) for name in key] if unique_rows else columns
         bucket = F.pmod(F.xxhash64(*hashed), F.lit(4 * count))
     if slices > 1:
@@ -61,7 +61,7 @@ def number_batches(
     if unique_rows:
         placed = rows.withColumn("__place", F.row_number().over(window).cast("long") - 1)
     else:
-        placed = _unfold(rows, window, SPREAD_BATCHES * batch_size, parallelism)
+        placed = _unfold(rows, window, SPREAD_BATCHES * batch_size, count)
     placed = placed.select(
         *columns,
         "__numbered",
@@ -75,11 +75,12 @@ def number_batches(
     return placed.select(*columns, *numbers)
 
 
-def _unfold(rows: DataFrame, window: W, span: int, parallelism: int | None) -> DataFrame:
+def _unfold(rows: DataFrame, window: W, span: int, parallelism: int) -> DataFrame:
     """Give each of a row's ``__copies`` its place in the bucket.
 
     The places of a row are cut into spans, the spans are spread over all tasks, and only there
-    unfolded, so a row with very many copies is nobody's burden.
+    unfolded, so a row with very many copies is nobody's burden. The number of tasks is given,
+    since Spark would otherwise merge the small folded partitions.
     """
     zero = F.lit(0).cast("long")
     before = F.sum("__copies").over(window.rowsBetween(W.unboundedPreceding, -1))
@@ -87,8 +88,7 @@ def _unfold(rows: DataFrame, window: W, span: int, parallelism: int | None) -> D
     placed = placed.withColumn("__last", F.col("__first") + F.col("__copies") - 1)
     spans = F.explode(F.expr(f"sequence(__first div {span}, __last div {span})"))
     placed = placed.withColumn("__span", spans)
-    where = ["bucket", "__span"]
-    placed = placed.repartition(parallelism, *where) if parallelism else placed.repartition(*where)
+    placed = placed.repartition(parallelism, "bucket", "__span")
     start = F.col("__span") * span
     places = F.sequence(F.greatest("__first", start), F.least("__last", start + span - 1))
     return placed.withColumn("__place", F.explode(places))
