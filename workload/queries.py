@@ -43,8 +43,6 @@ DSR = [
 SENT_AT = datetime(2024, 2, 1, 12, 0, 0)
 SENT_AGAIN_AT = datetime(2024, 2, 2, 12, 0, 0)
 
-# Batches by key: blocks of ids, which stay bounded however many there are.
-BATCH = {"batch_size": 25, "key": ["event_id"], "bucket": F.expr("event_id div 500")}
 STATUS = ["event_id", "success", "error_code", "error_message", "processed_timestamp"]
 
 
@@ -54,9 +52,14 @@ def query(function: Query) -> Query:
 
 
 def _block(key: str):
+    """Bucket of a numbered batch: blocks of ids, which stay bounded however many there are."""
     return F.expr(f"{key} div 500")
 
 
+def _by_event() -> dict:
+    return {"batch_size": 25, "key": ["event_id"], "bucket": _block("event_id"), "processed_at": SENT_AT}
+
+
 # --- contracts ---------------------------------------------------------------------------------
 
 
@@ -271,9 +274,7 @@ def request_bodies(spark, sf_dir):
 
 @query
 def deliver_status(spark, sf_dir):
-    delivered = deliver(
-        memberships(spark, sf_dir), FIRST_PARTY, senders.reject_fifth_batches, processed_at=SENT_AT, **BATCH
-    )
+    delivered = deliver(memberships(spark, sf_dir), FIRST_PARTY, senders.reject_fifth_batches, **_by_event())
     return times(delivered, "timestamp_ntz")
 
 
@@ -287,7 +288,7 @@ def deliver_in_arrival_order(spark, sf_dir):
 
 @query
 def transient_failures(spark, sf_dir):
-    delivered = deliver(memberships(spark, sf_dir), FIRST_PARTY, senders.break_often, processed_at=SENT_AT, **BATCH)
+    delivered = deliver(memberships(spark, sf_dir), FIRST_PARTY, senders.break_often, **_by_event())
     return times(delivered.select(*STATUS), "timestamp_ntz")
 
 
