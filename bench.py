@@ -45,8 +45,8 @@ HEADLINES = [
     "adhoc_push",
     "batch_run",
     "stream_increment",
-    "status_by_code",
-    "retry_rows",
+    "status_summary",
+    "retry_set",
     "replay_skip",
 ]
 

@@ -7,12 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outpour.contracts import Context
+from outpour.errors import ContractError
 from outpour.functions.identity import has_unknown_user_id, identity_field
 from outpour.functions.payloads import item_json
 from outpour.operators.checks import rejection_reasons
-from outpour.operators.conform import conform, quoted
+from outpour.operators.conform import conform, missing_columns, quoted
 
-BATCH_COLUMNS = ["bucket", "batch_no", "item_number"]
+BATCH_COLUMNS = ("bucket", "batch_no", "item_number")
 
 # Batches of one bucket that stay together when unfolded rows are spread over the tasks.
 SPREAD_BATCHES = 64
@@ -22,11 +23,12 @@ def number_batches(
     df: DataFrame,
     batch_size: int,
     key: list[str],
-    bucket: Column | None = None,
+    bucket: Column | int | None = None,
     slices: int = 1,
     unique_rows: bool = False,
     only: Column | None = None,
     parallelism: int | None = None,
+    names: tuple[str, str, str] = BATCH_COLUMNS,
 ) -> DataFrame:
     """Add ``bucket``, ``batch_no`` (from 0) and ``item_number`` (from 1).
 
@@ -34,48 +36,50 @@ def number_batches(
     are ordered by ``key`` and cut into batches of ``batch_size``, the last one short. Rows that
     fail ``only`` are kept with null numbers.
 
-    A bucket is one window group, so it has to stay small as the table grows. By default it is
-    a hash; a caller's ``bucket`` should have bounded groups (blocks of ids), or be cut into
-    ``slices`` by hash. Copies of a row cannot be told apart by any hash, so they are first
-    folded into one row with a count, and unfolded after they have been numbered and spread
-    again. ``unique_rows=True`` promises that there are no copies and saves that: one shuffle
-    instead of three.
+    A bucket is one window group and ends in one short batch, so it should be large against
+    ``batch_size``, yet must not grow with the table. It is a hash into as many buckets as given
+    (by default as there are shuffle partitions), or a caller's Column: one with bounded groups,
+    such as blocks of ids, or one cut into ``slices`` by hash.
+
+    Copies of a row cannot be told apart by any hash, so they are first folded into one row with
+    a count, and unfolded after they have been numbered and spread again. ``unique_rows=True``
+    promises that there are no copies and saves that: one shuffle instead of three.
     """
     if batch_size < 1 or slices < 1:
         raise ValueError("batch_size and slices must be at least 1")
+    clashing = [name for name in names if name not in missing_columns(df, list(names))]
+    if clashing:
+        raise ContractError(f"the frame to be numbered has the columns {clashing} already", clashing, "batches")
     columns = [F.col(quoted(name)) for name in df.columns]
     rows = df.withColumn("__numbered", F.lit(True) if only is None else F.coalesce(only, F.lit(False)))
     if not unique_rows:
         rows = rows.groupBy(*columns, "__numbered").agg(F.count(F.lit(1)).alias("__copies"))
-    count = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if bucket is None:
+    tasks = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if bucket is None or isinstance(bucket, int):
         hashed = [F.col(name) for name in key] if unique_rows else columns
-        bucket = F.pmod(F.xxhash64(*hashed), F.lit(4 * count))
+        bucket = F.pmod(F.xxhash64(*hashed), F.lit(bucket or tasks))
     if slices > 1:
         bucket = bucket * slices + F.pmod(F.xxhash64(*columns), F.lit(slices))
-    rows = rows.withColumn("bucket", bucket.cast("long"))
+    rows = rows.withColumn("__bucket", bucket.cast("long"))
     if parallelism is not None:
-        rows = rows.repartition(parallelism, "bucket")
+        rows = rows.repartition(parallelism, "__bucket")
 
-    window = W.partitionBy("bucket", "__numbered").orderBy(*key, F.xxhash64(*columns))
+    window = W.partitionBy("__bucket", "__numbered").orderBy(*key, F.xxhash64(*columns))
     if unique_rows:
         placed = rows.withColumn("__place", F.row_number().over(window).cast("long") - 1)
     else:
-        placed = _unfold(rows, window, SPREAD_BATCHES * batch_size, count)
-    placed = placed.select(
-        *columns,
-        "__numbered",
-        "bucket",
-        F.expr(f"__place div {batch_size}").alias("batch_no"),
-        (F.col("__place") % batch_size + 1).cast("int").alias("item_number"),
-    )
-    if only is None:
-        return placed.drop("__numbered")
-    numbers = [F.when(F.col("__numbered"), F.col(name)).alias(name) for name in BATCH_COLUMNS]
-    return placed.select(*columns, *numbers)
-
-
-def _unfold(rows: DataFrame, window: W, span: int, parallelism: int) -> DataFrame:
+        placed = _unfold(rows, window, SPREAD_BATCHES * batch_size, tasks)
+    numbers = [
+        F.col("__bucket"),
+        F.expr(f"__place div {batch_size}"),
+        (F.col("__place") % batch_size + 1).cast("int"),
+    ]
+    if only is not None:
+        numbers = [F.when(F.col("__numbered"), number) for number in numbers]
+    return placed.select(*columns, *[number.alias(name) for number, name in zip(numbers, names)])
+
+
+def _unfold(rows: DataFrame, window: W, span: int, tasks: int) -> DataFrame:
     """Give each of a row's ``__copies`` its place in the bucket.
 
     The places of a row are cut into spans, the spans are spread over all tasks, and only there
@@ -88,7 +92,7 @@ def _unfold(rows: DataFrame, window: W, span: int, parallelism: int) -> DataFram
     placed = placed.withColumn("__last", F.col("__first") + F.col("__copies") - 1)
     spans = F.explode(F.expr(f"sequence(__first div {span}, __last div {span})"))
     placed = placed.withColumn("__span", spans)
-    placed = placed.repartition(parallelism, "bucket", "__span")
+    placed = placed.repartition(tasks, "__bucket", "__span")
     start = F.col("__span") * span
     places = F.sequence(F.greatest("__first", start), F.least("__last", start + span - 1))
     return placed.withColumn("__place", F.explode(places))

@@ -24,12 +24,15 @@ from pyspark.sql import types as T
 from outpour.contracts import STATUS_FIELDS, Context
 from outpour.errors import fatal_text
 from outpour.functions.attribution import attribute_batch, status_phrase
-from outpour.operators.batches import BATCH_COLUMNS, number_batches, shape
+from outpour.operators.batches import number_batches, shape
 from outpour.operators.checks import rejection_reasons
 from outpour.operators.conform import conform, quoted
 
 DEFAULT_BATCH_SIZE = 1600
 
+# Hidden, so that they cannot clash with the columns of a conformed frame.
+_NUMBERS = ("__bucket", "__batch_no", "__item_number")
+
 Failure = Tuple[int | None, str | None, str | None]
 
 
@@ -187,7 +190,7 @@ def _status_of_numbered(delivery: _Delivery):
     def status(
         batches: Iterator[Tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]],
     ) -> Iterator[pa.Array]:
-        names = ["items", "with_ids", *BATCH_COLUMNS]
+        names = ["items", "with_ids", "bucket", "batch_no", "item_number"]
         held = None
         for arrays in batches:
             more = pa.RecordBatch.from_arrays(list(arrays), names)
@@ -247,7 +250,7 @@ def deliver(
     batch_size: int = DEFAULT_BATCH_SIZE,
     parallelism: int | str | None = None,
     key: list[str] | None = None,
-    bucket: Column | None = None,
+    bucket: Column | int | None = None,
     slices: int = 1,
     unique_rows: bool = False,
     trace_id: str | None = None,
@@ -276,9 +279,9 @@ def deliver(
     else:
         sendable = F.size(rejection_reasons(contract, documented_checks)) == 0
         count = parallelism if isinstance(parallelism, int) else None
-        ready = number_batches(rows, batch_size, key, bucket, slices, unique_rows, sendable, count)
-        ready = ready if unique_rows else ready.sortWithinPartitions(*BATCH_COLUMNS)
-        extra, status_of = BATCH_COLUMNS, _status_of_numbered
+        ready = number_batches(rows, batch_size, key, bucket, slices, unique_rows, sendable, count, _NUMBERS)
+        ready = ready if unique_rows else ready.sortWithinPartitions(*_NUMBERS)
+        extra, status_of = _NUMBERS, _status_of_numbered
 
     delivery = _Delivery(
         sender_factory,

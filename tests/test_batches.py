@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from outpour import Conversion, FirstParty
+from outpour import ContractError, Conversion, FirstParty
 from outpour.operators.batches import SPREAD_BATCHES, gather_requests, number_batches
 
 
@@ -76,6 +76,19 @@ def test_nested_columns_and_odd_names(spark):
     assert number_batches(df, 4, ["id"]).count() == 40
 
 
+def test_number_of_hash_buckets(spark):
+    df = spark.range(400)
+    for unique_rows in (False, True):
+        numbered = number_batches(df, 10, ["id"], 3, unique_rows=unique_rows)
+        check(numbered, df, 10)
+        assert numbered.select("bucket").distinct().count() == 3
+
+
+def test_columns_must_be_free(spark):
+    with pytest.raises(ContractError, match="batch_no"):
+        number_batches(spark.range(1).withColumn("Batch_No", F.lit(1)), 10, ["id"])
+
+
 def test_sizes_are_checked(spark):
     with pytest.raises(ValueError):
         number_batches(spark.range(1), 0, ["id"])

@@ -152,6 +152,12 @@ def test_numbered_batches_with_hashed_buckets(spark, tmp_path):
         assert sorted(sent) == sorted(f"v{n}" for n in range(300))
 
 
+def test_columns_named_like_batch_numbers_pass_through(spark):
+    df = members(spark, 30).withColumn("bucket", F.lit("mine")).withColumn("batch_no", F.col("id"))
+    delivered = push(df, CONTEXT, accepting, batch_size=4, key=["id"])
+    assert delivered.filter("success AND bucket = 'mine' AND batch_no = id").count() == 30
+
+
 def test_sender_is_made_once_per_worker(spark, tmp_path):
     df = members(spark, 400, 16)
     push(df, CONTEXT, logging_sender(str(tmp_path)), batch_size=5, parallelism="source")

@@ -146,6 +146,11 @@ FIRST_PARTY_ENVELOPE = (
     '"data_origins":[{"id":"outpour","type":"Integration"}]'
 )
 
+THIRD_PARTY_ENVELOPE = (
+    '{"data_provider_id":"prov1","is_user_id_already_hashed":false,'
+    '"data_origins":[{"id":"outpour","type":"Integration"}]'
+)
+
 
 def _three(sql: str) -> str:
     """The same rows for each of the three subject request destinations."""
@@ -237,6 +242,25 @@ CHECKS = {
         SELECT event_id // 500 AS bucket, batch_no, CAST(count(*) AS INTEGER) AS items,
           '{FIRST_PARTY_ENVELOPE},"items":[' || string_agg({FIRST_PARTY_ITEM}, ',' ORDER BY event_id) || ']}}' AS body
         FROM batched WHERE {SENDABLE} GROUP BY event_id // 500, batch_no""",
+    "request_bodies_third_party": f"""
+        WITH {BATCHED}
+        SELECT event_id // 500 AS bucket, batch_no, CAST(count(*) AS INTEGER) AS items,
+          '{THIRD_PARTY_ENVELOPE},"items":[' || string_agg({_object(
+              IDENTITY, """'"data":[' || """ + _object(_text("name", "segment_name")) + " || ']'"
+          )}, ',' ORDER BY event_id) || ']}}' AS body
+        FROM batched WHERE {SENDABLE} GROUP BY event_id // 500, batch_no""",
+    "request_bodies_dsr": f"""
+        WITH {DSR}, batched AS (
+          SELECT *, (row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) - 1) // 25 AS batch_no
+          FROM dsr),
+        envelopes (contract, envelope) AS (VALUES
+          ('dsr_advertiser', '"advertiser_id":"adv1","request_type":"OptOut"'),
+          ('dsr_third_party', '"data_provider_id":"prov1","request_type":"Deletion"'),
+          ('dsr_merchant', '"merchant_id":7,"request_type":"Deletion"'))
+        SELECT contract, c_custkey // 500 AS bucket, batch_no, CAST(count(*) AS INTEGER) AS items,
+          FALSE AS has_user_ids, '{{' || envelope || ',"data_load_trace_id":"trace-2","items":['
+            || string_agg({_object(IDENTITY)}, ',' ORDER BY c_custkey) || ']}}' AS body
+        FROM batched CROSS JOIN envelopes GROUP BY contract, envelope, c_custkey // 500, batch_no""",
     "deliver_status": f"WITH {BATCHED} SELECT * EXCLUDE (batch_no), {OPTIONAL}, "
     + _status(
         f"CASE WHEN {BAD} THEN 'BAD' ELSE 'GEN' END",
@@ -304,14 +328,14 @@ CHECKS = {
         WITH {MEM}, sent AS (SELECT {BAD_STATUS} FROM mem)
         SELECT count(*) AS total, count(*) FILTER (WHERE success) AS succeeded,
           count(*) FILTER (WHERE NOT success) AS failed FROM sent""",
-    "status_by_code": f"""
+    "status_summary": f"""
         WITH {MEM}, sent AS (SELECT {BAD_STATUS} FROM mem)
         SELECT success, error_code, count(*) AS rows FROM sent GROUP BY success, error_code""",
-    "failed_results": f"""
+    "failed_rows": f"""
         WITH {MEM}, sent AS (SELECT event_id, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE NOT success""",
-    "succeeded_results": f"""
+    "succeeded_rows": f"""
         WITH {MEM}, sent AS (SELECT event_id, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE success""",
-    "retry_rows": f"""
+    "retry_set": f"""
         WITH {RUNS}, ranked AS (
           SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY processed_timestamp DESC) AS latest FROM runs)
         SELECT {STATUS} FROM ranked WHERE latest = 1 AND NOT success""",

@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from outpour import contracts as C
 from outpour.functions.attribution import RESPONSE_TYPE
 from outpour.functions.identity import identity_field
+from outpour.operators import history
 from outpour.operators.attribute import attribute, stray_items
 from outpour.operators.batches import gather_requests, number_batches, shape
 from outpour.operators.checks import quarantine, rejection_reasons
 from outpour.operators.conform import conform, drop_hidden
 from outpour.operators.deliver import deliver
-from outpour.operators.history import retry_set, skip_delivered
 from outpour.operators.increment import high_water_marks, last_mark, new_rows
+from outpour.plans import report
 from outpour.plans.batch import run_batch
 from outpour.plans.push import push
-from outpour.plans.report import failed_rows, status_summary, succeeded_rows, totals
 from outpour.sources.session import shared_path
 from outpour.sources.tables import append_rows, create_input_table, create_ledger_table, create_output_table
 from outpour.streaming.increments import run_stream
@@ -269,6 +269,22 @@ def request_bodies(spark, sf_dir):
     return gather_requests(numbered, FIRST_PARTY).select("bucket", "batch_no", "items", "body")
 
 
+@query
+def request_bodies_third_party(spark, sf_dir):
+    rows = conform(memberships(spark, sf_dir).drop("timestamp_utc", "ttl_in_minutes"), THIRD_PARTY.contract)
+    sendable = F.size(rejection_reasons(THIRD_PARTY.contract)) == 0
+    numbered = number_batches(rows, 25, ["event_id"], _block("event_id"), unique_rows=True, only=sendable)
+    return gather_requests(numbered, THIRD_PARTY).select("bucket", "batch_no", "items", "body")
+
+
+@query
+def request_bodies_dsr(spark, sf_dir):
+    numbered = number_batches(subject_requests(spark, sf_dir), 25, ["c_custkey"], _block("c_custkey"))
+    bodies = [gather_requests(numbered, dsr, "trace-2").withColumn("contract", F.lit(dsr.contract.name)) for dsr in DSR]
+    united = bodies[0].unionByName(bodies[1]).unionByName(bodies[2])
+    return united.select("contract", "bucket", "batch_no", "items", "has_user_ids", "body")
+
+
 # --- delivery ----------------------------------------------------------------------------------
 
 
@@ -434,8 +450,11 @@ def results_append(spark, sf_dir):
 
 def _batch_run(spark, sf_dir, since=None):
     """An incremental run over all events, from the mark of an earlier ledger or from ``since``."""
-    source = _stored(spark, memberships(spark, sf_dir), "input")
+    rows = memberships(spark, sf_dir)
+    source = _stored(spark, rows, "input")
     results = _name("output")
+    schema = C.result_schema(conform(rows, FIRST_PARTY.contract).schema)
+    spark.catalog.createTable(results, path=shared_path(spark, "output"), source="parquet", schema=schema)
     ledger = _stored(spark, _ledger(spark, sf_dir), "ledger")
     run_batch(
         spark,
@@ -503,35 +522,35 @@ def _pushed(spark, sf_dir):
 
 @query
 def status_totals(spark, sf_dir):
-    return totals(_pushed(spark, sf_dir))
+    return report.totals(_pushed(spark, sf_dir))
 
 
 @query
-def status_by_code(spark, sf_dir):
-    return status_summary(_pushed(spark, sf_dir))
+def status_summary(spark, sf_dir):
+    return report.status_summary(_pushed(spark, sf_dir))
 
 
 @query
-def failed_results(spark, sf_dir):
-    return times(failed_rows(_pushed(spark, sf_dir)).select(*STATUS), "timestamp_ntz")
+def failed_rows(spark, sf_dir):
+    return times(report.failed_rows(_pushed(spark, sf_dir)).select(*STATUS), "timestamp_ntz")
 
 
 @query
-def succeeded_results(spark, sf_dir):
-    return times(succeeded_rows(_pushed(spark, sf_dir)).select(*STATUS), "timestamp_ntz")
+def succeeded_rows(spark, sf_dir):
+    return times(report.succeeded_rows(_pushed(spark, sf_dir)).select(*STATUS), "timestamp_ntz")
 
 
 def _two_runs(spark, sf_dir):
     """Results of a run over everything, and of a second one with what failed in the first."""
     first = _pushed(spark, sf_dir)
-    again = retry_set(first, ["event_id"]).drop(*STATUS[1:])
+    again = history.retry_set(first, ["event_id"]).drop(*STATUS[1:])
     second = push(again, FIRST_PARTY, senders.reject_worse_events, processed_at=SENT_AGAIN_AT)
     return first.unionByName(second)
 
 
 @query
-def retry_rows(spark, sf_dir):
-    return times(retry_set(_two_runs(spark, sf_dir), ["event_id"]).select(*STATUS), "timestamp_ntz")
+def retry_set(spark, sf_dir):
+    return times(history.retry_set(_two_runs(spark, sf_dir), ["event_id"]).select(*STATUS), "timestamp_ntz")
 
 
 @query
@@ -539,12 +558,12 @@ def retry_users(spark, sf_dir):
     """By a key with a long history: users whose latest result in a segment is a failure."""
     key = ["id_type", "id_value", "segment_name"]
     events = _pushed(spark, sf_dir).withColumn("processed_timestamp", F.col("timestamp_utc"))
-    return times(retry_set(events, key).select(*key, *STATUS), "timestamp_ntz")
+    return times(history.retry_set(events, key).select(*key, *STATUS), "timestamp_ntz")
 
 
 @query
 def replay_skip(spark, sf_dir):
-    rows = skip_delivered(memberships(spark, sf_dir), _two_runs(spark, sf_dir), ["event_id"])
+    rows = history.skip_delivered(memberships(spark, sf_dir), _two_runs(spark, sf_dir), ["event_id"])
     return times(rows, "timestamp_ntz")
 
 
@@ -552,5 +571,5 @@ def replay_skip(spark, sf_dir):
 def replay_skip_hot(spark, sf_dir):
     """By segment, of which there are few: every key is hot."""
     delivered = push(memberships(spark, sf_dir), FIRST_PARTY, senders.accept_two_segments, processed_at=SENT_AT)
-    rows = skip_delivered(memberships(spark, sf_dir), delivered, ["segment_name"], hot_rows=100)
+    rows = history.skip_delivered(memberships(spark, sf_dir), delivered, ["segment_name"], hot_rows=100)
     return times(rows, "timestamp_ntz")
