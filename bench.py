@@ -8,16 +8,19 @@ is Spark's own share of the work.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import sys
 import time
+from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour import FirstParty, conform, deliver
+from outpour import CONTRACTS, FirstParty, conform, deliver, result_schema
 from outpour.functions.attribution import RESPONSE_TYPE
+from outpour.functions.identity import ID_FIELDS
 from outpour.operators.attribute import attribute
 from outpour.operators.batches import number_batches, shape
 from outpour.sources.session import shared_path
@@ -76,6 +79,24 @@ def best(make) -> float:
     return round(min(seconds(make) for _ in range(RUNS)), 3)
 
 
+def row_at_a_time(rows: DataFrame, batch_size: int = 1600) -> DataFrame:
+    """The same delivery with an RDD function over Python rows, for comparison."""
+    fields = ["timestamp_utc", "ttl_in_minutes", "base_bid_cpm", "base_bid_cpm_metadata", "bid_factor"]
+    conformed = conform(rows, CONTRACTS["first_party"])
+
+    def deliver_partition(partition):
+        while batch := [row.asDict() for row in itertools.islice(partition, batch_size)]:
+            moment = datetime.now(timezone.utc)
+            items = []
+            for row in batch:
+                data = {name: row[name] for name in fields if row[name] is not None}
+                items.append({ID_FIELDS.get(row["id_type"].upper()): row["id_value"], "data": [data]})
+            for row in batch:
+                yield (*row.values(), True, None, None, moment)
+
+    return conformed.rdd.mapPartitions(deliver_partition).toDF(result_schema(conformed.schema))
+
+
 def rates(spark: SparkSession) -> dict[str, int]:
     """Rows per second of each stage, on the memberships of all events spread over all cores."""
     context = FirstParty("adv1")
@@ -95,6 +116,7 @@ def rates(spark: SparkSession) -> dict[str, int]:
         "deliver_spread": lambda: deliver(rows, context, accept_all),
         "deliver_numbered": lambda: deliver(rows, context, accept_all, key=["event_id"], unique_rows=True),
         "attribute": lambda: attribute(numbered, responses),
+        "row_at_a_time": lambda: row_at_a_time(rows),
     }
     return {name: int(count / best(make)) for name, make in stages.items()}
 

@@ -9,39 +9,45 @@ from pyspark.sql import functions as F
 
 from outpour.operators.conform import quoted
 
-# A key is "hot" beyond this many rows in the increment. Rows / HOT_ROWS bounds how many hot keys
-# there can be, which is what makes it safe to broadcast them.
+# A key is "hot" beyond this many rows in the increment; at most MAX_HOT_KEYS are treated so. What
+# is left out has less than one row in MAX_HOT_KEYS, which is nothing a shuffle minds.
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def retry_set(results: DataFrame, key: list[str]) -> DataFrame:
     """One row for each key whose latest status is a failure: that latest result.
 
-    At the same instant a success beats a failure. Written as an aggregate rather than a window,
-    so each task reduces its rows to one per key before the shuffle and a key with a long
-    history stays cheap; the rows of successes are not carried at all.
+    At the same instant a success beats a failure. Of the successes only the key and the time
+    are read, and both sides are reduced to one row per key before they are shuffled, so a key
+    with a long history costs no more than any other. The key is compared as a struct, in which
+    nulls are equal; both sides are already partitioned by it when they are joined.
     """
-    failed = F.when(~F.col("success"), F.struct(*[F.col(quoted(name)) for name in results.columns]))
-    moment = F.struct(
-        F.col("processed_timestamp"),
-        F.col("success"),
-        F.xxhash64(*[F.col(quoted(name)) for name in results.columns]),
-    )
-    latest = results.groupBy(*key).agg(F.max_by(failed, moment).alias("latest"))
-    return latest.filter(F.col("latest").isNotNull()).select("latest.*")
+    columns = [F.col(quoted(name)) for name in results.columns]
+    by_key = F.struct(*[F.col(name) for name in key]).alias("_key")
+    at = F.col("processed_timestamp")
+    latest = F.max_by(F.struct(*columns), F.struct(at, F.xxhash64(*columns)))
+    failed = results.filter(~F.col("success")).groupBy(by_key)
+    failed = failed.agg(latest.alias("_latest"), F.max(at).alias("_failed_at"))
+    succeeded = results.filter(F.col("success")).groupBy(by_key).agg(F.max(at).alias("_succeeded_at"))
+    last = failed.join(succeeded, "_key", "left")
+    still = F.col("_succeeded_at").isNull() | (F.col("_succeeded_at") < F.col("_failed_at"))
+    return last.filter(still).select("_latest.*")
 
 
 def skip_delivered(rows: DataFrame, results: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows whose key has no successful result yet.
 
     Keys with more than ``hot_rows`` rows are taken out of the shuffled join and checked against
-    a broadcast: there are at most ``count(rows) / hot_rows`` of them. Rows with a null in the
-    key match nothing, so they skip the join instead of meeting in one task.
+    a broadcast, which holds at most ``MAX_HOT_KEYS`` keys. Rows with a null in the key match
+    nothing, so they skip the join instead of meeting in one task. Where no key is hot or null,
+    Spark drops those branches before it scans for them.
     """
     has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in key])
     keyed = rows.filter(has_key)
     delivered = results.filter(F.col("success")).select(*key)
-    hot = keyed.groupBy(*key).count().filter(F.col("count") > hot_rows).select(*key)
+    counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = counts.orderBy(F.desc("_rows"), *key).limit(MAX_HOT_KEYS).select(*key)
     hot_delivered = delivered.join(F.broadcast(hot), key, "left_semi").distinct()
     cold = keyed.join(F.broadcast(hot), key, "left_anti").join(delivered.distinct(), key, "left_anti")
     hot_left = keyed.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_delivered), key, "left_anti")

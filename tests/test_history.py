@@ -37,9 +37,25 @@ def test_retry_against_a_model(spark):
     assert sorted((row["key"], row["n"]) for row in found.collect()) == expected
 
 
-def test_retry_reduces_rows_before_the_shuffle(spark):
-    plan = retry_set(results(spark, ("a", 1, False, 1)), ["key"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and plan.count("Exchange") == 1 and "Window" not in plan
+def test_null_keys_are_one_key(spark):
+    df = results(spark, (None, 1, False, 1), (None, 2, True, 2), ("a", 3, False, 1))
+    assert [row["n"] for row in retry_set(df, ["key"]).collect()] == [3]
+    assert [row["n"] for row in retry_set(df.filter("n <> 2"), ["key"]).orderBy("n").collect()] == [1, 3]
+
+
+def test_retry_plan(spark, tmp_path):
+    """Rows are reduced before the shuffle, the join adds none, and successes are read narrow."""
+    results(spark, ("a", 1, False, 1)).write.parquet(str(tmp_path / "results"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = retry_set(spark.read.parquet(str(tmp_path / "results")), ["key"])
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "partial_max_by" in plan and plan.count("hashpartitioning") == 2 and "SortMergeJoin" in plan
+    scans = [line.split("ReadSchema: ")[1] for line in plan.split("\n") if "FileScan" in line]
+    assert len(scans) == 2
+    assert "struct<key:string,success:boolean,processed_timestamp:timestamp>" in scans
 
 
 @pytest.mark.parametrize("hot_rows", [1, 20, 1_000_000])
