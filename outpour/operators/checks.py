@@ -18,8 +18,10 @@ MAX_USER_IDS = 20
 
 
 def _reasons(checks: dict[str, Column]) -> Column:
-    named = [F.when(broken, F.lit(reason)) for reason, broken in checks.items()]
-    return F.array_compact(F.array(*named))
+    """The names of the checks that a row fails. Concatenation stays in generated code."""
+    none = F.array().cast("array<string>")
+    found = [F.when(broken, F.array(F.lit(reason))).otherwise(none) for reason, broken in checks.items()]
+    return found[0] if len(found) == 1 else F.concat(*found)
 
 
 def _unshapeable(contract: Contract, field: Column | None) -> dict[str, Column]:

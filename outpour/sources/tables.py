@@ -65,13 +65,31 @@ def stamp_updated(df: DataFrame) -> DataFrame:
     return df.withColumn("updated_at", F.current_timestamp())
 
 
+# Types, each of which may go into a column of a later one.
+_WIDENING = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def _fits(given: T.DataType, stored: T.DataType) -> bool:
+    """Whether every value of a type can be stored as another."""
+    here, there = given.simpleString(), stored.simpleString()
+    widens = here in _WIDENING and there in _WIDENING and _WIDENING.index(here) < _WIDENING.index(there)
+    return here == there or here == "void" or widens
+
+
 def aligned(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
-    """The frame in a table's columns and types; absent ones become nulls, unknown ones an error."""
+    """The frame in a table's columns and types; absent ones become nulls.
+
+    A column that the table does not have, or has with a type that the values may not fit, is an
+    error here, before anything is computed: what has been sent must not fail to be stored.
+    """
     rule = same_name_rule(df.sparkSession)
-    known = {rule(field.name) for field in schema}
-    unknown = [name for name in df.columns if rule(name) not in known]
+    stored = {rule(field.name): field.dataType for field in schema}
+    unknown = [field.name for field in df.schema if rule(field.name) not in stored]
     if unknown:
         raise ContractError(f"table {table} has no column {unknown}", unknown, table, "output")
+    misfits = [field.name for field in df.schema if not _fits(field.dataType, stored[rule(field.name)])]
+    if misfits:
+        raise ContractError(f"table {table} has another type for {misfits}", misfits, table, "output")
     absent = set(missing_columns(df, schema.names))
     return df.select(
         *[

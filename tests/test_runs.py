@@ -93,6 +93,16 @@ def test_append_refuses_unknown_columns(spark, tables):
     assert spark.table(tables[0]).count() == 0
 
 
+def test_append_checks_types_before_anything_is_sent(spark, tables, tmp_path):
+    source, results = f"odd_{uuid4().hex}", tables[1]
+    members(spark, 1).withColumn("ttl_in_minutes", F.lit("soon")).write.saveAsTable(source)
+    with pytest.raises(ContractError, match="ttl_in_minutes"):
+        run_batch(spark, CONTEXT, logging_sender(str(tmp_path)), source, results)
+    assert requests_in(tmp_path) == []
+    append_rows(members(spark, 1).withColumn("bid_factor", F.lit(2)), tables[0])
+    assert spark.table(tables[0]).first()["bid_factor"] == 2.0
+
+
 # --- increments ---
 
 

@@ -496,8 +496,7 @@ def stream_increment(spark, sf_dir):
     prepare(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    events.createOrReplaceTempView(view := _name("events"))
-    rows = times(spark.sql(MEMBERSHIPS.replace("{events}", view)), "timestamp")
+    rows = times(spark.sql(MEMBERSHIPS, events=events), "timestamp")
     path = shared_path(spark, "stream-results")
     for _ in range(2):
         stream = run_stream(
