@@ -279,8 +279,9 @@ def deliver(
     else:
         sendable = F.size(rejection_reasons(contract, documented_checks)) == 0
         count = parallelism if isinstance(parallelism, int) else None
-        ready = number_batches(rows, batch_size, key, bucket, slices, unique_rows, sendable, count, _NUMBERS)
-        ready = ready if unique_rows else ready.sortWithinPartitions(*_NUMBERS)
+        ready = number_batches(
+            rows, batch_size, key, bucket, slices, unique_rows, sendable, count, _NUMBERS, in_order=True
+        )
         extra, status_of = _NUMBERS, _status_of_numbered
 
     delivery = _Delivery(

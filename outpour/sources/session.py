@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -21,16 +22,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ConfigurationError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="outpour-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return f"{folder.rstrip('/')}/{name}-{uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="outpour-")
+
+
 def ship_packages(spark: SparkSession, *folders: str) -> None:
     """Put package folders on the Python path of the executors, once per session.
 
-    For running from a source checkout. Where the packages are installed on the cluster or given
-    with ``--py-files`` this is not needed.
+    For running from a source checkout: the driver hands the zipped folders to Spark, which copies
+    them to the executors. Where the packages are installed on the cluster or given with
+    ``--py-files`` this is not needed.
     """
     context = spark.sparkContext
     for folder in folders:

@@ -152,6 +152,20 @@ def test_numbered_batches_with_hashed_buckets(spark, tmp_path):
         assert sorted(sent) == sorted(f"v{n}" for n in range(300))
 
 
+def test_numbered_batches_of_copies(spark, tmp_path):
+    """Copies in several spans, between other rows and rows that are not sent."""
+    copies = spark.range(0, 500, 1, 3).selectExpr("7 AS id", "'TDID' AS id_type", "'same' AS id_value", "'s' AS segment_name")
+    df = copies.unionByName(members(spark, 60, 2, F.col("id") % 4 == 0))
+    delivered = push(df, CONTEXT, logging_sender(str(tmp_path)), batch_size=2, key=["id"], bucket=F.expr("id div 30"))
+    assert delivered.count() == 560 and delivered.filter("success").count() == 545
+    requests = requests_in(tmp_path)
+    sent = [item["tdid"] for r in requests for item in r["items"]]
+    assert sorted(sent) == sorted(["same"] * 500 + [f"v{n}" for n in range(60) if n % 4])
+    sizes = {tuple(r["batch"]): len(r["items"]) for r in requests}
+    assert len(sizes) == len(requests)
+    assert set(sizes.values()) <= {1, 2} and list(sizes.values()).count(1) <= 2
+
+
 def test_columns_named_like_batch_numbers_pass_through(spark):
     df = members(spark, 30).withColumn("bucket", F.lit("mine")).withColumn("batch_no", F.col("id"))
     delivered = push(df, CONTEXT, accepting, batch_size=4, key=["id"])
