@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from outpour.operators.conform import quoted
 
-# A key is "hot" beyond this many rows in the increment; at most MAX_HOT_KEYS are treated so. What
-# is left out has less than one row in MAX_HOT_KEYS, which is nothing a shuffle minds.
+# A key is "hot" beyond this many rows; at most MAX_HOT_KEYS are treated so. The sketch that finds
+# them tracks enough keys to see every one with more than about a 1/4000 of the rows, and what
+# it does not see is nothing a shuffle minds.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
+MAX_HOT_KEYS = 1_000
+_TRACKED_KEYS = 16_384
+_MERGING_TASKS = 256
 
 
 def retry_set(results: DataFrame, key: list[str]) -> DataFrame:
@@ -35,20 +38,38 @@ def retry_set(results: DataFrame, key: list[str]) -> DataFrame:
     return last.filter(still).select("_latest.*")
 
 
+def _hot_hashes(rows: DataFrame, key: list[str], hot_rows: int) -> list[int]:
+    """Hashes of the keys with more than ``hot_rows`` rows, by a sketch of the key columns.
+
+    No key is shuffled: a task sends its sketch to one of a few merging tasks, those send theirs
+    to one, and at most ``MAX_HOT_KEYS`` numbers come to the driver.
+    """
+    hashed = rows.select(F.xxhash64(*key).alias("hash"), (F.spark_partition_id() % _MERGING_TASKS).alias("merger"))
+    sketches = hashed.groupBy("merger").agg(F.expr(f"approx_top_k_accumulate(hash, {_TRACKED_KEYS})").alias("sketch"))
+    # Grouped, so that there is no row, rather than an invalid sketch, when there are no rows.
+    merged = sketches.groupBy(F.lit(0).alias("all"))
+    merged = merged.agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"))
+    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("entry"))
+    return [row["item"] for row in top.select("entry.*").collect() if row["count"] > hot_rows]
+
+
 def skip_delivered(rows: DataFrame, results: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows whose key has no successful result yet.
+    """The rows whose key has no successful result yet: an anti join against distinct keys.
 
-    Keys with more than ``hot_rows`` rows are taken out of the shuffled join and checked against
-    a broadcast, which holds at most ``MAX_HOT_KEYS`` keys. Rows with a null in the key match
-    nothing, so they skip the join instead of meeting in one task. Where no key is hot or null,
-    Spark drops those branches before it scans for them.
+    Rows of hot keys do not take part in the shuffle; they are checked against a broadcast of at
+    most ``MAX_HOT_KEYS`` keys. Which keys are hot is found first, by a pass over the key columns
+    of ``rows``; it only decides the way, so an estimate will do. Rows with a null in the key
+    match nothing, so they go around the join instead of meeting in one task.
     """
     has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in key])
     keyed = rows.filter(has_key)
     delivered = results.filter(F.col("success")).select(*key)
-    counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    hot = counts.orderBy(F.desc("_rows"), *key).limit(MAX_HOT_KEYS).select(*key)
-    hot_delivered = delivered.join(F.broadcast(hot), key, "left_semi").distinct()
-    cold = keyed.join(F.broadcast(hot), key, "left_anti").join(delivered.distinct(), key, "left_anti")
-    hot_left = keyed.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_delivered), key, "left_anti")
-    return rows.filter(~has_key).unionByName(cold).unionByName(hot_left)
+    hot_hashes = _hot_hashes(keyed, key, hot_rows)
+    if not hot_hashes:
+        return rows.filter(~has_key).unionByName(keyed.join(delivered.distinct(), key, "left_anti"))
+    is_hot = F.xxhash64(*key).isin(hot_hashes)
+    cold = keyed.filter(~is_hot).join(delivered.distinct(), key, "left_anti")
+    hot_keys = keyed.filter(is_hot).select(*key).distinct()
+    hot_delivered = delivered.join(F.broadcast(hot_keys), key, "left_semi").distinct()
+    hot = keyed.filter(is_hot).join(F.broadcast(hot_delivered), key, "left_anti")
+    return rows.filter(~has_key).unionByName(cold).unionByName(hot)

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from outpour.operators.history import retry_set, skip_delivered
+from outpour.operators.history import _hot_hashes, retry_set, skip_delivered
 
 START = datetime(2024, 1, 1)
 RESULTS = "key string, n int, success boolean, error_code string, processed_timestamp timestamp"
@@ -80,8 +80,25 @@ def test_skip_by_two_columns_with_nulls(spark):
         assert left == {("a", None), (None, 1), ("b", 1)}
 
 
-def test_hot_keys_are_not_shuffled(spark):
-    rows = spark.range(1000).select(F.lit("hot").alias("key"), "id")
-    done = results(spark, ("other", 1, True, 1))
-    left = skip_delivered(rows, done, ["key"], 10)
-    assert left.count() == 1000
+def test_hot_keys_are_found(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS key", "id")
+    found = _hot_hashes(rows.repartition(4), ["key"], 500)
+    assert found == [spark.sql("SELECT xxhash64('hot')").first()[0]]
+    assert _hot_hashes(rows, ["key"], 2000) == []
+    assert _hot_hashes(rows.filter("id < 0"), ["key"], 0) == []
+
+
+def test_hot_keys_are_checked_by_broadcast(spark):
+    rows = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id + 10 END AS key", "id")
+    done = results(spark, ("1", 1, True, 1), ("11", 1, True, 1)).withColumn("key", F.col("key").cast("int"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = skip_delivered(rows, done, ["key"], 100)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+        assert left.count() == 1000 - 334 - 1
+        plain = skip_delivered(rows, done, ["key"])
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert plain.count() == 1000 - 334 - 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
