@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour.llm import exact, sharding, simhash
+from outpour.llm import bpe, exact, language, packing, sharding, simhash
 
 SHARDS = 40
 
@@ -30,6 +32,47 @@ def op2_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(docs, carry=["doc_id", "text_sha256"])
 
 
+def _vocabulary(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def _round_trip(ids: list[int], decoder: bpe.StreamDecoder) -> tuple[int, str, str]:
+    listed = ",".join(map(str, ids)).encode()
+    return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoder.bytes_of(ids)).hexdigest()
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.map_encoded(
+        _documents(spark, sf_dir),
+        "doc_id",
+        "text",
+        _vocabulary("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        _round_trip,
+        "n_tokens long, ids_sha256 string, decoded_sha256 string",
+    ).withColumnRenamed("id", "doc_id")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select(
+        "doc_id", "text", "lang", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out")
+    )
+    model = language.fit(docs.where(~F.col("held_out")), "text", "lang")
+    return language.identify(docs, model, "text", ["doc_id", "held_out"])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents, packed; ids are those of the public 50k vocabulary."""
+    ranks, pattern = _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    found = packing.pieces(docs, "doc_id", "text", lambda: packing.tiktoken_encoder(ranks, pattern))
+    return packing.pack(found)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_documents(spark, sf_dir))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     placed = sharding.shard_rows(
@@ -49,6 +92,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact": op2_exact,
+    "op3_bpe": op3_bpe,
+    "op6_language": op6_language,
+    "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
