@@ -171,17 +171,16 @@ def _linear_program(
     kinds: np.ndarray, need: np.ndarray, capacity: int, gap: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """Basic patterns (one a column) and how often each is used."""
-    columns, copies = _first_basis(kinds, need, capacity)
-    inverse = np.linalg.inv(columns)
+    columns, copies, inverse = _first_basis(kinds, need, capacity)
     best = float(kinds @ need) / capacity  # no packing is below the room that the pieces take
-    for step in range(2 * len(kinds) + 50):
+    for _ in range(2 * len(kinds) + 50):
         duals = inverse.sum(axis=0)
         entering, value = _price(kinds, duals, capacity)
         total = copies.sum()
         best = max(best, total / max(value, 1.0))  # and no solution of the program below total / value
         if value <= 1 + 1e-9 or total - best < max(gap * total, 0.25):
             break
-        direction = inverse @ entering
+        direction = (inverse * entering).sum(axis=1)
         positive = direction > 1e-9
         if not positive.any():
             break
@@ -191,23 +190,26 @@ def _linear_program(
         columns[:, leaving] = entering
         copies = np.maximum(copies - amount * direction, 0)
         copies[leaving] = amount
-        pivot = inverse[leaving] / direction[leaving]
-        inverse -= np.outer(direction, pivot)
-        inverse[leaving] = pivot
-        if step % 200 == 199:
-            inverse = np.linalg.inv(columns)
-            copies = np.maximum(inverse @ need, 0)
+        _exchange(inverse, direction, leaving)
     return columns, copies
 
 
-def _first_basis(kinds: np.ndarray, need: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def _exchange(inverse: np.ndarray, direction: np.ndarray, row: int) -> None:
+    """Updates the inverse of a basis whose column ``row`` is replaced by one of this direction."""
+    pivot = inverse[row] / direction[row]
+    inverse -= direction[:, None] * pivot
+    inverse[row] = pivot
+
+
+def _first_basis(kinds: np.ndarray, need: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Patterns for a start: each holds the largest class left and what fills the room best, and uses up one class.
 
-    No later pattern has that class, so the patterns are independent, and together they cover the need exactly.
+    No later pattern has that class, so the patterns are independent, and together they cover the need exactly. A
+    pattern is the column of the class that it uses up; with it come the copies and the inverse of the columns.
     """
-    columns, copies, left = np.zeros((len(kinds), len(kinds))), np.zeros(len(kinds)), need.copy()
+    columns, copies, left, order = np.zeros((len(kinds), len(kinds))), np.zeros(len(kinds)), need.copy(), []
     open_ = np.ones(len(kinds), bool)
-    for step in range(len(kinds)):
+    for _ in kinds:
         own = np.flatnonzero(open_)
         largest = own[-1]
         fill, _ = _price(kinds[own], kinds[own] * (1 + 1e-6 * kinds[own]), capacity - int(kinds[largest]))
@@ -217,11 +219,16 @@ def _first_basis(kinds: np.ndarray, need: np.ndarray, capacity: int) -> tuple[np
         inside = np.flatnonzero(pattern)
         amounts = left[inside] / pattern[inside]
         least = int(np.argmin(amounts))
-        columns[:, step], copies[step] = pattern, amounts[least]
+        closed = int(inside[least])
+        columns[:, closed], copies[closed] = pattern, amounts[least]
+        order.append(closed)
         left = np.maximum(left - amounts[least] * pattern, 0)
-        open_[inside[least]] = False
-        left[inside[least]] = 0
-    return columns, copies
+        open_[closed] = False
+        left[closed] = 0
+    inverse = np.eye(len(kinds))
+    for closed in reversed(order):
+        _exchange(inverse, (inverse * columns[:, closed]).sum(axis=1), closed)
+    return columns, copies, inverse
 
 
 def _price(kinds: np.ndarray, duals: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:

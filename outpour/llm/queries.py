@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour.llm import bpe, exact, language, packing, sharding, simhash
+from outpour.llm import bpe, exact, html, language, packing, rules, sharding, simhash
 
 SHARDS = 40
 
@@ -62,6 +62,17 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, "text", ["doc_id", "held_out"])
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = rules.judge(_documents(spark, sf_dir), labels, "doc_id", "text", "quality")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *base)
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), "html", ["page_id", "url"])
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The pieces of all documents, packed; ids are those of the public 50k vocabulary."""
     ranks, pattern = _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -94,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact": op2_exact,
     "op3_bpe": op3_bpe,
     "op6_language": op6_language,
+    "op7_quality": op7_quality,
+    "op8_html": op8_html,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
