@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour.llm import bpe, exact, html, language, packing, rules, sharding, simhash, suffix
+from outpour.llm import bpe, exact, html, language, packing, rules, sharding, simhash, suffix, toxicity
 
 SHARDS = 40
 
@@ -54,6 +54,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnRenamed("id", "doc_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = _documents(spark, sf_dir).select("doc_id", "text", held_out.alias("held_out"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+    return toxicity.score_texts(docs, model, "text", ["doc_id", "held_out"])
+
+
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.remove_repeats(_documents(spark, sf_dir), "doc_id", "text", ["doc_id"])
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -109,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact": op2_exact,
     "op3_bpe": op3_bpe,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix": op5_suffix,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
