@@ -252,10 +252,20 @@ def removed_spans(size: int, starts: np.ndarray, stops: np.ndarray, length: int
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str, text_column: str, carry: list[str], length: int = LENGTH, capacity: int = CAPACITY
+    docs: DataFrame,
+    id_column: str,
+    text_column: str,
+    carry: list[str],
+    length: int = LENGTH,
+    capacity: int = CAPACITY,
+    as_text: bool = False,
 ) -> DataFrame:
-    """The columns of ``carry`` with n_bytes, n_removed, n_spans, spans (array of start, stop) and kept (bytes)."""
-    results = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+    """The columns of ``carry`` with n_bytes, n_removed, n_spans, spans (array of start, stop) and kept (bytes).
+
+    ``as_text``: instead of kept, text; characters of which a cut leaves only some bytes are left out.
+    """
+    last = "text" if as_text else "kept"
+    results = ("n_bytes", "n_removed", "n_spans", "spans", last)
     carry = [name for name in carry if name not in results]
     columns = [F.col(f"`{name}`").alias(f"__c{k}") for k, name in enumerate(carry)]
     keyed = docs.select(
@@ -271,7 +281,8 @@ def remove_repeats(
     joined = keyed.join(runs, keyed.doc == runs.owner, "left").drop("doc", "owner")
     names = [f"__c{k}" for k in range(len(carry))]
     joined = joined.select("text", "runs", *names)
-    made = "n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept binary"
+    made = "n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>"
+    made += ", text string" if as_text else ", kept binary"
     out = StructType([*[joined.schema[name] for name in names], *StructType.fromDDL(made)])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -290,7 +301,9 @@ def remove_repeats(
                 counts.append(len(cut))
                 spans.append([{"start": a, "stop": b} for a, b in cut])
             columns = [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(counts, pa.int64())]
-            columns += [pa.array(spans, kind), pa.array(kept, pa.binary())]
+            if as_text:
+                kept = [data.decode("utf-8", "ignore") for data in kept]
+            columns += [pa.array(spans, kind), pa.array(kept, pa.string() if as_text else pa.binary())]
             yield pa.RecordBatch.from_arrays([*part.columns[2:], *columns], out.names)
 
     result = joined.mapInArrow(batches, out)
