@@ -119,17 +119,17 @@ def new_strings(docs: DataFrame, length: int = LENGTH, capacity: int = CAPACITY)
     earliest = F.min(F.struct("doc", "start", "strings")).alias("first")
     dictionary = phrases(docs, length).groupBy("trigger", "content").agg(earliest).select("trigger", "first.*")
     dictionary = written(dictionary, "dictionary")
-    shared = dictionary.groupBy("trigger").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
-    shared = written(shared, "shared-triggers")
-    run = [F.col("doc"), F.col("start"), (F.col("start") + F.col("strings")).alias("stop")]
+    # A trigger of one entry is settled; the minima of its columns are that entry.
+    alone = [F.min(name).alias(name) for name in ("doc", "start", "strings")]
+    triggers = written(dictionary.groupBy("trigger").agg(F.count(F.lit(1)).alias("entries"), *alone), "triggers")
+    stop = (F.col("start") + F.col("strings")).alias("stop")
+    settled = triggers.where("entries = 1").select("doc", "start", stop)
 
+    shared = triggers.where("entries > 1").select("trigger", "entries")
     marked = gated(dictionary, gate(shared.select("trigger"), "trigger-gate"), [F.col("trigger")], "__maybe")
-    maybe = marked.where("__maybe").drop("__maybe").join(shared, "trigger", "left")
-    maybe = written(maybe, "maybe-shared")
-    settled = marked.where(~F.col("__maybe")).select(*run).unionByName(maybe.where("entries is null").select(*run))
-
+    candidates = marked.where("__maybe").drop("__maybe").join(shared, "trigger")
     spans = F.collect_list(F.struct("trigger", "entries", "start", "strings")).alias("spans")
-    wanted = written(maybe.where("entries is not null").groupBy("doc").agg(spans), "wanted")
+    wanted = written(candidates.groupBy("doc").agg(spans), "wanted")
     holders = gated(docs, gate(wanted.select("doc"), "wanted-gate"), [F.col("doc")], "__maybe").where("__maybe")
     entries = holders.select("doc", "text").join(wanted, "doc").mapInArrow(
         lambda parts: _entries(parts, length, capacity), "trigger long, lot int, hot boolean, doc long, start int, data binary"
