@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import codecs
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import chain
 
 import pyarrow as pa
@@ -187,6 +188,12 @@ class Encoder:
         return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
 
+@cache
+def _encoder(ranks: bytes, pattern: str) -> Encoder:
+    """The encoder of this Python worker, which keeps what it has met for later tasks."""
+    return Encoder(read_ranks(ranks), pattern)
+
+
 class StreamDecoder:
     """Turns ids into text as they come."""
 
@@ -224,7 +231,7 @@ def map_encoded(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = read_ranks(shared.value)
-        encoder, decoder = Encoder(own, pattern), StreamDecoder(own)
+        encoder, decoder = _encoder(shared.value, pattern), StreamDecoder(own)
         for part in parts:
             for start in range(0, part.num_rows, 64):  # few rows at a time: ids of long texts fill memory
                 rows = part.slice(start, 64)
