@@ -92,9 +92,10 @@ def links(entries: DataFrame, distance: int, capacity: int) -> DataFrame:
     found, masks, members = None, [0], entries.select("fp", "doc", F.lit(0).cast("long").alias("mask"))
     while True:
         children = {mask: _children(mask, distance) for mask in masks}
-        pairs = [(_signed(mask), _signed(child)) for mask, below in children.items() for child in below]
-        table = F.broadcast(spark.createDataFrame(pairs, "mask long, child long"))  # 4 ** depth rows
-        members = members.join(table, "mask").select("fp", "doc", F.col("child").alias("mask"))
+        below = F.array()
+        for mask, found_below in children.items():  # (distance + 1) ** depth masks
+            below = F.when(F.col("mask") == _signed(mask), F.array(*map(F.lit, map(_signed, found_below)))).otherwise(below)
+        members = members.select("fp", "doc", F.explode(below.cast("array<bigint>")).alias("mask"))
         masks = sorted({child for below in children.values() for child in below})
         fixed = min(mask.bit_count() for mask in masks)
         if count / 2.0**fixed > capacity and fixed < BITS:
