@@ -1,0 +1,344 @@
+"""Every operator against a brute-force version, on fixtures with nulls, empty and long texts, ties and repeated rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from outpour.llm import bpe, exact, html, language, packing, rules, sharding, simhash, suffix, toxicity
+from outpour.llm.components import components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string"
+
+
+def read(name):
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeéöñ") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    texts = [None, "", " \t\n", "One", "ONE", "one two", "é" * 300, "a" * 4000, passage, passage.upper()]
+    for k in range(60):
+        own = [rng.choice(words) for _ in range(rng.choice([3, 40, 200]))]
+        if k % 3 == 0:
+            own[len(own) // 2 : len(own) // 2] = [passage]
+        texts.append((" " if k % 2 else "\n").join(own))
+    near = texts[-1].split()
+    for k in range(8):
+        changed = list(near)
+        changed[k] = "zzz"
+        texts.append(" ".join(changed))
+    texts += texts[12:20] + [" ".join(rng.choice(words) for _ in range(20_000))]
+    return [(k, text, None, "s", 0, "x") for k, text in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def lowered(text):
+    return (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def test_exact_groups(docs, rows, nothing):
+    groups = defaultdict(list)
+    for key, text, *_ in rows:
+        groups[lowered(text)].append(key)
+    found = {r["doc_id"]: r for r in exact.exact_groups(docs).collect()}
+    assert len(found) == len(rows)
+    for key, text, *_ in rows:
+        own = groups[lowered(text)]
+        row = found[key]
+        assert (row["keep_id"], row["group_size"], row["kept"]) == (max(own), len(own), key == max(own))
+    assert exact.exact_groups(nothing).count() == 0
+
+
+def test_exact_drop_keeps_columns_and_one_of_repeated_rows(spark):
+    rows = [(1, "a", None, "s", 1, "x"), (1, "A", None, "s", 1, "x"), (None, "b", None, "s", 1, "x"), (None, "b", None, "s", 1, "y")]
+    left = exact.drop_copies(spark.createDataFrame(rows, SCHEMA))
+    assert left.columns == [part.split()[0] for part in SCHEMA.split(", ")]
+    assert Counter(r["doc_id"] for r in left.collect()) == {1: 1, None: 1}
+
+
+def brute_print(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", lowered(text).encode())
+    shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints):
+    label = {key: key for key in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 3 and label[b] < label[a]:
+                    label[a], changed = label[b], True
+    return label
+
+
+@pytest.mark.parametrize("capacity", [2, 512])
+def test_simhash(docs, rows, nothing, capacity):
+    prints = {key: brute_print(text) for key, text, *_ in rows}
+    found = simhash.near_components(simhash.fingerprints(docs, "doc_id", "text"), capacity=capacity).collect()
+    assert {r["id"]: r["fp"] % (1 << 64) for r in found} == prints
+    assert {r["id"]: r["component_id"] for r in found} == brute_components(prints)
+    assert simhash.drop_near_copies(nothing).count() == 0
+
+
+def test_near_pairs_against_all_pairs():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    fp = base[rng.integers(0, 6, 400)] ^ (np.uint64(1) << rng.integers(0, 64, 400).astype(np.uint64))
+    group = np.sort(rng.integers(0, 5, 400))
+    i, j = simhash.near_pairs(fp, group, 3)
+    close = np.bitwise_count(fp[:, None] ^ fp[None]) <= 3
+    expected = {(a, b) for a in range(400) for b in range(a + 1, 400) if group[a] == group[b] and close[a, b]}
+    assert set(zip(i.tolist(), j.tolist())) == expected and len(i) == len(expected)
+
+
+def test_null_ids_link_nothing(spark):
+    frame = spark.createDataFrame([(None, "a b c"), (5, "a b c"), (4, "a b c"), (None, "q r s")], "doc_id long, text string")
+    found = simhash.near_components(simhash.fingerprints(frame, "doc_id", "text")).collect()
+    assert sorted((str(r["id"]), str(r["component_id"])) for r in found) == [
+        ("4", "4"), ("5", "4"), ("None", "4"), ("None", "None")
+    ]
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.range(60).selectExpr("id as a", "id + 1 as b").union(spark.sql("select 100L, 200L"))
+    found = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert found == {k: 0 for k in range(61)} | {100: 100, 200: 100}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])
+def test_transducer_is_tiktoken(name):
+    ranks, rng = bpe.read_ranks(read(name)), random.Random(1)
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    other = tiktoken.Encoding("o", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = list(ranks)
+    texts = ["", "a" * 5000, "<|endoftext|>", " \n \n\t x", "\x00\x01", "ab" * 3000]
+    texts += [b"".join(rng.choices(tokens, k=rng.randint(1, 6))).decode("utf-8", "ignore") for _ in range(2000)]
+    texts += ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(160, 1500), 0x1F600])) for _ in range(30)) for _ in range(300)]
+    for text in texts:
+        assert own.encode(text) == other.encode_ordinary(text)
+
+
+def test_encode_and_decode(docs, rows, nothing):
+    ranks = read("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode_texts(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN)
+    found = {r["id"]: r for r in bpe.decode_ids(encoded, ranks).collect()}
+    assert {key: row["text"] for key, row in found.items()} == {key: text or "" for key, text, *_ in rows}
+    assert bpe.decode_ids(bpe.encode_texts(nothing, "doc_id", "text", ranks, public_tokenizers.PATTERN), ranks).count() == 0
+
+
+def test_stream_decoder_waits_for_whole_characters():
+    ranks = bpe.read_ranks(read("byte_bpe_multi_50k.tiktoken"))
+    decoder = bpe.StreamDecoder(ranks)
+    parts = [decoder.feed([ranks[bytes([b])]]) for b in "aé😀".encode()]
+    assert parts == ["a", "", "é", "", "", "", "😀"] and decoder.feed([ranks[b"\xf0"]], final=True) == "�"
+
+
+def brute_repeats(rows, length=100):
+    seen, result = set(), {}
+    for key, text in sorted(rows):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for start in range(len(data) - length + 1):
+            if data[start : start + length] in seen:
+                gone[start : start + length] = b"\1" * length
+            seen.add(data[start : start + length])
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
+        result[key] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return result
+
+
+@pytest.mark.parametrize("capacity", [2, 4096])
+def test_repeats(docs, rows, nothing, capacity):
+    found = suffix.remove_repeats(docs, "doc_id", "text", ["doc_id"], capacity=capacity)
+    digest = F.sha2("kept", 256).alias("sha")
+    found = {r[0]: tuple(r[1:]) for r in found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest).collect()}
+    assert found == brute_repeats([(key, text) for key, text, *_ in rows])
+    assert suffix.remove_repeats(nothing, "doc_id", "text", ["doc_id"]).count() == 0
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    text = "".join(random.Random(5).choices("abcdefgh", k=150))
+    frame = spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string")
+    found = suffix.remove_repeats(frame, "doc_id", "text", ["doc_id"]).collect()
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in found) == [("1", 150), ("1", 150), ("None", 0)]
+
+
+def test_suffix_ranks_are_the_order_of_suffixes():
+    data = bytes(random.Random(2).choices(b"ab", k=3000))
+    ranks = suffix.suffix_ranks(np.frombuffer(data, np.uint8), 100)[:2900]
+    expected = {s: k for k, s in enumerate(sorted({data[k : k + 100] for k in range(2900)}))}
+    order = sorted(range(2900), key=lambda k: ranks[k])
+    assert [expected[data[k : k + 100]] for k in order] == sorted(expected[data[k : k + 100]] for k in range(2900))
+
+
+def test_language(spark, nothing):
+    texts = {
+        "en": "the house of the lord is there and with this",
+        "de": "das haus ist nicht der wald und die schönen zwei",
+        "fr": "la maison est dans le bois avec une très belle école",
+        "es": "la casa está en el bosque con una niña muy pequeña",
+    }
+    rng = random.Random(4)
+    rows = []
+    for lang, text in texts.items():
+        for _ in range(40):
+            rows.append((" ".join(rng.choices(text.split(), k=30)), lang))
+    frame = spark.createDataFrame([*rows, (None, "en"), ("some text", None)], "text string, lang string")
+    model = language.fit(frame, "text", "lang")
+    test = [(" ".join(rng.choices(text.split(), k=25)), lang) for lang, text in texts.items() for _ in range(10)]
+    test += [(None, "und"), ("12 !", "und"), ("", "und")]
+    found = language.identify(spark.createDataFrame(test, "text string, lang string"), model, "text", ["lang"]).collect()
+    assert all(r["lang"] == r["lang_pred"] and 0 <= r["score"] <= 1 for r in found) and len(found) == len(test)
+    empty = language.fit(nothing, "text", "lang")
+    assert {r["lang_pred"] for r in language.identify(frame, empty, "text", ["lang"]).collect()} == {"und"}
+
+
+def brute_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    count = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    repeated = {k + j for k in range(len(words) - 2) if count[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+
+
+def test_statistics(spark, docs, rows, nothing):
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    more = [(1000, "a b c a b c\na b c\n \n \n# | <x>\n# | <x>"), (1001, "x " * 500), (1002, "\x1f\x85 a\x0b\x0cb")]
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    found = {r[0]: tuple(r[1:]) for r in rules.statistics(frame, "text", ["doc_id"]).select(*names).collect()}
+    assert found == {key: brute_statistics(text) for key, text in [*[r[:2] for r in rows], *more]}
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert rules.judge(nothing, labels, "doc_id", "text", "quality").count() == 0
+
+
+def test_decision_list_finds_thresholds_and_keeps_the_rest():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(600):
+        row = {name: rng.random() for name in rules.MEASURES}
+        row["label"] = 0 if row["symbols"] > 0.7 or (row["marks"] > 0.6 and row["words"] < 0.5) else 1
+        rows.append(row)
+    found = rules.cover(rows)
+    rejected = [any(all(part.holds(row) for part in rule) for rule in found) for row in rows]
+    assert sum(gone == (row["label"] == 0) for gone, row in zip(rejected, rows)) > 570
+    assert rules.cover([row | {"label": 1} for row in rows]) == [] and rules.cover([]) == []
+
+
+def test_main_text():
+    page = (
+        "<html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body>"
+        "<nav><a href=x>menu</a></nav><div class='ad box'>buy</div><article><h1>Head &amp; line</h1>"
+        "<p>First <b>bold</b>\n  words.<br>More<p>Second &eacute; with enough words in it.</p><aside>side</aside></article>"
+        "<section id=comments><p>A reader says a lot of words here, again and again.</p></section>"
+        "<form><p>sign up</p></form><footer>foot</footer>"
+    )
+    assert html.main_text(page) == "Head & line\n\nFirst bold words. More\n\nSecond é with enough words in it."
+    assert html.main_text(None) == html.main_text("") == html.main_text("<nav>x</nav>") == ""
+    long = "<p>" + "many words in a paragraph " * 20 + "</p>"
+    assert html.main_text(f"<body>{long}{long}<div><a>x</a><a>y</a><a>z</a></div>").count("\n\n") == 1
+
+
+def test_packing(docs, rows, nothing):
+    ranks, pattern = read("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encode = packing.tiktoken_encoder(ranks, pattern)
+    make = lambda: packing.tiktoken_encoder(ranks, pattern)
+    found = packing.pack(packing.pieces(docs, "doc_id", "text", make)).collect()
+    room, covered = defaultdict(list), defaultdict(list)
+    for row in found:
+        room[row["sequence_id"]].append((row["offset"], row["length"]))
+        covered[row["doc_id"]].append(row)
+    assert sorted(room) == list(range(len(room)))
+    for places in room.values():
+        places.sort()
+        assert [a for a, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))]
+        assert sum(n for _, n in places) <= 1024
+    for key, text, *_ in rows:
+        ids, own = np.append(encode(text or ""), np.uint32(0)).astype("<u4"), sorted(covered[key], key=lambda r: r["start"])
+        assert sum(r["length"] for r in own) == len(ids) == own[0]["doc_tokens"]
+        for r in own:
+            assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+    assert packing.pack(packing.pieces(nothing, "doc_id", "text", make)).count() == 0
+
+
+def test_ids_are_those_of_the_tokenizers_library(rows):
+    from tokenizers import Tokenizer
+
+    own = packing.tiktoken_encoder(read("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    for text in [*[text or "" for _, text, *_ in rows[:60]], "<|endoftext|> a b c\r\n\t 12½ '’s", "\x00\x1f\x85😀"]:
+        assert own(text).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_patterns_cover_the_demand_and_waste_little():
+    rng = np.random.default_rng(3)
+    demand = np.bincount(rng.integers(1, 512, 20_000), minlength=513)
+    demand[512] = 0
+    used, sequences = np.zeros(513, np.int64), 0
+    for copies, pattern in packing.solve(demand[:-1], 512):
+        assert sum(kind * each for kind, each in pattern) <= 512
+        sequences += copies
+        for kind, each in pattern:
+            used[kind] += copies * each
+    assert (used == demand).all() and sequences * 512 < 1.01 * (demand * np.arange(513)).sum()
+
+
+def test_sharding(spark, docs, rows, nothing):
+    grown = sharding.rendezvous(F.col("doc_id"), [1.0] * 6).alias("grown")
+    found = sharding.shard_rows(docs, "doc_id", [1.0] * 5, [grown]).collect()
+    slots = defaultdict(list)
+    for row in found:
+        slots[row["shard"]].append(row["slot"])
+        assert row["grown"] in (row["shard"], 5)
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values()) and len(found) == len(rows)
+    weighted = spark.range(20_000).select(sharding.rendezvous(F.col("id"), [1.0, 3.0, 0.0]).alias("s")).groupBy("s").count()
+    counts = {r["s"]: r["count"] for r in weighted.collect()}
+    assert set(counts) == {0, 1} and 2.7 < counts[1] / counts[0] < 3.3
+    assert sharding.shard_rows(nothing, "doc_id", [1.0]).count() == 0
+
+
+def test_toxicity(spark, docs, nothing):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+    rows = []
+    for k in range(400):
+        own = rng.choices(words, k=80)
+        if k % 4 == 0:
+            own[rng.randrange(80)] = rng.choice(["wretch", "villain", "scoundrel"])
+        rows.append((k, " ".join(own), int(k % 4 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    train, test = frame.where("doc_id % 5 <> 0"), frame.where("doc_id % 5 = 0")
+    model = toxicity.fit(frame.select("doc_id", "text"), train.select("doc_id", "toxic"), "doc_id", "text", "toxic")
+    found = toxicity.score_texts(test, model, "text", ["toxic"]).collect()
+    assert sum(r["toxic"] == r["predicted"] for r in found) >= 0.95 * len(found)
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score_texts(docs, model, "text", ["doc_id"]).collect())
+    none = toxicity.fit(nothing, train.limit(0), "doc_id", "text", "toxic")
+    assert {r["score"] for r in toxicity.score_texts(docs, none, "text", ["doc_id"]).collect()} == {0.0}
