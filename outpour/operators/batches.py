@@ -68,7 +68,9 @@ def number_batches(
     if parallelism is not None:
         rows = rows.repartition(parallelism, "__bucket")
 
-    window = W.partitionBy("__bucket", "__numbered").orderBy(*key, F.xxhash64(*columns))
+    # Maps have no hash, their JSON has; rows that are said to be unique may still share a key.
+    tie = F.xxhash64(F.to_json(F.struct(*columns))) if unique_rows else F.xxhash64(*columns)
+    window = W.partitionBy("__bucket", "__numbered").orderBy(*key, tie)
     if unique_rows:
         placed = rows.withColumn("__place", F.row_number().over(window).cast("long") - 1)
     else:

@@ -162,13 +162,14 @@ def _status_of_chunks(delivery: _Delivery):
 
     def status(batches: Iterator[Tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         size, partition, number = delivery.batch_size, TaskContext.get().partitionId(), 0
-        items, with_ids = pa.array([], pa.string()), pa.array([], pa.bool_())
+        items = with_ids = None  # Spark's settings choose the type of the texts
         for more_items, more_with_ids in batches:
-            items, with_ids = pa.concat_arrays([items, more_items]), pa.concat_arrays([with_ids, more_with_ids])
+            items = more_items if items is None else pa.concat_arrays([items, more_items])
+            with_ids = more_with_ids if with_ids is None else pa.concat_arrays([with_ids, more_with_ids])
             sendable = np.flatnonzero(items.is_valid())
             cuts = list(sendable[size - 1 :: size] + 1)
-            # A long stretch of rejected rows is let go rather than held until a batch fills up.
-            if len(sendable) == 0 or len(items) - (cuts[-1] if cuts else 0) > 64 * size:
+            # Rejected rows behind the last cut wait with the others: only a partition's last request may be short.
+            if len(sendable) == 0:
                 cuts.append(len(items))
             start = 0
             for cut in cuts:
@@ -178,7 +179,7 @@ def _status_of_chunks(delivery: _Delivery):
                     number += 1
                 start = cut
             items, with_ids = items[start:], with_ids[start:]
-        if len(items):
+        if items is not None and len(items):
             yield delivery.send(items, with_ids, (partition, number))
 
     return status

@@ -29,7 +29,7 @@ def retry_set(results: DataFrame, key: list[str]) -> DataFrame:
     columns = [F.col(quoted(name)) for name in results.columns]
     by_key = F.struct(*[F.col(name) for name in key]).alias("_key")
     at = F.col("processed_timestamp")
-    latest = F.max_by(F.struct(*columns), F.struct(at, F.xxhash64(*columns)))
+    latest = F.max_by(F.struct(*columns), F.struct(at, F.xxhash64(F.to_json(F.struct(*columns)))))  # maps have no hash
     failed = results.filter(~F.col("success")).groupBy(by_key)
     failed = failed.agg(latest.alias("_latest"), F.max(at).alias("_failed_at"))
     succeeded = results.filter(F.col("success")).groupBy(by_key).agg(F.max(at).alias("_succeeded_at"))

@@ -11,6 +11,7 @@ from outpour.contracts import Context
 from outpour.operators.deliver import Send, deliver
 
 BATCH_COLUMN = "stream_batch"
+RUN_COLUMN = "stream_run"
 
 
 def run_stream(
@@ -24,15 +25,19 @@ def run_stream(
 ) -> StreamingQuery:
     """Start delivering a streaming frame; results go to ``results_path`` as Parquet.
 
-    Each micro-batch writes the folder ``stream_batch=<id>`` and replaces it if it is run again
-    after a failure, so a row has one result even when it was sent twice. ``trigger`` takes the
+    Each micro-batch writes the folder ``stream_run=<query>/stream_batch=<id>`` and replaces it if it
+    is run again after a failure, so a row has one result even when it was sent twice. The query's
+    id belongs to its checkpoint: a new checkpoint, whose batches count from 0 again, and other
+    streams into the same path never touch these results. ``trigger`` takes the
     arguments of ``DataStreamWriter.trigger``; by default everything that is there is delivered
     and the query ends. ``options`` are those of ``deliver``.
     """
 
     def deliver_batch(batch: DataFrame, batch_id: int) -> None:
         delivered = deliver(batch, context, sender_factory, **options)
-        delivered.write.mode("overwrite").parquet(f"{results_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{results_path.rstrip('/')}/{RUN_COLUMN}={query}/{BATCH_COLUMN}={batch_id}"
+        delivered.write.mode("overwrite").parquet(folder)
 
     return (
         rows.writeStream.foreachBatch(deliver_batch)

@@ -102,3 +102,10 @@ def test_hot_keys_are_checked_by_broadcast(spark):
         assert plain.count() == 1000 - 334 - 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_retry_set_of_rows_with_a_map(spark):
+    rows = spark.sql(
+        "SELECT 'k' AS id, map('a', 1) AS note, false AS success, timestamp'2024-01-01' AS processed_timestamp"
+    )
+    assert [row["note"] for row in retry_set(rows, ["id"]).collect()] == [{"a": 1}]

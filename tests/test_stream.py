@@ -36,12 +36,15 @@ def test_every_arrival_is_delivered_once(spark, folders):
     assert results.filter("success").count() == 3
 
 
-def test_repeated_micro_batch_replaces_its_results(spark, folders):
-    """A new checkpoint starts again at batch 0: rows are sent twice, but have one result."""
+def test_new_checkpoint_keeps_earlier_results(spark, folders):
+    """A new checkpoint starts again at batch 0, beside the results of the earlier one."""
     arrive(spark, folders["in"], "a", "b")
     for n in range(2):
         stream(spark, {**folders, "checkpoint": f"{folders['checkpoint']}{n}"}, accepting).awaitTermination()
-    assert spark.read.parquet(folders["out"]).count() == 2
+    results = spark.read.parquet(folders["out"])
+    assert results.count() == 4
+    runs = [row["stream_run"] for row in results.select("stream_run").distinct().collect()]
+    assert len(runs) == 2 and "None" not in runs
 
 
 def test_refusal_stops_the_stream(spark, folders):
