@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from outpour.llm.store import ship
 
@@ -173,13 +174,15 @@ def identify(docs: DataFrame, model: Model, text_column: str, carry: list[str])
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
     names = [name for name in carry if name not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{name}`") for name in names], F.col(text_column).alias("__text"))
-    out = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    own_text = [] if text_column in names else [F.col(text_column).alias("__text")]
+    rows = docs.select(*[F.col(f"`{name}`") for name in names], *own_text)
+    place = len(names) if own_text else names.index(text_column)
+    out = StructType([*rows.drop("__text").schema, *StructType.fromDDL("lang_pred string, score double")])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for part in parts:
-            found = [own.predict(text) for text in part.column(len(names)).to_pylist()]
+            found = [own.predict(text) for text in part.column(place).to_pylist()]
             columns = [part.column(k) for k in range(len(names))]
             columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])

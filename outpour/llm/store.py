@@ -15,11 +15,14 @@ from outpour.sources.session import shared_path, ship_packages
 #: Most rows of a gate, and so the bound of its broadcast (8 bytes a row).
 POSITIONS = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the executors."""
+    """Make this package importable on the executors, and batches of texts for Python small, if the session sets no size."""
     ship_packages(spark, os.path.dirname(os.path.abspath(outpour.__file__)))
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(4 << 20))
 
 
 @contextmanager
