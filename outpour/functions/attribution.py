@@ -25,6 +25,9 @@ RESPONSE_TYPE = (
     "failed:array<struct<item_number:int,error_code:string,message:string>>>"
 )
 
+# Kinds of responses that fail a batch as a whole.
+WHOLE_KINDS = ("transient", "server_error")
+
 _PHRASES = {status.value: status.phrase for status in HTTPStatus}
 
 
@@ -42,28 +45,22 @@ def _error(code: Column, message: Column) -> Column:
     return F.struct(code.alias("error_code"), message.alias("error_message"))
 
 
-def _last_error(failed: Column) -> Column:
-    last = F.try_element_at(failed, F.lit(-1))
-    return F.when(last.isNotNull(), _error(last["error_code"], last["message"]))
-
-
-def failed_item_error(failed: Column, item_number: Column) -> Column:
-    """Error struct of one item given the failures of its batch; null when it succeeded."""
-    own = F.filter(failed, lambda line: line["item_number"] == item_number)
-    general = F.filter(failed, lambda line: line["item_number"].isNull())
-    return F.coalesce(_last_error(own), _last_error(general))
+def item_error(line: Column) -> Column:
+    """Error struct of one line of a response's failures."""
+    return _error(line["error_code"], line["message"])
 
 
-def response_error(response: Column, item_number: Column) -> Column:
-    """Error struct of one item given the whole response (``RESPONSE_TYPE``); null on success."""
+def batch_error(response: Column) -> Column:
+    """Error struct of the items that a response (``RESPONSE_TYPE``) does not name; null when they succeeded."""
     no_code = F.lit(None).cast("string")
+    last = F.try_element_at(F.filter(response["failed"], lambda line: line["item_number"].isNull()), F.lit(-1))
     return (
         F.when(response["kind"] == "transient", _error(no_code, response["message"]))
         .when(
             response["kind"] == "server_error",
             _error(status_phrase_column(response["status"]), response["message"]),
         )
-        .otherwise(failed_item_error(response["failed"], item_number))
+        .otherwise(F.when(last.isNotNull(), item_error(last)))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outpour.functions.attribution import response_error, stray_failures
+from outpour.functions.attribution import WHOLE_KINDS, batch_error, item_error, stray_failures
 from outpour.operators.conform import quoted
 
 
@@ -17,18 +17,29 @@ def attribute(numbered: DataFrame, responses: DataFrame) -> DataFrame:
     """Numbered rows with ``success``, ``error_code`` and ``error_message``.
 
     ``responses`` has one row per batch: ``bucket``, ``batch_no`` and ``response``
-    (``functions.attribution.RESPONSE_TYPE``). A batch without a response failed as a whole. The
-    join is on batches, which are bounded, so no key is hot.
+    (``functions.attribution.RESPONSE_TYPE``). A batch without a response failed as a whole.
+
+    Failures are taken apart into one line per item before they meet the rows, so that a batch of which
+    all items failed costs no more than its size. Both joins are on batches or items of batches, which are
+    bounded, so no key is hot.
     """
-    joined = numbered.join(responses, ["bucket", "batch_no"], "left")
-    error = F.when(F.col("response").isNull(), _no_response())
-    error = error.otherwise(response_error(F.col("response"), F.col("item_number")))
-    found = joined.select(*[F.col(quoted(name)) for name in numbered.columns], error.alias("_error"))
-    return found.select(
-        *[F.col(quoted(name)) for name in numbered.columns],
-        F.col("_error").isNull().alias("success"),
-        F.col("_error.error_code").alias("error_code"),
-        F.col("_error.error_message").alias("error_message"),
+    batch, item = ["bucket", "batch_no"], ["bucket", "batch_no", "item_number"]
+    answered = responses.where(F.col("response").isNotNull())
+    general = answered.select(*batch, F.lit(True).alias("__answered"), batch_error(F.col("response")).alias("__general"))
+    lines = answered.where(F.col("response.kind").isNull() | ~F.col("response.kind").isin(*WHOLE_KINDS))
+    lines = lines.select(*batch, F.posexplode("response.failed").alias("__pos", "__line"))
+    lines = lines.select(*batch, "__pos", "__line", F.col("__line.item_number").alias("item_number"))
+    own = F.max_by(item_error(F.col("__line")), "__pos").alias("__own")
+    failures = lines.where(F.col("item_number").isNotNull()).groupBy(*item).agg(own)
+
+    joined = numbered.join(general, batch, "left").join(failures, item, "left")
+    error = F.when(F.col("__answered").isNull(), _no_response()).otherwise(F.coalesce("__own", "__general"))
+    columns = [F.col(quoted(name)) for name in numbered.columns]
+    return joined.select(*columns, error.alias("__error")).select(
+        *columns,
+        F.col("__error").isNull().alias("success"),
+        F.col("__error.error_code").alias("error_code"),
+        F.col("__error.error_message").alias("error_message"),
     )
 
 

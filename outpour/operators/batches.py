@@ -33,9 +33,10 @@ def number_batches(
 ) -> DataFrame:
     """Add ``bucket``, ``batch_no`` (from 0) and ``item_number`` (from 1).
 
-    The same rows always get the same numbers, whatever the partitioning: within a bucket rows
-    are ordered by ``key`` and cut into batches of ``batch_size``, the last one short. Rows that
-    fail ``only`` are kept with null numbers.
+    The same rows in the same buckets always get the same numbers, whatever the partitioning: within a
+    bucket rows are ordered by ``key`` and cut into batches of ``batch_size``, the last one short. Rows
+    that fail ``only`` are kept with null numbers. The default number of buckets follows a setting of the
+    session, so give one where numbers must outlive it.
 
     A bucket is one window group and ends in one short batch, so it should be large against
     ``batch_size``, yet must not grow with the table. It is a hash into as many buckets as given
@@ -127,13 +128,18 @@ def shape(df: DataFrame, context: Context, documented: bool = False) -> DataFram
     return judged.select("*", item.alias("_item"), has_user_ids(context).alias("_has_ids")).drop("_field")
 
 
-def gather_requests(numbered: DataFrame, context: Context, trace_id: str | None = None) -> DataFrame:
+def gather_requests(
+    numbered: DataFrame, context: Context, trace_id: str | None = None, documented: bool = False
+) -> DataFrame:
     """One row per batch of a numbered frame: its size, envelope and body.
 
-    Groups are batches, so none is larger than the batch size. Only the items are shuffled.
+    Groups are batches, so none is larger than the batch size. Only the items are shuffled. A body holds
+    exactly the items that were numbered, else responses would be attributed to the wrong rows: a numbered
+    row that cannot be shaped is an error (number with ``only``, by the same ``documented``).
     """
-    items = shape(conform(numbered, context.contract), context).filter(F.col("_item").isNotNull() & F.col("batch_no").isNotNull())
-    entry = F.struct("item_number", "_item")
+    items = shape(conform(numbered, context.contract), context, documented).filter(F.col("batch_no").isNotNull())
+    unfit = F.concat(F.lit("a numbered row cannot be sent: "), F.array_join("_reasons", ", "))
+    entry = F.struct("item_number", F.coalesce(F.col("_item"), F.raise_error(unfit)).alias("_item"))
     requests = (
         items.select("bucket", "batch_no", entry.alias("entry"), "_has_ids")
         .groupBy("bucket", "batch_no")

@@ -53,23 +53,45 @@ def _hot_hashes(rows: DataFrame, key: list[str], hot_rows: int) -> list[int]:
     return [row["item"] for row in top.select("entry.*").collect() if row["count"] > hot_rows]
 
 
-def skip_delivered(rows: DataFrame, results: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def skip_delivered(
+    rows: DataFrame, results: DataFrame, key: list[str], hot_rows: int = HOT_ROWS, version: str | None = None
+) -> DataFrame:
     """The rows whose key has no successful result yet: an anti join against distinct keys.
 
+    ``version`` names a column of both that grows when a row changes: a row also stays if its version is
+    above all that were delivered for its key. A null version says nothing, so then the key decides.
+
     Rows of hot keys do not take part in the shuffle; they are checked against a broadcast of at
     most ``MAX_HOT_KEYS`` keys. Which keys are hot is found first, by a pass over the key columns
     of ``rows``; it only decides the way, so an estimate will do. Rows with a null in the key
-    match nothing, so they go around the join instead of meeting in one task.
+    match nothing, so they go around the join instead of meeting in one task. The pass runs as a job
+    when this is called.
     """
     has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in key])
     keyed = rows.filter(has_key)
-    delivered = results.filter(F.col("success")).select(*key)
+    delivered = results.filter(F.col("success"))
     hot_hashes = _hot_hashes(keyed, key, hot_rows)
     if not hot_hashes:
-        return rows.filter(~has_key).unionByName(keyed.join(delivered.distinct(), key, "left_anti"))
+        return rows.filter(~has_key).unionByName(_undelivered(keyed, _newest(delivered, key, version), key))
     is_hot = F.xxhash64(*key).isin(hot_hashes)
-    cold = keyed.filter(~is_hot).join(delivered.distinct(), key, "left_anti")
+    cold = _undelivered(keyed.filter(~is_hot), _newest(delivered, key, version), key)
     hot_keys = keyed.filter(is_hot).select(*key).distinct()
-    hot_delivered = delivered.join(F.broadcast(hot_keys), key, "left_semi").distinct()
-    hot = keyed.filter(is_hot).join(F.broadcast(hot_delivered), key, "left_anti")
+    hot_delivered = _newest(delivered.join(F.broadcast(hot_keys), key, "left_semi"), key, version)
+    hot = _undelivered(keyed.filter(is_hot), F.broadcast(hot_delivered), key)
     return rows.filter(~has_key).unionByName(cold).unionByName(hot)
+
+
+def _newest(delivered: DataFrame, key: list[str], version: str | None) -> DataFrame:
+    """One row per delivered key, under hidden names, with its latest version if there is one to compare."""
+    names = [F.col(name).alias(f"__key_{place}") for place, name in enumerate(key)]
+    if version is None:
+        return delivered.select(*names).distinct()
+    return delivered.groupBy(*names).agg(F.max(version).alias(f"__latest_{version}"))
+
+
+def _undelivered(rows: DataFrame, newest: DataFrame, key: list[str]) -> DataFrame:
+    same = reduce(lambda a, b: a & b, [F.col(name) == F.col(f"__key_{place}") for place, name in enumerate(key)])
+    for name in newest.columns[len(key) :]:
+        older = F.col(quoted(name.removeprefix("__latest_"))) <= F.col(quoted(name))
+        same = same & F.coalesce(older, F.lit(True))
+    return rows.join(newest, same, "left_anti")

@@ -22,12 +22,18 @@ from outpour.sources.tables import append_rows, append_run, require_table
 
 @dataclass(frozen=True)
 class RunSummary:
-    """What a run did. ``mark`` is where the next incremental run starts."""
+    """What a run did. ``mark`` is where the next incremental run starts.
+
+    ``unstamped`` rows have no ``updated_at``, so an increment never takes them; ``ahead`` ones are stamped
+    later than the start of the run, so the mark does not reach them and the next run takes them again.
+    """
 
     records: int
     succeeded: int
     failed: int
     mark: datetime | None
+    unstamped: int = 0
+    ahead: int = 0
 
 
 def run_batch(
@@ -50,12 +56,14 @@ def run_batch(
     With ``new_rows_only`` only rows with ``updated_at`` after the feed's mark in the ledger are
     taken (all rows in the first run); ``since`` overrides the mark, for a backfill.
     ``overlap`` reaches back before the mark, ``skip_delivered_by`` names the key by which rows
-    already delivered are left out. ``options`` are those of ``deliver``.
+    already delivered, and not changed since (by ``updated_at``), are left out. ``options`` are
+    those of ``deliver``.
 
     One pass: counts and the new mark are observed on the rows as they are written. The mark is
-    the largest ``updated_at`` that was read, not the time of the run, so rows that arrive while
-    the run goes on are not missed. Results are written before the ledger, so a run that breaks
-    between the two is repeated, not lost.
+    the largest ``updated_at`` that was read, up to the start of the run, so rows that arrive while
+    the run goes on are not missed and a stamp in the future holds nothing up. Where delivered rows
+    are left out, they count for the mark too, by a pass over ``updated_at`` alone. Results are
+    written before the ledger, so a run that breaks between the two is repeated, not lost.
     """
     if new_rows_only and ledger_table is None:
         raise ConfigurationError("new_rows_only needs a ledger_table")
@@ -69,16 +77,27 @@ def run_batch(
     mark = last_mark(spark.table(ledger_table), feed) if ledger_table is not None else None
 
     rows = spark.table(input_table)
+    unstamped = 0
     if new_rows_only:
-        rows = new_rows(rows, contract, since or mark, overlap)
+        source, rows = rows, new_rows(rows, contract, since or mark, overlap)
+        if since or mark:
+            unstamped = source.where(F.col("updated_at").isNull()).count()
     rows = conform(rows, contract)
     if strict:
         require_sendable(rows, contract, options.get("documented_checks", False))
-    if skip_delivered_by and spark.catalog.tableExists(output_table):
-        rows = skip_delivered(rows, spark.table(output_table), skip_delivered_by)
 
     stamped = not missing_columns(rows, ["updated_at"])
-    latest = F.unix_micros(F.max("updated_at")) if stamped else F.lit(None).cast("long")
+    at = F.col("updated_at") if stamped else F.lit(None).cast("timestamp")
+    stamps = [
+        F.unix_micros(F.max(F.when(at <= F.lit(run_at), at))).alias("latest"),
+        F.count_if(at > F.lit(run_at)).alias("ahead"),
+    ]
+    read = {}
+    if skip_delivered_by and spark.catalog.tableExists(output_table):
+        read = rows.agg(*stamps).first().asDict()
+        results = spark.table(output_table)
+        version = "updated_at" if stamped and not missing_columns(results, ["updated_at"]) else None
+        rows = skip_delivered(rows, results, skip_delivered_by, version=version)
     counts = Observation()
     with typed_errors():
         # Observed above the delivery, in the stage that writes: a task counts once there, however
@@ -87,10 +106,10 @@ def run_batch(
             counts,
             F.count(F.lit(1)).alias("records"),
             F.count_if("success").alias("succeeded"),
-            latest.alias("latest") if stamped else F.max(latest).alias("latest"),
+            *stamps,
         )
         append_rows(delivered, output_table)
-    seen = counts.get
+    seen = counts.get | read
     if seen["latest"] is not None:
         reached = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=seen["latest"])
     else:
@@ -98,4 +117,5 @@ def run_batch(
     mark = max((m for m in (mark, reached) if m is not None), default=None)
     if ledger_table is not None:
         append_run(spark, ledger_table, feed, mark, run_at, seen["records"])
-    return RunSummary(seen["records"], seen["succeeded"], seen["records"] - seen["succeeded"], mark)
+    failed = seen["records"] - seen["succeeded"]
+    return RunSummary(seen["records"], seen["succeeded"], failed, mark, unstamped, seen["ahead"])

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from outpour.functions.attribution import (
     RESPONSE_TYPE,
     attribute_batch,
-    response_error,
     status_phrase,
     status_phrase_column,
     stray_failures,
 )
+from outpour.operators.attribute import attribute
 
 BATCHES = f"n int, response {RESPONSE_TYPE}"
 
@@ -35,13 +35,11 @@ def model(failed, rows):
 
 
 def column_statuses(spark, responses):
-    df = spark.createDataFrame([(rows, response) for rows, response in responses], BATCHES)
-    df = df.withColumn("batch", F.monotonically_increasing_id()).filter("n > 0")
-    df = df.withColumn("item", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    error = response_error(F.col("response"), F.col("item"))
-    found = df.select("batch", "item", error.isNull().alias("success"), error.alias("error"))
-    rows = found.select("success", "error.error_code", "error.error_message").orderBy("batch", "item").collect()
-    return [tuple(row) for row in rows]
+    given = [(0, batch, rows, response) for batch, (rows, response) in enumerate(responses)]
+    df = spark.createDataFrame(given, f"bucket long, batch_no long, {BATCHES}").filter("n > 0")
+    numbered = df.select("bucket", "batch_no", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("item_number"))
+    found = attribute(numbered, df.drop("n")).orderBy("batch_no", "item_number")
+    return [tuple(row) for row in found.select("success", "error_code", "error_message").collect()]
 
 
 CASES = [

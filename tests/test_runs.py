@@ -213,6 +213,38 @@ def test_late_rows_with_overlap(spark, tables):
     assert delivered(spark, results) == ["v1", "v2", "v3", "v4"]
 
 
+def test_changed_rows_go_out_again(spark, tables):
+    source, results, ledger = tables
+    options = {"new_rows_only": True, "overlap": timedelta(days=9), "skip_delivered_by": ["id_type", "id_value"]}
+    append_rows(members(spark, 1, 2), source)
+    run_batch(spark, CONTEXT, accepting, source, results, ledger, **options)
+    append_rows(members(spark, 1).withColumn("updated_at", F.lit(at(5))), source)
+    changed = run_batch(spark, CONTEXT, accepting, source, results, ledger, **options)
+    assert (changed.records, changed.mark) == (1, at(5))
+    assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 0
+    assert delivered(spark, results) == ["v1", "v1", "v2"]
+
+
+def test_mark_counts_rows_that_were_left_out(spark, tables):
+    source, results, ledger = tables
+    append_rows(members(spark, 1, 2), source)
+    run_batch(spark, CONTEXT, accepting, source, results)
+    options = {"new_rows_only": True, "skip_delivered_by": ["id_type", "id_value"]}
+    summary = run_batch(spark, CONTEXT, accepting, source, results, ledger, **options)
+    assert (summary.records, summary.mark) == (0, at(2))
+
+
+def test_stamps_in_the_future_and_missing_ones_are_counted(spark, tables):
+    source, results, ledger = tables
+    ahead = members(spark, 9).withColumn("updated_at", F.lit(datetime(2099, 1, 1, tzinfo=timezone.utc)))
+    append_rows(members(spark, 1).unionByName(ahead), source)
+    first = run_batch(spark, CONTEXT, accepting, source, results, ledger, new_rows_only=True)
+    assert (first.records, first.mark, first.ahead, first.unstamped) == (2, at(1), 1, 0)
+    append_rows(members(spark, 2, None), source)
+    second = run_batch(spark, CONTEXT, accepting, source, results, ledger, new_rows_only=True)
+    assert (second.records, second.mark, second.ahead, second.unstamped) == (2, at(2), 1, 1)
+
+
 def test_failures_are_counted_and_recorded(spark, tables):
     source, results, ledger = tables
     append_rows(members(spark, 1, 2, 3).coalesce(1), source)

@@ -303,6 +303,13 @@ CHECKS = {
           CASE WHEN batch_no % 3 = 1 AND item_number <> 3 THEN 'G' END AS error_code,
           CASE WHEN batch_no % 3 = 1 AND item_number <> 3 THEN 'rest' END AS error_message
         FROM numbered""",
+    "attribution_all_failed": """
+        SELECT event_id, event_id // 8000 AS bucket, place // 1600 AS batch_no,
+          CAST(place % 1600 + 1 AS INTEGER) AS item_number, FALSE AS success,
+          CASE WHEN place % 1600 < 1500 THEN 'ITEM' ELSE 'GEN' END AS error_code,
+          CASE WHEN place % 1600 < 1500 THEN 'item ' || (place % 1600 + 1) ELSE 'rest' END AS error_message
+        FROM (SELECT event_id, row_number() OVER (PARTITION BY event_id // 8000 ORDER BY event_id) - 1 AS place
+          FROM events)""",
     "attribution_out_of_range": f"""
         WITH {NUMBERED}
         SELECT bucket, batch_no, count(*) FILTER (WHERE item_number = 4) AS failed, count(*) AS items,
@@ -347,5 +354,10 @@ CHECKS = {
     "replay_skip": f"""
         WITH {RUNS} SELECT * FROM mem WHERE NOT EXISTS (
           SELECT 1 FROM runs WHERE runs.event_id = mem.event_id AND runs.success)""",
+    "replay_skip_updated": f"""
+        WITH {RUNS}, changed AS (SELECT * REPLACE (
+          CASE WHEN event_id % 3 = 0 THEN updated_at + INTERVAL 24 HOUR ELSE updated_at END AS updated_at) FROM mem)
+        SELECT * FROM changed WHERE event_id % 3 = 0 OR NOT EXISTS (
+          SELECT 1 FROM runs WHERE runs.event_id = changed.event_id AND runs.success)""",
     "replay_skip_hot": f"WITH {MEM} SELECT * FROM mem WHERE segment_name NOT IN ('view', 'click')",
 }

@@ -386,6 +386,20 @@ def attribution_null_error(spark, sf_dir):
     return _attributed(spark, sf_dir, failed)
 
 
+@query
+def attribution_all_failed(spark, sf_dir):
+    """Large batches whose response names nearly every item."""
+    failed = """
+      concat(
+        transform(sequence(1, 1500), n -> named_struct('item_number', n, 'error_code', 'ITEM', 'message', 'item ' || n)),
+        array(named_struct('item_number', CAST(NULL AS INT), 'error_code', 'GEN', 'message', 'rest'))
+      )
+    """
+    rows = memberships(spark, sf_dir).select("event_id")
+    numbered = number_batches(rows, 1600, ["event_id"], F.expr("event_id div 8000"), unique_rows=True)
+    return attribute(numbered, _responses(numbered, failed))
+
+
 @query
 def attribution_out_of_range(spark, sf_dir):
     failed = "array(struct(0, 'LOW', 'x'), struct(26 + CAST(batch_no AS INT), 'HIGH', 'x'), struct(4, 'IN', 'x'))"
@@ -566,6 +580,16 @@ def replay_skip(spark, sf_dir):
     return times(rows, "timestamp_ntz")
 
 
+@query
+def replay_skip_updated(spark, sf_dir):
+    """Rows that changed after their delivery go out again."""
+    later = F.col("updated_at") + F.expr("INTERVAL 24 HOUR")
+    updated_at = F.when(F.col("event_id") % 3 == 0, later).otherwise(F.col("updated_at"))
+    rows = memberships(spark, sf_dir).withColumn("updated_at", updated_at)
+    rows = history.skip_delivered(rows, _two_runs(spark, sf_dir), ["event_id"], version="updated_at")
+    return times(rows, "timestamp_ntz")
+
+
 @query
 def replay_skip_hot(spark, sf_dir):
     """By segment, of which there are few: every key is hot."""
