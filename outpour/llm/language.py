@@ -5,7 +5,7 @@ to length one. Linear support vector machines, one for each pair of families and
 of its languages, are fitted by dual coordinate descent; votes decide, then summed margins, then the name.
 
 The machines are fitted on a bounded sample: at most ``max_rows`` labelled rows in all, drawn evenly over the languages by
-a hash of the row (``fit``). Everything else covers whole texts and all rows, and prediction is a map without a shuffle.
+a hash of the text, copies counted once (``fit``). Everything else covers whole texts and all rows, and prediction is a map without a shuffle.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows with a null language are not learned from. With
 one learned language every other text gets it with score 1; with none, everything is ``und``.
@@ -103,8 +103,8 @@ def _winner(contests: tuple[Contest, ...], names: list[str], point: np.ndarray)
 def fit(labelled: DataFrame, text_column: str, lang_column: str, max_rows: int = MAX_ROWS) -> Model:
     """A model of the labelled rows; rows with a null label are left out.
 
-    ``max_rows`` bounds the sample that is fitted on: ``max_rows / languages`` rows of each language, those with the
-    smallest hash of text; rows are drawn before anything is computed from their texts.
+    ``max_rows`` bounds the sample that is fitted on: ``max_rows / languages`` texts of each language, those with the
+    smallest hash; texts are drawn before features are computed from them, and copies of a text are learned from once.
     """
     ship(labelled.sparkSession)
     rows = labelled.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
@@ -118,7 +118,9 @@ def fit(labelled: DataFrame, text_column: str, lang_column: str, max_rows: int =
     share = F.lit(None)
     for language in languages:
         share = F.when(F.col("lang") == language, F.lit(min(1.0, 1.2 * each / sizes[language]))).otherwise(share)
-    drawn = rows.where(draw <= share).limit(2 * max_rows)
+    # Copies of a text are one row of the sample, so a group of copies neither fills it nor crowds others out.
+    drawn = rows.where(draw <= share).groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text"))
+    drawn = drawn.select("lang", "text").limit(2 * max_rows)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -216,6 +216,12 @@ def test_language(spark, nothing):
     test += [(None, "und"), ("12 !", "und"), ("", "und")]
     found = language.identify(spark.createDataFrame(test, "text string, lang string"), model, "text", ["lang"]).collect()
     assert all(r["lang"] == r["lang_pred"] and 0 <= r["score"] <= 1 for r in found) and len(found) == len(test)
+    # A group of copies larger than the whole sample changes nothing.
+    copies = spark.range(400).selectExpr("'the house of the lord' AS text", "'en' AS lang")
+    crowded = language.fit(frame.union(copies), "text", "lang", max_rows=160)
+    assert crowded.languages == ("de", "en", "es", "fr")
+    found = language.identify(spark.createDataFrame(test, "text string, lang string"), crowded, "text", ["lang"])
+    assert found.where("lang <> lang_pred").isEmpty()
     empty = language.fit(nothing, "text", "lang")
     assert {r["lang_pred"] for r in language.identify(frame, empty, "text", ["lang"]).collect()} == {"und"}
 
