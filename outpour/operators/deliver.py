@@ -231,16 +231,19 @@ def _run_starts(rows: pa.RecordBatch) -> list[int]:
 def spread_rows(df: DataFrame, parallelism: int | str | None) -> DataFrame:
     """Distribute rows over senders.
 
-    A number gives exactly that many, ``"auto"`` twice the default parallelism, ``"source"``
-    leaves the partitions as they are, without a shuffle. None lets Spark even the rows out
-    (rebalance): small increments end up in few full batches, big ones in bounded partitions.
+    None or ``"auto"`` gives twice the default parallelism or the shuffle partitions, whichever is more, so it
+    follows the cluster and its settings and not the number of rows. A number gives exactly that many,
+    ``"source"`` leaves the partitions as they are, without a shuffle. ``"rebalance"`` lets Spark even rows
+    out by size: a small increment ends up in few full batches of one sender, a big one in bounded partitions.
     """
-    if parallelism is None:
-        return df.hint("rebalance")
     if parallelism == "source":
         return df
-    if parallelism == "auto":
-        return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+    if parallelism == "rebalance":
+        return df.hint("rebalance")
+    if parallelism in (None, "auto"):
+        spark = df.sparkSession
+        set_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parallelism = max(2 * spark.sparkContext.defaultParallelism, set_partitions)
     return df.repartition(int(parallelism))
 
 

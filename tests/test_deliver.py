@@ -225,7 +225,8 @@ def test_spreading(spark):
     assert spread_rows(df, "source").rdd.getNumPartitions() == 3
     assert spread_rows(df, 5).rdd.getNumPartitions() == 5
     assert spread_rows(df, "auto").rdd.getNumPartitions() == 8
-    assert "REBALANCE" in plan(spread_rows(df, None))
+    assert spread_rows(df, None).rdd.getNumPartitions() == 8
+    assert "REBALANCE" in plan(spread_rows(df, "rebalance"))
     assert "Exchange" not in plan(deliver(df, CONTEXT, accepting, parallelism="source"))
 
 
