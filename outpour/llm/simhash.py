@@ -223,11 +223,15 @@ def near_pairs(fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.nda
 
 
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows but those linked to a row with a smaller id. Rows with a null id stay, and so do rows that repeat an id.
+    """The rows but those linked to a row with a smaller id. Rows with a null id stay, and so do rows that repeat an id."""
+    return drop_linked(docs, near_components(fingerprints(docs, id_column, text_column)), id_column)
+
+
+def drop_linked(docs: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
+    """The rows but those whose component (``found``: id, component_id) has a smaller id.
 
     A gate finds the few rows that may go; the texts of all others are not shuffled.
     """
-    found = near_components(fingerprints(docs, id_column, text_column))
     dropped = written(found.where("id <> component_id").select("id").distinct(), "simhash-dropped")
     own = F.col(id_column).cast("long")
     rows = gated(docs, gate(dropped, "simhash-gate"), [own], "__hit")
