@@ -16,6 +16,7 @@ closing id alone. Repeated rows are packed like any others; ids of documents may
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -33,12 +34,23 @@ from outpour.llm.store import ship, written
 CLOSING_ID = 0
 
 
-def tiktoken_encoder(ranks: bytes, pattern: str) -> Callable[[str], np.ndarray]:
-    """Encoder of whole texts to uint32 ids, without special tokens."""
+def added_tokens(tokenizer: bytes) -> dict[str, int]:
+    """The tokens that a tokenizer's JSON adds to its vocabulary. The library matches them inside texts, special or not."""
+    found = json.loads(tokenizer)["added_tokens"]
+    for token in found:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes more than its own characters or needs borders")
+    return {token["content"]: token["id"] for token in found}
+
+
+def tiktoken_encoder(ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], np.ndarray]:
+    """Encoder of whole texts to uint32 ids; texts are split at the tokens of ``added``, which have their own ids."""
     import tiktoken
 
-    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks), special_tokens={})
-    return lambda text: np.array(encoding.encode_ordinary(text), np.uint32)
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks), special_tokens=added or {})
+    if not added:
+        return lambda text: np.array(encoding.encode_ordinary(text), np.uint32)
+    return lambda text: np.array(encoding.encode(text, allowed_special="all"), np.uint32)
 
 
 def pieces(

@@ -87,9 +87,10 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """The pieces of all documents, packed; ids are those of the public 50k vocabulary."""
+    """The pieces of all documents, packed; ids are those of the public 50k tokenizer, its added tokens included."""
     ranks, pattern = _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    found = packing.pieces(docs, "doc_id", "text", lambda: packing.tiktoken_encoder(ranks, pattern))
+    added = packing.added_tokens(_vocabulary("byte_bpe_50k.json"))
+    found = packing.pieces(docs, "doc_id", "text", lambda: packing.tiktoken_encoder(ranks, pattern, added))
     return packing.pack(found)
 
 
