@@ -29,6 +29,8 @@ from outpour.llm.store import ship
 UNDETERMINED = "und"
 DIMS = 1 << 12
 MAX_ROWS = 4000
+#: Texts of a language that are drawn at least, by expectation, so that none is left without any by chance.
+LEAST = 20
 
 # Families of languages by ISO 639-1 code. A code not listed is a family of its own.
 FAMILIES = {
@@ -103,24 +105,28 @@ def _winner(contests: tuple[Contest, ...], names: list[str], point: np.ndarray)
 def fit(labelled: DataFrame, text_column: str, lang_column: str, max_rows: int = MAX_ROWS) -> Model:
     """A model of the labelled rows; rows with a null label are left out.
 
-    ``max_rows`` bounds the sample that is fitted on: ``max_rows / languages`` texts of each language, those with the
-    smallest hash; texts are drawn before features are computed from them, and copies of a text are learned from once.
+    ``max_rows`` bounds the sample that is fitted on: about ``max_rows / languages`` different texts of each language, those
+    with the smallest hash, and all of a language that has fewer; texts are drawn before features are computed from them,
+    and copies of a text count and are learned from once.
     """
     ship(labelled.sparkSession)
     rows = labelled.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     rows = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
-    sizes = {row["lang"]: row["rows"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    # Texts are drawn by their hash, so what a share gives goes by different texts, not by rows.
+    different = rows.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    sizes = {row["lang"]: row["texts"] for row in different.collect()}
     languages = tuple(sorted(language for language in sizes if language != UNDETERMINED))
     if not languages:
         return Model((), (), {})
     each = max(1, max_rows // len(languages))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(1 << 30)
     share = F.lit(None)
+    wanted = max(1.2 * each, LEAST)
     for language in languages:
-        share = F.when(F.col("lang") == language, F.lit(min(1.0, 1.2 * each / sizes[language]))).otherwise(share)
+        share = F.when(F.col("lang") == language, F.lit(min(1.0, wanted / sizes[language]))).otherwise(share)
     # Copies of a text are one row of the sample, so a group of copies neither fills it nor crowds others out.
     drawn = rows.where(draw <= share).groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text"))
-    drawn = drawn.select("lang", "text").limit(2 * max_rows)
+    drawn = drawn.select("lang", "text").limit(max(2 * max_rows, 2 * LEAST * len(languages)))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -1,11 +1,12 @@
 """Cases in which the training-data operators did less than the whole job."""
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 
-from outpour.llm import queries
+from outpour.llm import language, queries
 
 
 def test_packed_ids_are_those_of_the_library_at_its_defaults(spark):
@@ -18,3 +19,14 @@ def test_packed_ids_are_those_of_the_library_at_its_defaults(spark):
     for row in found:
         ids = np.array([*library.encode(texts[row["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
         assert (row["doc_tokens"], row["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_language_of_mostly_copies_is_learned_from_its_other_texts(spark):
+    rng = random.Random(9)
+    words = {"en": "the house of lord is there and with this", "de": "das haus ist nicht der wald und die zwei"}
+    rows = [(" ".join(rng.choices(own.split(), k=30)), name) for name, own in words.items() for _ in range(60)]
+    copies = spark.range(200_000).selectExpr("'das haus' AS text", "'de' AS lang")
+    frame = spark.createDataFrame(rows, "text string, lang string").union(copies)
+    model = language.fit(frame, "text", "lang", max_rows=400)
+    assert model.languages == ("de", "en")
+    assert all(model.predict(text)[0] == name for text, name in rows)
