@@ -2,7 +2,7 @@
 
 The standard library's streaming parser turns a page into lines: one for each block of text, with its characters and the
 tags met while it was read. Lines inside elements that are never content (menus, forms, scripts, adverts ..., by element
-or by the words of class, id and role) are left out at once. The ratio of text to tags of the other lines is smoothed
+or by a whole class, id or role) are left out; a form or a named element that wraps the page is not one of them. The ratio of text to tags of the other lines is smoothed
 with a Gaussian over the page, and a threshold that splits the ratios into two clusters (their means in turn set the
 threshold) selects content lines. If most of the selected text lies in one article or main element, the region is that
 element with all of its lines, short ones too; else the region is the selected lines.
@@ -14,7 +14,6 @@ repeated rows, ties and extra columns have no effect.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,29 +42,33 @@ NOT_CONTENT_WORDS = frozenset(
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
     "related share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
-_WORDS = re.compile(r"[a-z]+")
+#: Elements that their names never leave out.
+WHOLE = frozenset(["html", "body", "main", "article"])
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, tags and the region each is in."""
+    """Lines of a page: text, tags and the region each is in.
+
+    Forms and elements left out by name are marks: whether they go is known when all of the page has been read. One that
+    holds most of the page's text, and all text of its regions if there are any, wraps the page and stays.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.regions: list[int] = []
-        self._open: list[tuple[str, bool, int]] = []  # element, whether it is left out, region
-        self._text: list[str] = []
+        self._lines: list[tuple[list[tuple[int, str]], int, int]] = []  # parts with the mark each is in, tags, region
+        self._outer = [0]  # mark around each mark; 0 is none
+        self._open: list[tuple[str, bool, int, int]] = []  # element, whether it is left out, region and mark around it
+        self._text: list[tuple[int, str]] = []
         self._tags = 0
-        self._region = self._last_region = 0
+        self._region = self._last_region = self._mark = 0
 
     def _end_line(self) -> None:
         if self._text:
-            text = " ".join("".join(self._text).split())
-            if text:
-                self.texts.append(text)
-                self.tags.append(self._tags)
-                self.regions.append(self._region)
+            if any(text.strip() for _, text in self._text):
+                self._lines.append((self._text, self._tags, self._region))
                 self._tags = 0
             self._text = []
 
@@ -76,28 +79,31 @@ class Lines(HTMLParser):
             if tag == "p":
                 self._close("p")
         elif tag == "br":
-            self._text.append(" ")
+            self._text.append((self._mark, " "))
         if tag in VOID:
             return
         left_out = bool(self._open) and self._open[-1][1]
-        region = self._region
+        region, mark = self._region, self._mark
         if not left_out:
-            left_out = tag in NEVER_CONTENT or self._named(attrs) or (tag == "header" and not region)
+            left_out = tag in NEVER_CONTENT and tag != "form" or self._hidden(attrs) or (tag == "header" and not region)
+            if not left_out and (tag == "form" or (tag not in WHOLE and self._named(attrs))):
+                self._outer.append(mark)
+                mark = len(self._outer) - 1
             if tag in REGIONS and not region:
                 self._last_region += 1
                 region = self._last_region
-        self._open.append((tag, left_out, self._region))
-        self._region = region
+        self._open.append((tag, left_out, self._region, self._mark))
+        self._region, self._mark = region, mark
+
+    @staticmethod
+    def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+        return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
 
     @staticmethod
     def _named(attrs: list[tuple[str, str | None]]) -> bool:
-        for name, value in attrs:
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-            if value and name in ("class", "id", "role"):
-                if not NOT_CONTENT_WORDS.isdisjoint(_WORDS.findall(value.lower())):
-                    return True
-        return False
+        """Whether a whole class, id or role is one of the words; a part of one, as in has-header-image, says nothing."""
+        names = [value.lower().split() for name, value in attrs if value and name in ("class", "id", "role")]
+        return any(not NOT_CONTENT_WORDS.isdisjoint(own) for own in names)
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
@@ -110,7 +116,7 @@ class Lines(HTMLParser):
         for k in range(len(self._open) - 1, -1, -1):
             name = self._open[k][0]
             if name == tag:
-                self._region = self._open[k][2]
+                self._region, self._mark = self._open[k][2:]
                 del self._open[k:]
                 return
             if tag == "p" and name in BLOCKS:
@@ -118,11 +124,37 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not (self._open and self._open[-1][1]):
-            self._text.append(data)
+            self._text.append((self._mark, data))
+
+    def _gone(self) -> list[bool]:
+        """Whether what is in each mark is left out."""
+        held, held_regions = [0] * len(self._outer), [0] * len(self._outer)
+        for parts, _, region in self._lines:
+            for mark, text in parts:
+                size = len("".join(text.split()))
+                held[mark] += size
+                held_regions[mark] += size if region else 0
+        for mark in range(len(self._outer) - 1, 0, -1):  # inner marks come after the marks around them
+            held[self._outer[mark]] += held[mark]
+            held_regions[self._outer[mark]] += held_regions[mark]
+        gone = [False]
+        for mark in range(1, len(self._outer)):
+            wraps = 2 * held[mark] > held[0] and held_regions[mark] == held_regions[0]
+            gone.append(gone[self._outer[mark]] or not wraps)
+        return gone
 
     def finish(self) -> None:
         self.close()
         self._end_line()
+        gone, before = self._gone(), 0
+        for parts, tags, region in self._lines:
+            text = " ".join("".join(text for mark, text in parts if not gone[mark]).split())
+            before += tags
+            if text:
+                self.texts.append(text)
+                self.tags.append(before)
+                self.regions.append(region)
+                before = 0
 
 
 def main_text(html: str | None, smoothing: float = 1.0) -> str:

@@ -5,8 +5,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
-from outpour.llm import language, queries
+from outpour.llm import html, language, queries
 
 
 def test_packed_ids_are_those_of_the_library_at_its_defaults(spark):
@@ -30,3 +31,23 @@ def test_language_of_mostly_copies_is_learned_from_its_other_texts(spark):
     model = language.fit(frame, "text", "lang", max_rows=400)
     assert model.languages == ("de", "en")
     assert all(model.predict(text)[0] == name for text, name in rows)
+
+
+STORY = "<h1 class='post-header'>A title</h1><p>First paragraph of the story, with words.</p><p>Second one, with more of them.</p>"
+STORY_TEXT = "A title\n\nFirst paragraph of the story, with words.\n\nSecond one, with more of them."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='single right-sidebar'><article>{STORY}</article></body>",
+        f"<body class='sidebar'><main class='social'>{STORY}</main></body>",
+        f"<body><article class='post has-header-image'>{STORY}</article></body>",
+        f"<body><div class='widget'><article>{STORY}</article></div><div class='ad'>buy</div></body>",
+        f"<body><form><article>{STORY}</article><div class='ad'>buy</div></form></body>",
+        f"<body><article>{STORY}<p class='ad'>buy</p><form><p>sign up</p></form></article>"
+        f"<section id='comments'><p>{'A reader says a lot here. ' * 40}</p></section></body>",
+    ],
+)
+def test_names_and_forms_that_wrap_a_page_leave_its_text(page):
+    assert html.main_text(page) == STORY_TEXT
