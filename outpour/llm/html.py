@@ -5,7 +5,9 @@ tags met while it was read. Lines inside elements that are never content (menus,
 or by a whole class, id or role) are left out; a form or a named element that wraps the page is not one of them. The ratio of text to tags of the other lines is smoothed
 with a Gaussian over the page, and a threshold that splits the ratios into two clusters (their means in turn set the
 threshold) selects content lines. If most of the selected text lies in one article or main element, the region is that
-element with all of its lines, short ones too; else the region is the selected lines.
+element with all of its lines, short ones too. Else lines are selected by the logarithms of their ratios, so that a long one
+does not outweigh the others, and only say where the region is: in the innermost container that holds nearly all of them,
+from the first to the last, and on to both sides up to lines that are mostly links (``_span``). All of its lines stay.
 
 White space in a block becomes one space; blocks are joined by an empty line in page order. Null html is empty text.
 Broken markup is read as the parser reads it; element ends that were never opened are ignored. Each page is on its own, so
@@ -42,6 +44,10 @@ NOT_CONTENT_WORDS = frozenset(
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
     "related share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
+#: Elements that may hold the whole content of a page without article and main.
+CONTAINERS = frozenset("html body div section center form td".split())
+#: Share of the selected text that the content region of such a page holds at least.
+SHARE = 0.75
 #: Elements that their names never leave out.
 WHOLE = frozenset(["html", "body", "main", "article"])
 
@@ -58,17 +64,22 @@ class Lines(HTMLParser):
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.regions: list[int] = []
-        self._lines: list[tuple[list[tuple[int, str]], int, int]] = []  # parts with the mark each is in, tags, region
+        self.containers: list[int] = []
+        self.linked: list[int] = []  # characters inside links
+        self.around = [0]  # container around each container; 0 is the page
+        # Parts with the mark each is in and whether in a link; tags, region, container.
+        self._lines: list[tuple[list[tuple[int, bool, str]], int, int, int]] = []
         self._outer = [0]  # mark around each mark; 0 is none
-        self._open: list[tuple[str, bool, int, int]] = []  # element, whether it is left out, region and mark around it
-        self._text: list[tuple[int, str]] = []
+        # Element, whether it is left out; region, mark and container around it.
+        self._open: list[tuple[str, bool, int, int, int]] = []
+        self._text: list[tuple[int, bool, str]] = []
         self._tags = 0
-        self._region = self._last_region = self._mark = 0
+        self._region = self._last_region = self._mark = self._container = self._links = 0
 
     def _end_line(self) -> None:
         if self._text:
-            if any(text.strip() for _, text in self._text):
-                self._lines.append((self._text, self._tags, self._region))
+            if any(text.strip() for *_, text in self._text):
+                self._lines.append((self._text, self._tags, self._region, self._container))
                 self._tags = 0
             self._text = []
 
@@ -79,7 +90,7 @@ class Lines(HTMLParser):
             if tag == "p":
                 self._close("p")
         elif tag == "br":
-            self._text.append((self._mark, " "))
+            self._text.append((self._mark, False, " "))
         if tag in VOID:
             return
         left_out = bool(self._open) and self._open[-1][1]
@@ -92,8 +103,12 @@ class Lines(HTMLParser):
             if tag in REGIONS and not region:
                 self._last_region += 1
                 region = self._last_region
-        self._open.append((tag, left_out, self._region, self._mark))
+        self._open.append((tag, left_out, self._region, self._mark, self._container))
         self._region, self._mark = region, mark
+        self._links += tag == "a"
+        if tag in CONTAINERS:
+            self.around.append(self._container)
+            self._container = len(self.around) - 1
 
     @staticmethod
     def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -116,7 +131,8 @@ class Lines(HTMLParser):
         for k in range(len(self._open) - 1, -1, -1):
             name = self._open[k][0]
             if name == tag:
-                self._region, self._mark = self._open[k][2:]
+                self._region, self._mark, self._container = self._open[k][2:]
+                self._links -= sum(element[0] == "a" for element in self._open[k:])
                 del self._open[k:]
                 return
             if tag == "p" and name in BLOCKS:
@@ -124,13 +140,13 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not (self._open and self._open[-1][1]):
-            self._text.append((self._mark, data))
+            self._text.append((self._mark, self._links > 0, data))
 
     def _gone(self) -> list[bool]:
         """Whether what is in each mark is left out."""
         held, held_regions = [0] * len(self._outer), [0] * len(self._outer)
-        for parts, _, region in self._lines:
-            for mark, text in parts:
+        for parts, _, region, _ in self._lines:
+            for mark, _, text in parts:
                 size = len("".join(text.split()))
                 held[mark] += size
                 held_regions[mark] += size if region else 0
@@ -147,13 +163,16 @@ class Lines(HTMLParser):
         self.close()
         self._end_line()
         gone, before = self._gone(), 0
-        for parts, tags, region in self._lines:
-            text = " ".join("".join(text for mark, text in parts if not gone[mark]).split())
+        for parts, tags, region, container in self._lines:
+            kept = [(linked, text) for mark, linked, text in parts if not gone[mark]]
+            text = " ".join("".join(text for _, text in kept).split())
             before += tags
             if text:
                 self.texts.append(text)
                 self.tags.append(before)
                 self.regions.append(region)
+                self.containers.append(container)
+                self.linked.append(sum(len("".join(text.split())) for linked, text in kept if linked))
                 before = 0
 
 
@@ -167,7 +186,7 @@ def main_text(html: str | None, smoothing: float = 1.0) -> str:
     size = np.fromiter(map(len, page.texts), np.float64, len(page.texts))
     region = np.array(page.regions)
     content = _content(size / np.maximum(np.array(page.tags), 1), smoothing)
-    chosen, found = np.flatnonzero(content), np.unique(region[region > 0])
+    found = np.unique(region[region > 0])
     if len(found):
         inside = [size[content & (region == k)].sum() for k in found]
         whole = size[content].sum()
@@ -175,8 +194,37 @@ def main_text(html: str | None, smoothing: float = 1.0) -> str:
         if sum(inside) >= 0.5 * whole:
             largest = max(inside)
             own = [k for k, held in zip(found, inside) if held >= 0.25 * largest]
-            chosen = np.flatnonzero(np.isin(region, own))
-    return "\n\n".join(page.texts[k] for k in chosen)
+            return "\n\n".join(page.texts[k] for k in np.flatnonzero(np.isin(region, own)))
+    start, stop = _span(page, size, _content(np.log1p(size / np.maximum(np.array(page.tags), 1)), smoothing))
+    return "\n\n".join(page.texts[start:stop])
+
+
+def _span(page: Lines, size: np.ndarray, content: np.ndarray) -> tuple[int, int]:
+    """The lines of the content region of a page without article and main.
+
+    The region is in the innermost container of two lines and more that holds SHARE of the selected text. It runs from the
+    first to the last line selected there, and on to both sides as long as lines are in the container and not mostly links.
+    """
+    chosen, lines = np.zeros(len(page.around)), np.zeros(len(page.around), np.int64)
+    np.add.at(chosen, page.containers, size * content)
+    np.add.at(lines, page.containers, 1)
+    for inner in range(len(page.around) - 1, 0, -1):  # inner containers come after those around them
+        chosen[page.around[inner]] += chosen[inner]
+        lines[page.around[inner]] += lines[inner]
+    fits = [k for k in range(len(page.around)) if chosen[k] >= SHARE * chosen[0] and lines[k] > 1]
+    region = max(fits, default=0)  # more than half of the text is in each, so they lie in one another
+    inside = np.zeros(len(page.around), bool)
+    for k in range(len(page.around)):
+        inside[k] = k == region or (k > 0 and inside[page.around[k]])
+    own = inside[page.containers]
+    selected = np.flatnonzero(content & own)
+    start, stop = int(selected[0]), int(selected[-1]) + 1
+    solid = np.array([2 * linked <= len("".join(text.split())) for text, linked in zip(page.texts, page.linked)])
+    while start > 0 and own[start - 1] and solid[start - 1]:
+        start -= 1
+    while stop < len(own) and own[stop] and solid[stop]:
+        stop += 1
+    return start, stop
 
 
 def _content(ratio: np.ndarray, smoothing: float) -> np.ndarray:

@@ -42,8 +42,10 @@ STORY_TEXT = "A title\n\nFirst paragraph of the story, with words.\n\nSecond one
     [
         f"<body class='single right-sidebar'><article>{STORY}</article></body>",
         f"<body class='sidebar'><main class='social'>{STORY}</main></body>",
+        f"<body><div class='content no-comments'>{STORY}</div></body>",
         f"<body><article class='post has-header-image'>{STORY}</article></body>",
         f"<body><div class='widget'><article>{STORY}</article></div><div class='ad'>buy</div></body>",
+        f"<body><form id='aspnet'><div>{STORY}</div><label>Name</label><button>go</button></form></body>",
         f"<body><form><article>{STORY}</article><div class='ad'>buy</div></form></body>",
         f"<body><article>{STORY}<p class='ad'>buy</p><form><p>sign up</p></form></article>"
         f"<section id='comments'><p>{'A reader says a lot here. ' * 40}</p></section></body>",
@@ -51,3 +53,28 @@ STORY_TEXT = "A title\n\nFirst paragraph of the story, with words.\n\nSecond one
 )
 def test_names_and_forms_that_wrap_a_page_leave_its_text(page):
     assert html.main_text(page) == STORY_TEXT
+
+
+def paragraphs(sizes):
+    return [("word" + str(k) + " ") * (size // 6) for k, size in enumerate(sizes)]
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        [300, 250, 180, 400, 320, 90, 280, 350],
+        [*[200] * 10, 1500, *[200] * 10],
+        [*[200] * 10, 4000, *[200] * 10],
+        [30, 60, 500, 40, 20, 700, 90, 30],
+    ],
+)
+@pytest.mark.parametrize("tag", ["p", "div"])
+def test_pages_of_divs_keep_paragraphs_of_any_length(sizes, tag):
+    texts = [text.strip() for text in paragraphs(sizes)]
+    story = "".join(f"<{tag}>{text}</{tag}>" for text in texts)
+    links = "<div>" + "".join(f"<div><a href=x>link number {k}</a></div>" for k in range(12)) + "</div>"
+    whole = "\n\n".join(texts)
+    assert html.main_text(f"<body>{story}</body>") == whole
+    assert html.main_text(f"<body>{links}{story}{links}</body>") == whole
+    boilerplate = "<div><div>Site name</div><div>Monday</div></div>"
+    assert html.main_text(f"<body>{links}{boilerplate}<div class='text'>{story}</div>{boilerplate}{links}</body>") == whole
