@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour.llm import exact, language, near, suffix
+from outpour.llm import exact, language, simhash, suffix
 from outpour.llm.queries import packed
 from outpour.llm.store import written
 
@@ -28,8 +28,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group linked by a five-word Jaccard similarity of 0.8 or more."""
-    return near.drop_near_copies(docs)
+    """Keeps the document with the smallest id of each group whose fingerprints (3-word shingles) are linked by 3 bits or fewer."""
+    return simhash.drop_near_copies(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
