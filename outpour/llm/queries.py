@@ -6,10 +6,24 @@ import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outpour.llm import bpe, exact, html, language, packing, rules, sharding, simhash, suffix, toxicity
+from outpour.llm import (
+    bpe,
+    exact,
+    html,
+    language,
+    neighbours,
+    packing,
+    periodic,
+    rules,
+    sharding,
+    simhash,
+    spelling,
+    suffix,
+    toxicity,
+)
 
 SHARDS = 40
 
@@ -114,6 +128,72 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(rows, F.col("vec_id") % 50 == 0, "vec_id", "embedding", k=5)
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and words; every tenth document's words, by a hash of its id, repeat with a period from some place on."""
+    words = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", words.alias("words"), h.alias("h"), F.expr("crc32(cast(doc_id as string)) div 10").alias("g"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+
+    def planted(word: Column, place: Column) -> Column:
+        source = F.col("a") + (place - F.col("a")) % F.col("p")
+        return F.when(place < F.col("a"), word).otherwise(F.get("words", source.cast("int")))
+
+    chosen = (F.col("h") % 10 == 0) & (F.col("n") > 0)
+    return rows.select("doc_id", F.when(chosen, F.transform("words", planted)).otherwise(F.col("words")).alias("words"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(planted_repeats(_documents(spark, sf_dir)), F.col("words"), ["doc_id"])
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    # The greatest of length / period, held against each other without division; runs come by start, then period.
+    none = "cast(null as struct<start:bigint,length:bigint,period:bigint>)"
+    greater = "best is null or run.length * best.period > best.length * run.period"
+    best = F.expr(f"aggregate(runs, {none}, (best, run) -> if({greater}, run, best))")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def spelled_words() -> Column:
+    """Runs of letters of a text, A to Z in lower case; one in 31, by a hash, lacks a letter."""
+    lower = exact.normalised(F.col("text"))
+    # Shorter runs cannot become long enough.
+    runs = F.regexp_extract_all(lower, F.lit("([A-Za-z\u00C0-\u00FF]{7,})"), 1)
+
+    def written_as(run: Column) -> Column:
+        h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), run))
+        gone = (h % F.char_length(run)).cast("int")
+        short = F.concat(F.substring(run, F.lit(1), gone), F.substring(run, gone + 2, F.char_length(run)))
+        return F.when(h % 31 == 0, short).otherwise(run)
+
+    return F.transform(runs, written_as)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_documents(spark, sf_dir), spelled_words()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_exact": op2_exact,
@@ -125,6 +205,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_neighbours": op11_neighbours,
+    "op12_periodic": op12_periodic,
+    "op13_spelling": op13_spelling,
 }
 
 CHECKS: dict[str, str] = {
