@@ -30,9 +30,11 @@ class SendError(DeliveryError):
     """The destination refused a whole request, or the sender itself broke.
 
     ``batch`` is ``(bucket, batch_no)``: the partition and the place in it, or the numbers
-    that ``number_batches`` gave.
+    that ``number_batches`` gave. ``results``, where there are some to read, are the rows that were sent.
     """
 
+    results = None
+
     def __init__(self, status_code: int | None, response_text: str, batch: tuple[int, int]) -> None:
         self.status_code = status_code
         self.response_text = response_text
@@ -42,7 +44,7 @@ class SendError(DeliveryError):
 
 
 def fatal_text(status_code: int | None, response_text: str, batch: tuple[int, int]) -> str:
-    """Message of the exception a task raises; ``send_error`` reads it back on the driver.
+    """A fatal response as text, for a task to hand to the driver, where ``send_error`` reads it back.
 
     The body goes in as hex so that no text in it can end the marker.
     """
@@ -50,8 +52,8 @@ def fatal_text(status_code: int | None, response_text: str, batch: tuple[int, in
     return f"[outpour-fatal]{fields}[/outpour-fatal] {response_text}"
 
 
-def send_error(error: BaseException) -> SendError | None:
-    """The typed error behind a failed Spark job, or None if the job failed for another reason."""
+def send_error(error: BaseException | str) -> SendError | None:
+    """The typed error behind a failed Spark job or in a text; None if there is no fatal response in it."""
     found = _FATAL.search(str(error))
     if found is None:
         return None

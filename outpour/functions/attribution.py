@@ -70,6 +70,11 @@ def stray_failures(failed: Column, batch_rows: Column) -> Column:
     return F.coalesce(F.size(strays), F.lit(0))
 
 
+def count_strays(failed: tuple[tuple[int | None, str | None, str | None], ...], rows: int) -> int:
+    """``stray_failures`` of the response to a batch of ``rows`` items."""
+    return sum(1 for number, _, _ in failed if number is not None and not 1 <= number <= rows)
+
+
 def attribute_batch(
     failed: list[tuple[int | None, str | None, str | None]], rows: int
 ) -> tuple[list[bool], list[str | None], list[str | None]]:

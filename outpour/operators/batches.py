@@ -129,9 +129,13 @@ def shape(df: DataFrame, context: Context, documented: bool = False) -> DataFram
 
 
 def gather_requests(
-    numbered: DataFrame, context: Context, trace_id: str | None = None, documented: bool = False
+    numbered: DataFrame,
+    context: Context,
+    trace_id: str | None = None,
+    documented: bool = False,
+    with_key: bool = False,
 ) -> DataFrame:
-    """One row per batch of a numbered frame: its size, envelope and body.
+    """One row per batch of a numbered frame: its size, envelope and body; ``with_key``, the key of the request too.
 
     Groups are batches, so none is larger than the batch size. Only the items are shuffled. A body holds
     exactly the items that were numbered, else responses would be attributed to the wrong rows: a numbered
@@ -152,6 +156,9 @@ def gather_requests(
         F.lit(context.envelope(trace_id))
     )
     texts = F.array_join(F.transform("entries", lambda entry: entry["_item"]), ",")
+    scope = F.when(F.col("has_user_ids"), F.lit(context.envelope(None, True))).otherwise(F.lit(context.envelope()))
+    digests = F.array_sort(F.transform("entries", lambda entry: F.sha2(entry["_item"], 256)))
+    key = F.sha2(F.concat_ws("\n", F.lit(context.contract.path), scope, digests), 256).alias("request_key")
     return requests.select(
         "bucket",
         "batch_no",
@@ -159,4 +166,5 @@ def gather_requests(
         "has_user_ids",
         envelope.alias("envelope"),
         F.concat(F.expr("left(envelope, length(envelope) - 1)"), F.lit(',"items":['), texts, F.lit("]}")).alias("body"),
+        *([key] if with_key else []),
     )

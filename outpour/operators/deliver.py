@@ -1,12 +1,18 @@
 """Send batches and put the status of every row beside it.
 
 The rows stay in the JVM. Only the item text of a row (and its batch numbers, if it has some)
-goes to Python, through an iterator Arrow function, and only the four status columns come back;
+goes to Python, through an iterator Arrow function, and only status columns come back;
 columns that are passed through are never serialised for Python.
+
+A fatal response does not fail the task that meets it, since Spark would run the task again and send
+all its batches once more. It becomes part of the rows: the refused batch has its status, the batches
+after it are marked as not sent, and the reason travels to the driver as an observed metric
+(``attempt`` and ``record``). So what was sent is stored, once, before the driver raises.
 """
 
 from __future__ import annotations
 
+import hashlib
 import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -17,13 +23,13 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outpour.contracts import STATUS_FIELDS, Context
-from outpour.errors import fatal_text
-from outpour.functions.attribution import attribute_batch, status_phrase
+from outpour.errors import fatal_text, send_error
+from outpour.functions.attribution import attribute_batch, count_strays, status_phrase
 from outpour.operators.batches import number_batches, shape
 from outpour.operators.checks import rejection_reasons
 from outpour.operators.conform import conform, quoted
@@ -33,6 +39,16 @@ DEFAULT_BATCH_SIZE = 1600
 # Hidden, so that they cannot clash with the columns of a conformed frame.
 _NUMBERS = ("__bucket", "__batch_no", "__item_number")
 
+# What comes back from a task beside the status of a row: whether its batch was held back, why sending
+# stopped (first row of a batch), and how many failures named no item of the batch (likewise).
+_HELD, _STOP, _STRAYS = "__held", "__stop", "__strays"
+_SENT_FIELDS = [
+    *STATUS_FIELDS,
+    T.StructField(_HELD, T.BooleanType()),
+    T.StructField(_STOP, T.StringType()),
+    T.StructField(_STRAYS, T.LongType()),
+]
+
 Failure = Tuple[int | None, str | None, str | None]
 
 
@@ -46,6 +62,18 @@ class Request:
     items: list[str]
     bucket: int
     batch_no: int
+    scope: str = ""
+
+    @property
+    def key(self) -> str:
+        """Names this batch to a destination that drops repeats.
+
+        A digest of the path, the envelope without trace id, and the items in any order: the same for a
+        batch of the same items in every try of a task, every run and every partitioning. It tells
+        batches apart by content, so a destination that drops repeats by it also drops a second batch of
+        equal items; give such rows different contents.
+        """
+        return request_key(self.path, self.scope or self.envelope, self.items)
 
     def body(self) -> str:
         """JSON text of the whole request."""
@@ -91,6 +119,15 @@ Send = Callable[[Request], Outcome]
 
 _senders: dict[str, Send] = {}
 
+# Why a delivery stopped in this Python worker; its later tasks here send nothing more.
+_stopped: dict[str, str] = {}
+
+
+def request_key(path: str, scope: str, items: list[str]) -> str:
+    """Hex SHA-256 of path, scope and the sorted SHA-256 of each item, on lines of their own."""
+    digests = sorted(hashlib.sha256(item.encode("utf-8", "surrogatepass")).hexdigest() for item in items)
+    return hashlib.sha256("\n".join([path, scope, *digests]).encode()).hexdigest()
+
 
 def _worker_sender(token: str, factory: Callable[[], Send]) -> Send:
     """The sender of this Python worker: made once per delivery and kept for its later tasks."""
@@ -108,52 +145,67 @@ class _Delivery:
     token: str
     path: str
     base_url: str | None
-    envelope: str
-    envelope_with_ids: str
+    envelopes: tuple[str, str]  # without and with user ids
+    scopes: tuple[str, str]  # the same without trace id
     batch_size: int
     processed_at: datetime | None
 
     def request(self, items: list[str], with_ids: bool, batch: tuple[int, int]) -> Request:
-        envelope = self.envelope_with_ids if with_ids else self.envelope
-        return Request(self.path, self.base_url, envelope, items, *batch)
+        return Request(self.path, self.base_url, self.envelopes[with_ids], items, *batch, self.scopes[with_ids])
 
-    def send(self, items: pa.Array, with_ids: pa.Array, batch: tuple[int, int]) -> pa.StructArray:
-        """Statuses of the rows of one batch; rows without an item get a null success."""
+    def send(
+        self, items: pa.Array, with_ids: pa.Array, batch: tuple[int, int], broken: str | None = None
+    ) -> pa.StructArray:
+        """Statuses of the rows of one batch; rows without an item get a null success.
+
+        Nothing is sent after a fatal response, nor a batch that is ``broken``, which stops the delivery too.
+        """
         moment = self.processed_at or datetime.now(timezone.utc)
         sent = np.flatnonzero(items.is_valid())
         success = np.full(len(items), None, dtype=object)
-        codes, messages = success.copy(), success.copy()
+        codes, messages, stops = success.copy(), success.copy(), success.copy()
+        held, strays = np.zeros(len(items), bool), np.zeros(len(items), np.int64)
         if len(sent):
-            texts = items.drop_null().to_pylist()
-            with_ids = bool(np.asarray(with_ids)[sent].any())
-            outcome = self._outcome(self.request(texts, with_ids, batch))
-            success[sent], codes[sent], messages[sent] = _statuses(outcome, len(sent))
+            if broken is not None:
+                self._stop(fatal_text(None, broken, batch))
+            if self.token in _stopped:
+                held[sent] = True
+            else:
+                texts = items.drop_null().to_pylist()
+                outcome = self._outcome(self.request(texts, bool(np.asarray(with_ids)[sent].any()), batch))
+                if outcome.kind == "fatal":
+                    self._stop(fatal_text(outcome.status, outcome.message or "", batch))
+                success[sent], codes[sent], messages[sent] = _statuses(outcome, len(sent))
+                strays[sent[0]] = count_strays(outcome.failed, len(sent))
+            stops[sent[0]] = _stopped.get(self.token)
         columns = [
             pa.array(success, pa.bool_()),
             pa.array(codes, pa.string()),
             pa.array(messages, pa.string()),
             pa.repeat(pa.scalar(moment, pa.timestamp("us", "UTC")), len(items)),
+            pa.array(held),
+            pa.array(stops, pa.string()),
+            pa.array(strays),
         ]
-        return pa.StructArray.from_arrays(columns, [field.name for field in STATUS_FIELDS])
+        return pa.StructArray.from_arrays(columns, [field.name for field in _SENT_FIELDS])
+
+    def _stop(self, reason: str) -> None:
+        _stopped.clear()
+        _stopped[self.token] = reason
 
     def _outcome(self, request: Request) -> Outcome:
-        batch = (request.bucket, request.batch_no)
         try:
-            outcome = _worker_sender(self.token, self.factory)(request)
+            return _worker_sender(self.token, self.factory)(request)
         except (TimeoutError, ConnectionError) as error:
             return transient(str(error))
         except Exception as error:
-            raise RuntimeError(fatal_text(None, str(error), batch)) from error
-        if outcome.kind == "fatal":
-            raise RuntimeError(fatal_text(outcome.status, outcome.message or "", batch))
-        return outcome
+            return Outcome("fatal", message=str(error))
 
 
 def _statuses(outcome: Outcome, rows: int) -> tuple[list, list, list]:
-    if outcome.kind == "transient":
-        return [False] * rows, [None] * rows, [outcome.message] * rows
-    if outcome.kind == "server_error":
-        return [False] * rows, [status_phrase(outcome.status)] * rows, [outcome.message] * rows
+    if outcome.kind in ("transient", "server_error", "fatal"):
+        code = None if outcome.status is None else status_phrase(outcome.status)
+        return [False] * rows, [code] * rows, [outcome.message] * rows
     return attribute_batch(outcome.failed, rows)
 
 
@@ -211,9 +263,9 @@ def _status_of_numbered(delivery: _Delivery):
             return delivery.send(pa.nulls(run.num_rows, pa.string()), run["with_ids"], (-1, -1))
         batch = (run["bucket"][0].as_py(), run["batch_no"][0].as_py())
         in_order = np.array_equal(run["item_number"], np.arange(1, run.num_rows + 1))
-        if not in_order or run.num_rows > delivery.batch_size:
-            raise RuntimeError(fatal_text(None, "the rows of this batch are not together or not in order", batch))
-        return delivery.send(run["items"], run["with_ids"], batch)
+        together = in_order and run.num_rows <= delivery.batch_size
+        broken = None if together else "the rows of this batch are not together or not in order"
+        return delivery.send(run["items"], run["with_ids"], batch, broken)
 
     return status
 
@@ -247,7 +299,7 @@ def spread_rows(df: DataFrame, parallelism: int | str | None) -> DataFrame:
     return df.repartition(int(parallelism))
 
 
-def deliver(
+def attempt(
     df: DataFrame,
     context: Context,
     sender_factory: Callable[[], Send],
@@ -261,15 +313,14 @@ def deliver(
     documented_checks: bool = False,
     processed_at: datetime | None = None,
 ) -> DataFrame:
-    """The rows of ``df`` with their status after delivery.
+    """The rows of ``df`` with their status after delivery, and with the hidden columns that ``record`` takes.
 
     Without ``key`` each partition is cut into batches as its rows come; ``parallelism`` says
     how rows are spread before that. With ``key`` the batches are those of ``number_batches``
     and the same in every run. Rows that cannot be shaped are not sent; their status says why.
 
-    The result is lazy, and sending happens when it is computed: write it exactly once, whole.
-    An action that reads no status column sends nothing; two actions send twice. ``push`` and
-    ``run_batch`` take care of that.
+    The result is lazy, and sending happens when it is computed. After a fatal response the tasks of the
+    same Python worker send nothing more; other workers stop at the refusal they meet themselves.
     """
     contract, spark = context.contract, df.sparkSession
     if batch_size < 1:
@@ -293,12 +344,12 @@ def deliver(
         uuid4().hex,
         contract.path,
         context.base_url_override,
-        context.envelope(trace_id),
-        context.envelope(trace_id, with_user_ids=True),
+        (context.envelope(trace_id), context.envelope(trace_id, with_user_ids=True)),
+        (context.envelope(), context.envelope(with_user_ids=True)),
         batch_size,
         processed_at.replace(tzinfo=processed_at.tzinfo or timezone.utc) if processed_at else None,
     )
-    status = F.arrow_udf(status_of(delivery), returnType=T.StructType(STATUS_FIELDS)).asNondeterministic()
+    status = F.arrow_udf(status_of(delivery), returnType=T.StructType(_SENT_FIELDS)).asNondeterministic()
     shaped = shape(ready, context, documented_checks)
     sent = shaped.withColumn("_status", status("_item", "_has_ids", *extra))
     rejected = F.size("_reasons") > 0
@@ -309,4 +360,59 @@ def deliver(
         F.when(rejected, F.col("_reasons")[0]).otherwise(F.col("_status.error_code")).alias("error_code"),
         F.when(rejected, reasons).otherwise(F.col("_status.error_message")).alias("error_message"),
         F.col("_status.processed_timestamp").alias("processed_timestamp"),
+        *[F.col(f"_status.{name}").alias(name) for name in (_HELD, _STOP, _STRAYS)],
+    )
+
+
+def deliver(df: DataFrame, context: Context, sender_factory: Callable[[], Send], **options) -> DataFrame:
+    """The rows of ``df`` with their status after delivery; ``options`` are those of ``attempt``.
+
+    The result is lazy: write it exactly once, whole. An action that reads no status column sends nothing;
+    two actions send twice, and a fatal response fails the task that meets it, which Spark then repeats. ``push``,
+    ``run_batch`` and ``run_stream`` take care of all that.
+    """
+    sent = attempt(df, context, sender_factory, **options)
+    raised = F.when(F.col(_STOP).isNotNull(), F.raise_error(F.col(_STOP)).cast("boolean")).otherwise(F.lit(True))
+    return sent.filter(raised).drop(_HELD, _STOP, _STRAYS)
+
+
+@dataclass(frozen=True)
+class Recorded:
+    """What was seen while the rows of an attempt were written."""
+
+    records: int
+    succeeded: int
+    held: int
+    strays: int
+    stop: str | None
+    metrics: dict
+
+    def require_all(self) -> None:
+        """Raise the ``SendError`` of a delivery that stopped; warn of failures that named no item."""
+        if self.strays:
+            text = f"responses named {self.strays} items that their batches do not have; these failures were ignored"
+            warnings.warn(text, stacklevel=3)
+        if self.stop is not None:
+            raise send_error(self.stop)
+
+
+def record(attempted: DataFrame, write: Callable[[DataFrame], None], *metrics: Column) -> Recorded:
+    """Write the rows of an ``attempt`` that have a status, and say what was seen.
+
+    Counted above the delivery, in the stage that writes: a task counts once there, however often an
+    earlier stage has to be repeated after losing an executor. Rows that were held back are left out.
+    """
+    seen, went = Observation(), ~F.col(_HELD)
+    observed = attempted.observe(
+        seen,
+        F.count_if(went).alias("__records"),
+        F.count_if(went & F.col("success")).alias("__succeeded"),
+        F.count_if(~went).alias("__held"),
+        F.sum(_STRAYS).alias("__strays"),
+        F.max(_STOP).alias("__stop"),
+        *metrics,
     )
+    write(observed.filter(went).drop(_HELD, _STOP, _STRAYS))
+    found = dict(seen.get)
+    own = [found.pop(f"__{name}") for name in ("records", "succeeded", "held", "strays", "stop")]
+    return Recorded(own[0], own[1], own[2], own[3] or 0, own[4], found)

@@ -6,17 +6,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from outpour.contracts import Context
 from outpour.errors import ConfigurationError
 from outpour.operators.checks import require_sendable
 from outpour.operators.conform import conform, missing_columns
-from outpour.operators.deliver import Send, deliver
+from outpour.operators.deliver import Send, attempt, record
 from outpour.operators.history import skip_delivered
 from outpour.operators.increment import last_mark, new_rows
-from outpour.plans.push import typed_errors
 from outpour.sources.tables import append_rows, append_run, require_table
 
 
@@ -26,6 +25,7 @@ class RunSummary:
 
     ``unstamped`` rows have no ``updated_at``, so an increment never takes them; ``ahead`` ones are stamped
     later than the start of the run, so the mark does not reach them and the next run takes them again.
+    ``strays`` are failures in responses that named an item outside their batch; they fail no row.
     """
 
     records: int
@@ -34,6 +34,7 @@ class RunSummary:
     mark: datetime | None
     unstamped: int = 0
     ahead: int = 0
+    strays: int = 0
 
 
 def run_batch(
@@ -63,7 +64,9 @@ def run_batch(
     the largest ``updated_at`` that was read, up to the start of the run, so rows that arrive while
     the run goes on are not missed and a stamp in the future holds nothing up. Where delivered rows
     are left out, they count for the mark too, by a pass over ``updated_at`` alone. Results are
-    written before the ledger, so a run that breaks between the two is repeated, not lost.
+    written before the ledger, so a run that breaks between the two is repeated, not lost. After a fatal
+    response the rows of all batches that were sent are in the results, the ledger is left as it was, and
+    ``SendError`` is raised: a later run with ``skip_delivered_by`` sends the rest.
     """
     if new_rows_only and ledger_table is None:
         raise ConfigurationError("new_rows_only needs a ledger_table")
@@ -98,24 +101,16 @@ def run_batch(
         results = spark.table(output_table)
         version = "updated_at" if stamped and not missing_columns(results, ["updated_at"]) else None
         rows = skip_delivered(rows, results, skip_delivered_by, version=version)
-    counts = Observation()
-    with typed_errors():
-        # Observed above the delivery, in the stage that writes: a task counts once there, however
-        # often an earlier stage has to be repeated after losing an executor.
-        delivered = deliver(rows, context, sender_factory, **options).observe(
-            counts,
-            F.count(F.lit(1)).alias("records"),
-            F.count_if("success").alias("succeeded"),
-            *stamps,
-        )
-        append_rows(delivered, output_table)
-    seen = counts.get | read
+    attempted = attempt(rows, context, sender_factory, **options)
+    done = record(attempted, lambda sent: append_rows(sent, output_table), *stamps)
+    done.require_all()
+    seen = done.metrics | read
     if seen["latest"] is not None:
         reached = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=seen["latest"])
     else:
         reached = None if stamped else run_at
     mark = max((m for m in (mark, reached) if m is not None), default=None)
     if ledger_table is not None:
-        append_run(spark, ledger_table, feed, mark, run_at, seen["records"])
-    failed = seen["records"] - seen["succeeded"]
-    return RunSummary(seen["records"], seen["succeeded"], failed, mark, unstamped, seen["ahead"])
+        append_run(spark, ledger_table, feed, mark, run_at, done.records)
+    failed = done.records - done.succeeded
+    return RunSummary(done.records, done.succeeded, failed, mark, unstamped, seen["ahead"], done.strays)

@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from outpour.contracts import Context, result_schema
-from outpour.errors import send_error
+from outpour.errors import SendError
 from outpour.operators.checks import require_sendable
 from outpour.operators.conform import conform
-from outpour.operators.deliver import Send, deliver
+from outpour.operators.deliver import Send, attempt, record
 from outpour.sources.session import shared_path
 
 
-@contextmanager
-def typed_errors() -> Iterator[None]:
-    """Turn the failure of a job that met a fatal response into ``SendError``."""
-    try:
-        yield
-    except Exception as error:
-        typed = send_error(error)
-        if typed is None:
-            raise
-        raise typed from error
-
-
 def push(
     df: DataFrame,
     context: Context,
@@ -41,13 +28,20 @@ def push(
     spark.checkpoint.dir, and read back: using them any number of times, or losing an executor
     afterwards, sends nothing again, and no row passes through the driver. ``strict`` raises
     before anything is sent if some row cannot be; otherwise such rows come back as failed.
+    After a fatal response nothing more is sent, the results hold the rows of all batches that were sent,
+    the refused one included, and ``SendError`` is raised, with ``results`` to read them.
     ``options`` are those of ``deliver``.
     """
     if strict:
         require_sendable(conform(df, context.contract), context.contract, options.get("documented_checks", False))
     path = results_path or shared_path(df.sparkSession, "push")
-    with typed_errors():
-        delivered = deliver(df, context, sender_factory, **options)
-        delivered.write.parquet(path)
-    schema = result_schema(delivered.drop("success", "error_code", "error_message", "processed_timestamp").schema)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    attempted = attempt(df, context, sender_factory, **options)
+    recorded = record(attempted, lambda rows: rows.write.parquet(path))
+    schema = result_schema(conform(df, context.contract).schema)
+    results = df.sparkSession.read.schema(schema).parquet(path)
+    try:
+        recorded.require_all()
+    except SendError as error:
+        error.results = results
+        raise
+    return results

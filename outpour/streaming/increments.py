@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from outpour.contracts import Context
-from outpour.operators.deliver import Send, deliver
+from outpour.operators.deliver import Send, attempt, record
 
 BATCH_COLUMN = "stream_batch"
 RUN_COLUMN = "stream_run"
@@ -34,10 +34,13 @@ def run_stream(
     """
 
     def deliver_batch(batch: DataFrame, batch_id: int) -> None:
-        delivered = deliver(batch, context, sender_factory, **options)
+        attempted = attempt(batch, context, sender_factory, **options)
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"{results_path.rstrip('/')}/{RUN_COLUMN}={query}/{BATCH_COLUMN}={batch_id}"
-        delivered.write.mode("overwrite").parquet(folder)
+        recorded = record(attempted, lambda rows: rows.write.mode("overwrite").parquet(folder))
+        if recorded.stop is not None:
+            # Its text reaches the query's exception, where ``send_error`` finds the response.
+            raise RuntimeError(recorded.stop)
 
     return (
         rows.writeStream.foreachBatch(deliver_batch)

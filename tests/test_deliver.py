@@ -1,12 +1,28 @@
 import json
+import os
+import subprocess
+import sys
 import time
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from outpour import Conversion, FirstParty, Request, SendError, deliver, ok, partial, push, server_error, transient
-from outpour.operators.deliver import spread_rows
+from outpour import (
+    Conversion,
+    FirstParty,
+    Request,
+    SendError,
+    deliver,
+    fatal,
+    ok,
+    partial,
+    push,
+    server_error,
+    transient,
+)
+from outpour.operators.batches import gather_requests, number_batches
+from outpour.operators.deliver import request_key, spread_rows
 from tests.senders import accepting, failing_first_item, logging_sender, refusing, requests_in
 
 STATUS = ["success", "error_code", "error_message", "processed_timestamp"]
@@ -111,6 +127,78 @@ def test_refusal_stops_the_run(spark):
     assert caught.value.batch == (0, 0)
 
 
+def test_refusal_keeps_what_was_sent(spark):
+    def factory():
+        return lambda request: fatal(403, "no") if request.batch_no == 2 else ok()
+
+    df = members(spark, 9, 1, F.col("id") == 8)
+    with pytest.raises(SendError) as caught:
+        push(df, CONTEXT, factory, batch_size=2, parallelism="source")
+    rows = run(caught.value.results)
+    assert [row[0] for row in rows] == [0, 1, 2, 3, 4, 5, 8]
+    assert [row[1:3] for row in rows] == [(True, None)] * 4 + [(False, "Forbidden")] * 2 + [(False, "UNKNOWN_ID_TYPE")]
+
+
+TRIES = """
+import os, sys
+from uuid import uuid4
+from pyspark.sql import SparkSession
+from outpour import FirstParty, SendError, fatal, ok, push
+
+folder = sys.argv[1]
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", folder + "/shared").getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+
+def factory():
+    def send(request):
+        with open(f"{folder}/{request.key}-{uuid4().hex}", "w") as file:
+            file.write("x" * len(request.items))
+        return fatal(401, "expired") if request.batch_no == 3 else ok()
+    return send
+
+rows = spark.range(0, 40, 1, 2).selectExpr("id", "'TDID' id_type", "'v' || id id_value", "'s' segment_name")
+try:
+    push(rows, FirstParty("adv"), factory, batch_size=3, parallelism="source")
+except SendError as error:
+    sent = error.results.count()
+    print("STOPPED", error.status_code, sent, error.results.filter("success").count())
+"""
+
+
+def test_no_batch_is_sent_twice_when_tasks_may_be_repeated(tmp_path):
+    """With four tries for each task, a refusal at the fourth batch repeats nothing and loses no result."""
+    found = subprocess.run(
+        [sys.executable, "-c", TRIES, str(tmp_path)], capture_output=True, text=True, timeout=200, cwd=os.getcwd()
+    )
+    files = [name for name in os.listdir(tmp_path) if name != "shared"]
+    items = sum((tmp_path / name).stat().st_size for name in files)
+    assert len({name.split("-")[0] for name in files}) == len(files)
+    tasks = sum(1 for name in files) // 4
+    assert tasks in (1, 2) and items == 12 * tasks
+    assert f"STOPPED 401 {items} {9 * tasks}" in found.stdout, found.stderr[-2000:]
+
+
+def echoing():
+    return lambda request: partial([(None, request.key, None)])
+
+
+def test_request_keys(spark):
+    """The same for the same items in any order, partitioning and run; those of gathered requests."""
+    df = members(spark, 300, 3)
+    numbers = {"batch_size": 8, "key": ["id"], "bucket": F.expr("id div 50")}
+    seen = []
+    for frame, trace in ((df, None), (df.repartition(7), "t"), (df.orderBy(F.desc("id")), "u")):
+        rows = push(frame, CONTEXT, echoing, trace_id=trace, **numbers).select("id", "error_code").collect()
+        seen.append(dict(map(tuple, rows)))
+    assert seen[0] == seen[1] == seen[2]
+    numbered = number_batches(df, 8, ["id"], F.expr("id div 50"))
+    gathered = gather_requests(numbered, CONTEXT, "other", with_key=True)
+    assert {row["request_key"] for row in gathered.collect()} == set(seen[0].values())
+    assert request_key("/p", "{}", ["a", "b"]) == request_key("/p", "{}", ["b", "a"])
+    assert len({request_key("/p", "{}", ["a"]), request_key("/q", "{}", ["a"]), request_key("/p", "{}", ["a", "a"])}) == 3
+
+
 def breaking():
     def send(request):
         if request.batch_no == 1:

@@ -15,6 +15,7 @@ from outpour import (
     create_input_table,
     create_ledger_table,
     create_output_table,
+    partial,
     result_schema,
     run_batch,
 )
@@ -253,12 +254,28 @@ def test_failures_are_counted_and_recorded(spark, tables):
     assert spark.table(results).filter("error_code = 'INVALID_ID'").count() == 1
 
 
-def test_refusal_records_nothing(spark, tables):
+def test_refusal_records_what_was_sent(spark, tables):
     source, results, ledger = tables
-    append_rows(members(spark, 1), source)
+    append_rows(members(spark, 1, 2, 3).coalesce(1), source)
     with pytest.raises(SendError):
-        run_batch(spark, CONTEXT, refusing, source, results, ledger)
-    assert spark.table(results).count() == 0 and spark.table(ledger).count() == 0
+        run_batch(spark, CONTEXT, refusing, source, results, ledger, parallelism=1, batch_size=2)
+    stored = spark.table(results).collect()
+    assert len(stored) == 2 and {(row["success"], row["error_code"]) for row in stored} == {(False, "Unauthorized")}
+    assert spark.table(ledger).count() == 0
+    again = run_batch(spark, CONTEXT, accepting, source, results, ledger, skip_delivered_by=["id_value"])
+    assert again.records == 3 and spark.table(ledger).count() == 1
+
+
+def naming_too_many():
+    return lambda request: partial([(0, "LOW", None), (len(request.items) + 1, "HIGH", None), (1, "BAD", None)])
+
+
+def test_strays_are_counted(spark, tables):
+    source, results, _ = tables
+    append_rows(members(spark, 1, 2, 3, 4, 5).coalesce(1), source)
+    with pytest.warns(UserWarning, match="6 items"):
+        summary = run_batch(spark, CONTEXT, naming_too_many, source, results, parallelism=1, batch_size=2)
+    assert (summary.records, summary.succeeded, summary.strays) == (5, 2, 6)
 
 
 def test_guards(spark, tables, tmp_path):

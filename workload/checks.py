@@ -290,6 +290,14 @@ CHECKS = {
         SELECT o_orderkey, value, NOT bare AS success, CASE WHEN bare THEN 'NO_IDENTITY' END AS error_code,
           CASE WHEN bare THEN 'not sent: NO_IDENTITY' END AS error_message, {SENT_AT} AS processed_timestamp
         FROM judged""",
+    "request_keys": f"""
+        WITH {BATCHED}, digests AS (
+          SELECT event_id // 500 AS bucket, batch_no, event_id, sha256({FIRST_PARTY_ITEM}) AS digest
+          FROM batched WHERE {SENDABLE}),
+        keys AS (SELECT bucket, batch_no, sha256(concat_ws(chr(10), '{CONTRACTS["first_party"].path}',
+            '{FIRST_PARTY_ENVELOPE}}}', string_agg(digest, chr(10) ORDER BY digest))) AS request_key
+          FROM digests GROUP BY bucket, batch_no)
+        SELECT event_id, request_key FROM digests JOIN keys USING (bucket, batch_no)""",
     "attribution_last_wins": f"""
         WITH {NUMBERED}, coded AS (SELECT *, CASE batch_no % 3
             WHEN 0 THEN CASE WHEN item_number = 2 THEN 'B' ELSE 'H' END
@@ -330,6 +338,11 @@ CHECKS = {
         WITH {LEDGER} SELECT feed, last_processed_date, records_processed FROM ledger
         UNION ALL
         SELECT 'view', {MARK}, 0""",
+    "fatal_run_results": f"""
+        WITH {MEM} SELECT event_id, CAST({SENDABLE} AS BIGINT) AS delivered, 401 AS status, 1 AS refused FROM mem""",
+    "live_strays": f"""
+        WITH {BATCHED} SELECT count(*) AS records, count(*) FILTER (WHERE {SENDABLE}) AS succeeded,
+          count(DISTINCT (event_id // 500, batch_no)) FILTER (WHERE {SENDABLE}) AS strays FROM batched""",
     "stream_increment": f"WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem",
     "status_totals": f"""
         WITH {MEM}, sent AS (SELECT {BAD_STATUS} FROM mem)

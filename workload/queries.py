@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outpour import contracts as C
+from outpour.errors import SendError
 from outpour.functions.attribution import RESPONSE_TYPE
 from outpour.functions.identity import identity_field
 from outpour.operators import history
@@ -341,6 +342,13 @@ def adhoc_push_conversion(spark, sf_dir):
     return times(pushed.select(*kept), "timestamp_ntz")
 
 
+@query
+def request_keys(spark, sf_dir):
+    """The key that the sender was given for the request each row went out in."""
+    sent = push(memberships(spark, sf_dir), FIRST_PARTY, senders.echo_key, trace_id="trace-3", **_by_event())
+    return sent.filter("error_code <> 'UNKNOWN_ID_TYPE'").select("event_id", F.col("error_code").alias("request_key"))
+
+
 # --- attribution of recorded responses ---------------------------------------------------------
 
 
@@ -505,6 +513,32 @@ def empty_run_ledger(spark, sf_dir):
     return times(spark.table(ledger).drop("run_timestamp"), "timestamp_ntz")
 
 
+@query
+def fatal_run_results(spark, sf_dir):
+    """A run that a refusal stopped, and the next one, which sends the rest: every row is delivered once."""
+    source, results = _stored(spark, memberships(spark, sf_dir), "input"), _name("output")
+    schema = C.result_schema(conform(spark.table(source), FIRST_PARTY.contract).schema)
+    spark.catalog.createTable(results, path=shared_path(spark, "output"), source="parquet", schema=schema)
+    status = None
+    try:
+        run_batch(spark, FIRST_PARTY, senders.expire_midway, source, results, **_by_event())
+    except SendError as error:
+        status = error.status_code
+    refused = spark.table(results).filter("error_code = 'Unauthorized'").limit(1).count()
+    run_batch(spark, FIRST_PARTY, senders.accept_all, source, results, skip_delivered_by=["event_id"], **_by_event())
+    rows = spark.table(results).groupBy("event_id").agg(F.count_if("success").alias("delivered"))
+    return rows.select("event_id", "delivered", F.lit(status).alias("status"), F.lit(refused).alias("refused"))
+
+
+@query
+def live_strays(spark, sf_dir):
+    """What a run counts when every response names an item too many."""
+    source = _stored(spark, memberships(spark, sf_dir), "input")
+    run = run_batch(spark, FIRST_PARTY, senders.name_one_too_many, source, _name("output"), **_by_event())
+    values = {"records": run.records, "succeeded": run.succeeded, "strays": run.strays}
+    return spark.range(1).select(*[F.lit(value).cast("long").alias(name) for name, value in values.items()])
+
+
 @query
 def stream_increment(spark, sf_dir):
     prepare(spark)

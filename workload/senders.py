@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from outpour.operators.deliver import Outcome, Request, Send, ok, partial, server_error, transient
+from outpour.operators.deliver import Outcome, Request, Send, fatal, ok, partial, server_error, transient
 
 _EVENT_ID = re.compile(r'"base_bid_cpm_metadata":"(\d+)"')
 
@@ -73,3 +73,30 @@ def break_often() -> Send:
         return partial(_bad_events(request))
 
     return send
+
+
+def expire_midway() -> Send:
+    """Batches with every hundredth event meet an expired token."""
+
+    def send(request: Request) -> Outcome:
+        return fatal(401, "token expired") if _bad_events(request, 100) else ok()
+
+    return send
+
+
+def echo_key() -> Send:
+    """Every item fails with the request's key as code."""
+
+    def send(request: Request) -> Outcome:
+        return partial([(None, request.key, None)])
+
+    return send
+
+
+def name_one_too_many() -> Send:
+    """Each response names the item behind the last one."""
+
+    def send(request: Request) -> Outcome:
+        return partial([(len(request.items) + 1, "HIGH", "no such item")])
+
+    return send
