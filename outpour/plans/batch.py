@@ -14,8 +14,9 @@ from outpour.errors import ConfigurationError
 from outpour.operators.checks import require_sendable
 from outpour.operators.conform import conform, missing_columns
 from outpour.operators.deliver import Send, attempt, record
-from outpour.operators.history import skip_delivered
+from outpour.operators.history import key_hash_columns, skip_delivered
 from outpour.operators.increment import last_mark, new_rows
+from outpour.operators.keyfilter import look_at
 from outpour.sources.tables import append_rows, append_run, require_table
 
 
@@ -49,6 +50,7 @@ def run_batch(
     feed: str | None = None,
     overlap: timedelta = timedelta(0),
     skip_delivered_by: list[str] | None = None,
+    look_back: timedelta | None = None,
     strict: bool = False,
     **options,
 ) -> RunSummary:
@@ -57,8 +59,8 @@ def run_batch(
     With ``new_rows_only`` only rows with ``updated_at`` after the feed's mark in the ledger are
     taken (all rows in the first run); ``since`` overrides the mark, for a backfill.
     ``overlap`` reaches back before the mark, ``skip_delivered_by`` names the key by which rows
-    already delivered, and not changed since (by ``updated_at``), are left out. ``options`` are
-    those of ``deliver``.
+    already delivered, and not changed since (by ``updated_at``), are left out; ``look_back`` bounds
+    how old results are read for that. ``options`` are those of ``deliver``.
 
     One pass: counts and the new mark are observed on the rows as they are written. The mark is
     the largest ``updated_at`` that was read, up to the start of the run, so rows that arrive while
@@ -91,16 +93,21 @@ def run_batch(
 
     stamped = not missing_columns(rows, ["updated_at"])
     at = F.col("updated_at") if stamped else F.lit(None).cast("timestamp")
-    stamps = [
-        F.unix_micros(F.max(F.when(at <= F.lit(run_at), at))).alias("latest"),
-        F.count_if(at > F.lit(run_at)).alias("ahead"),
-    ]
+    latest, ahead = F.when(at <= F.lit(run_at), F.unix_micros(at)), (at > F.lit(run_at)).cast("long")
+    stamps = [F.max(latest).alias("latest"), F.sum(ahead).alias("ahead")]
     read = {}
     if skip_delivered_by and spark.catalog.tableExists(output_table):
-        read = rows.agg(*stamps).first().asDict()
         results = spark.table(output_table)
+        hashed = key_hash_columns(rows, results, skip_delivered_by)
+        if hashed is None:
+            seen, read = None, rows.agg(*stamps).first().asDict()
+        else:
+            also = {"latest": ("max", latest), "ahead": ("sum", ahead)}
+            seen = look_at(rows, [F.expr(one) for one in hashed], also, skip_delivered_by)
+            read = seen.metrics
         version = "updated_at" if stamped and not missing_columns(results, ["updated_at"]) else None
-        rows = skip_delivered(rows, results, skip_delivered_by, version=version)
+        since = None if look_back is None else run_at - look_back
+        rows = skip_delivered(rows, results, skip_delivered_by, version=version, since=since, seen=seen)
     attempted = attempt(rows, context, sender_factory, **options)
     done = record(attempted, lambda sent: append_rows(sent, output_table), *stamps)
     done.require_all()
@@ -113,4 +120,4 @@ def run_batch(
     if ledger_table is not None:
         append_run(spark, ledger_table, feed, mark, run_at, done.records)
     failed = done.records - done.succeeded
-    return RunSummary(done.records, done.succeeded, failed, mark, unstamped, seen["ahead"], done.strays)
+    return RunSummary(done.records, done.succeeded, failed, mark, unstamped, seen["ahead"] or 0, done.strays)

@@ -8,7 +8,7 @@ import tempfile
 from functools import cache
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from outpour.errors import ConfigurationError
 
@@ -31,6 +31,13 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="outpour-")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read back: what uses them does not run their plan again."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_packages(spark: SparkSession, *folders: str) -> None:
     """Put package folders on the Python path of the executors, once per session.
 

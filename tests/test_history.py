@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from outpour.operators.history import _hot_hashes, retry_set, skip_delivered
+from outpour.operators import keyfilter
+from outpour.operators.history import retry_set, skip_delivered
+from outpour.operators.keyfilter import look_at
 
 START = datetime(2024, 1, 1)
 RESULTS = "key string, n int, success boolean, error_code string, processed_timestamp timestamp"
@@ -80,28 +82,72 @@ def test_skip_by_two_columns_with_nulls(spark):
         assert left == {("a", None), (None, 1), ("b", 1)}
 
 
-def test_hot_keys_are_found(spark):
-    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS key", "id")
-    found = _hot_hashes(rows.repartition(4), ["key"], 500)
-    assert found == [spark.sql("SELECT xxhash64('hot')").first()[0]]
-    assert _hot_hashes(rows, ["key"], 2000) == []
-    assert _hot_hashes(rows.filter("id < 0"), ["key"], 0) == []
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_keys_are_checked_by_broadcast(spark):
-    rows = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id + 10 END AS key", "id")
-    done = results(spark, ("1", 1, True, 1), ("11", 1, True, 1)).withColumn("key", F.col("key").cast("int"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        left = skip_delivered(rows, done, ["key"], 100)
-        plan = left._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
-        assert left.count() == 1000 - 334 - 1
-        plain = skip_delivered(rows, done, ["key"])
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert plain.count() == 1000 - 334 - 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_history_is_held_against_the_increment_where_it_is_scanned(spark, tmp_path):
+    done = results(spark, *[(f"k{n}", n, n % 2 == 0, n % 48) for n in range(2000)])
+    done.withColumn("id", F.col("n").cast("int")).repartition(3).write.parquet(str(tmp_path / "results"))
+    spark.range(500, 600).write.parquet(str(tmp_path / "rows"))
+    history, rows = (spark.read.parquet(str(tmp_path / name)) for name in ("results", "rows"))
+    since = START + timedelta(hours=24)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    left = skip_delivered(rows, history, ["id"], since=since)
+    text = plan(left)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in text.split("\n") if "FileScan" in line and "processed_timestamp" in line]
+    assert len(scans) == 1 and all(
+        part in scans[0] for part in ("EqualTo(success,true)", "GreaterThanOrEqual(processed_timestamp", "GreaterThanOrEqual(id,500)", "LessThanOrEqual(id,599)")
+    )
+    assert "n:int" not in scans[0] and text.count(str(tmp_path / "rows")) == 1
+    expected = [n for n in range(500, 600) if not (n % 2 == 0 and n % 48 >= 24)]
+    assert sorted(row["id"] for row in left.collect()) == expected
+
+
+def test_thousands_of_hot_keys_are_dealt_out(spark):
+    rows = spark.range(120_000).selectExpr("id % 6000 AS key", "id").repartition(3)
+    rows = rows.filter("key < 5000 OR id < 6000")  # 5000 keys have 20 rows, 1000 have one
+    done = spark.range(0, 6000, 3).selectExpr("cast(id as string) key", "id n", "true success", "timestamp'2024-01-01' processed_timestamp")
+    done = done.withColumn("key", F.col("key").cast("int"))
+    seen = look_at(rows, [F.col("key").cast("bigint")])
+    heavy = seen.heavy(10)
+    assert 4950 <= heavy.count() <= 5000 and heavy.filter("__parts < 2").count() == 0
+    left = skip_delivered(rows, done, ["key"], 10)
+    assert "__part" in plan(left) and "LeftAnti" in plan(left)
+    assert left.count() == rows.filter("key % 3 <> 0").count()
+    one = spark.range(5000).selectExpr("cast(1 as bigint) key", "'same' AS text").repartition(8)
+    assert skip_delivered(one, done, ["key"], 100).count() == 5000 and skip_delivered(one, done.selectExpr("1 key", "n", "success", "processed_timestamp"), ["key"], 100).count() == 0
+
+
+def test_filter_is_as_large_as_its_keys(spark):
+    few = look_at(spark.range(1000), [F.col("id")])
+    assert few.size == 256 and abs(few.keys - 1000) < 30
+    none = look_at(spark.range(0), [F.col("id")])
+    assert none.keys == 0 and none.marked(spark.range(5), [F.col("id")], "hit").filter("hit").count() == 0
+    many = look_at(spark.range(0, 4_000_000, 1, 4), [F.col("id")])
+    assert many.size == 1 << 20 and abs(many.keys / 4_000_000 - 1) < 0.01
+    marked = many.marked(spark.range(3_900_000, 4_200_000, 1, 4), [F.col("id")], "hit")
+    inside = F.col("id") < 4_000_000
+    row = marked.agg(F.count_if(inside & F.col("hit")).alias("own"), F.count_if(~inside & F.col("hit")).alias("false")).first()
+    assert row["own"] == 100_000 and row["false"] < 0.05 * 200_000
+
+
+def test_filter_that_would_say_little_is_none(spark, monkeypatch):
+    monkeypatch.setattr(keyfilter, "MAX_WORDS", 64)
+    full = look_at(spark.range(100_000), [F.col("id")])
+    assert full.packed is None and full.marked(spark.range(3), [F.col("id")], "hit").filter("hit").count() == 3
+    rows = spark.range(100_000).withColumnRenamed("id", "key")
+    done = spark.range(10).selectExpr("id AS key", "true success", "timestamp'2024-01-01' processed_timestamp")
+    assert skip_delivered(rows, done, ["key"]).count() == 99_990
+
+
+def test_keys_of_other_types_are_compared_by_the_join(spark):
+    done = spark.sql("SELECT '7' AS key, true AS success, timestamp'2024-01-01' AS processed_timestamp")
+    assert [row["key"] for row in skip_delivered(spark.range(6, 9).toDF("key"), done, ["key"]).orderBy("key").collect()] == [6, 8]
+    lower = spark.sql("SELECT 'a' COLLATE utf8_lcase AS key")
+    upper = done.select(F.expr("'A' COLLATE utf8_lcase AS key"), "success", "processed_timestamp")
+    assert skip_delivered(lower, upper, ["key"]).count() == 0
 
 
 def test_retry_set_of_rows_with_a_map(spark):

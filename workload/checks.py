@@ -372,5 +372,9 @@ CHECKS = {
           CASE WHEN event_id % 3 = 0 THEN updated_at + INTERVAL 24 HOUR ELSE updated_at END AS updated_at) FROM mem)
         SELECT * FROM changed WHERE event_id % 3 = 0 OR NOT EXISTS (
           SELECT 1 FROM runs WHERE runs.event_id = changed.event_id AND runs.success)""",
+    "replay_skip_pruned": f"""
+        WITH {RUNS} SELECT * FROM mem WHERE updated_at > {MARK} AND NOT EXISTS (
+          SELECT 1 FROM runs WHERE runs.event_id = mem.event_id AND runs.success
+            AND runs.processed_timestamp >= {SENT_AGAIN_AT})""",
     "replay_skip_hot": f"WITH {MEM} SELECT * FROM mem WHERE segment_name NOT IN ('view', 'click')",
 }

@@ -624,6 +624,15 @@ def replay_skip_updated(spark, sf_dir):
     return times(rows, "timestamp_ntz")
 
 
+@query
+def replay_skip_pruned(spark, sf_dir):
+    """An increment against the results of the second run alone."""
+    mark = last_mark(_ledger(spark, sf_dir), "view")
+    rows = new_rows(memberships(spark, sf_dir), FIRST_PARTY.contract, mark)
+    rows = history.skip_delivered(rows, _two_runs(spark, sf_dir), ["event_id"], since=SENT_AGAIN_AT)
+    return times(rows, "timestamp_ntz")
+
+
 @query
 def replay_skip_hot(spark, sf_dir):
     """By segment, of which there are few: every key is hot."""
