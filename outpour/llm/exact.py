@@ -2,8 +2,8 @@
 
 Each level looks only at rows that the level before left together with another row: prefixes are hashed only in
 groups of equal length, whole texts only in groups of equal length and prefix. The groups of a level reach the next
-scan as a gate of fixed size (``store.gate``), so texts are not shuffled to find out which of them have copies; a
-false hit of the gate costs one hash and changes nothing. Only rows that survive all levels are written and joined.
+scan as a gate (``store.gate``, sized by the groups), so texts are not shuffled to find out which of them have copies; a
+false hit of the gate costs one hash and changes nothing. Beyond some 30 million groups a gate lets all rows pass. Only rows that survive all levels are written and joined.
 
 Everything is DataFrame functions. Copies are counted map-side first, and the join of survivors with their groups is
 between two written tables, so that Spark's adaptive execution can split a group of any size.
@@ -38,9 +38,9 @@ def exact_groups(
     length = F.octet_length(text).alias("__length")
     prefix = F.xxhash64(normalised(F.substring(text, 1, PREFIX_CHARS))).alias("__prefix")
 
-    lengths = gate(_repeated(docs.select(length)), "exact-lengths")
+    lengths = gate(_repeated(docs.select(length)))
     same_length = gated(docs.select(text_column), lengths, [length], "__shared").where("__shared")
-    prefixes = gate(_repeated(same_length.select(length, prefix)), "exact-prefixes")
+    prefixes = gate(_repeated(same_length.select(length, prefix)))
     rows = gated(docs, prefixes, [length, prefix], "__shared")
 
     kept_columns = [F.col(f"`{name}`") for name in columns]

@@ -234,7 +234,7 @@ def drop_linked(docs: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
     """
     dropped = written(found.where("id <> component_id").select("id").distinct(), "simhash-dropped")
     own = F.col(id_column).cast("long")
-    rows = gated(docs, gate(dropped, "simhash-gate"), [own], "__hit")
+    rows = gated(docs, gate(dropped), [own], "__hit")
     staying = rows.where(~F.col("__hit")).drop("__hit")
     checked = rows.where("__hit").drop("__hit").withColumn("__own", own)
     checked = checked.join(dropped, F.col("__own") == dropped.id, "left_anti").drop("__own")

@@ -1,4 +1,4 @@
-"""Written intermediate tables, and filters of a fixed size that may be broadcast."""
+"""Written intermediate tables, and filters of keys that are broadcast."""
 
 from __future__ import annotations
 
@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import outpour
+from outpour.operators.keyfilter import KeyFilter, look_at
 from outpour.sources.session import shared_path, ship_packages
 
-#: Most rows of a gate, and so the bound of its broadcast (8 bytes a row).
-POSITIONS = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -48,24 +47,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     with _shuffles_freed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
 
 
-def _position(columns: list[Column]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(POSITIONS))
+def gate(keys: DataFrame) -> KeyFilter:
+    """A filter of the keys with false positives only, as large as the keys are many (and bounded, see ``keyfilter``)."""
+    return look_at(keys, [F.col(column) for column in keys.columns])
 
 
-def gate(keys: DataFrame, name: str) -> DataFrame:
-    """Places of the keys among POSITIONS places, written. A filter with false positives only."""
-    columns = [F.col(column) for column in keys.columns]
-    return written(keys.select(_position(columns).alias("__place")).distinct(), name)
+def gated(df: DataFrame, keys: KeyFilter, columns: list[Column], flag: str) -> DataFrame:
+    """Adds whether the key of a row may be among those of the gate, without a shuffle of the rows."""
+    return keys.marked(df, columns, flag)
 
 
-def gated(df: DataFrame, places: DataFrame, columns: list[Column], flag: str) -> DataFrame:
-    """Adds whether the key of a row may be among those of the gate, without a shuffle of the rows.
-
-    The gate has POSITIONS rows at most, whatever its input, so it is broadcast.
-    """
-    hits = F.broadcast(places.select("__place", F.lit(True).alias("__hit")))
-    joined = df.withColumn("__place", _position(columns)).join(hits, "__place", "left")
-    return joined.withColumn(flag, F.col("__hit").isNotNull()).drop("__place", "__hit")
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing will read again."""
+    for table in tables:
+        jvm, context = table.sparkSession._jvm, table.sparkSession._jsc
+        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from outpour.llm.simhash import _runs
-from outpour.llm.store import gate, gated, ship, written
+from outpour.llm.store import discard, gate, gated, ship, written
 
 LENGTH = 100
 GRAM = 24
@@ -126,11 +126,12 @@ def new_strings(docs: DataFrame, length: int = LENGTH, capacity: int = CAPACITY)
     settled = triggers.where("entries = 1").select("doc", "start", stop)
 
     shared = triggers.where("entries > 1").select("trigger", "entries")
-    marked = gated(dictionary, gate(shared.select("trigger"), "trigger-gate"), [F.col("trigger")], "__maybe")
+    marked = gated(dictionary, gate(shared.select("trigger")), [F.col("trigger")], "__maybe")
     candidates = marked.where("__maybe").drop("__maybe").join(shared, "trigger")
     spans = F.collect_list(F.struct("trigger", "entries", "start", "strings")).alias("spans")
     wanted = written(candidates.groupBy("doc").agg(spans), "wanted")
-    holders = gated(docs, gate(wanted.select("doc"), "wanted-gate"), [F.col("doc")], "__maybe").where("__maybe")
+    discard(dictionary)
+    holders = gated(docs, gate(wanted.select("doc")), [F.col("doc")], "__maybe").where("__maybe")
     entries = holders.select("doc", "text").join(wanted, "doc").mapInArrow(
         lambda parts: _entries(parts, length, capacity), "trigger long, lot int, hot boolean, doc long, start int, data binary"
     )
@@ -139,6 +140,7 @@ def new_strings(docs: DataFrame, length: int = LENGTH, capacity: int = CAPACITY)
         lambda parts: _by_suffix(parts, length), "doc long, start int, stop int, high long, low long"
     )
     found = written(found, "new-strings")
+    discard(wanted)
     local = found.where("high is null").select("doc", "start", "stop")
     across = found.where("high is not null").groupBy("high", "low").agg(F.min(F.struct("doc", "start")).alias("first"))
     across = across.select("first.doc", "first.start", (F.col("first.start") + 1).alias("stop"))
