@@ -306,7 +306,7 @@ def attempt(
     batch_size: int = DEFAULT_BATCH_SIZE,
     parallelism: int | str | None = None,
     key: list[str] | None = None,
-    bucket: Column | int | None = None,
+    bucket: Column | int | str | None = None,
     slices: int = 1,
     unique_rows: bool = False,
     trace_id: str | None = None,

@@ -47,6 +47,64 @@ def test_both_ways_agree_and_do_not_depend_on_partitions(spark):
     assert {r["bucket"] for r in expected} == set(range(5))
 
 
+@pytest.mark.parametrize("unique_rows", [False, True])
+def test_global_numbers_depend_on_rows_alone(spark, unique_rows):
+    df = spark.range(1, 2000, 1, 3).selectExpr("id * 7919 % 2003 AS id", "id % 5 AS n")
+    df = df if unique_rows else df.unionByName(spark.range(900).selectExpr("cast(5 as bigint) id", "cast(1 as bigint) n"))
+    only, seen = F.expr("n <> 3"), []
+    for partitions, frame in ((3, df), (7, df.repartition(11)), (1, df.coalesce(1))):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            numbered = number_batches(frame, 10, ["id"], "global", unique_rows=unique_rows, only=only)
+            seen.append(Counter(map(tuple, numbered.collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert seen[0] == seen[1] == seen[2]
+    placed = sorted((row[3], row[4], row[0]) for row in seen[0].elements() if row[3] is not None)
+    ids = sorted(row["id"] for row in df.filter(only).collect())
+    assert placed == [(k // 10, k % 10 + 1, one) for k, one in enumerate(ids)]
+    assert sum(row[3] is None for row in seen[0].elements()) == df.filter(~only).count()
+
+
+def test_global_numbers_of_nothing(spark):
+    assert number_batches(spark.range(0), 5, ["id"], "global").collect() == []
+    assert number_batches(spark.range(3), 5, ["id"], "global", only=F.lit(False)).filter("batch_no IS NULL").count() == 3
+    with pytest.raises(ValueError):
+        number_batches(spark.range(1), 5, ["id"], "elsewhere")
+
+
+ODD = """
+SELECT id, IF(id % 2 = 0, map('a', 1, 'b', 2), map('b', 2, 'a', 1)) AS m,
+  IF(id % 3 = 0, 'A', 'a') COLLATE utf8_lcase AS c, IF(id % 4 = 0, -0.0D, 0.0D) AS z,
+  parse_json(IF(id % 5 = 0, '{"x": [1, null]}', '7')) AS v,
+  IF(id % 6 = 0, NULL, array(named_struct('m', map(1, 'x'), 'c', 'Q' COLLATE utf8_lcase))) AS n
+FROM (SELECT id % 60 AS id FROM range(240))
+"""
+
+
+@pytest.mark.parametrize("bucket", [None, "global", "0"])
+@pytest.mark.parametrize("unique_rows", [False, True])
+def test_columns_of_any_type(spark, bucket, unique_rows):
+    df = spark.sql(ODD).repartition(3)
+    df = df.dropDuplicates(["id"]) if unique_rows else df
+    label = F.expr(bucket) if bucket == "0" else bucket
+    numbered = number_batches(df, 7, ["id"], label, unique_rows=unique_rows)
+    shown = ["id", "to_json(array_sort(map_entries(m))) m", "cast(c as binary) c", "cast(z as string) z", "to_json(v) v", "to_json(n) n"]
+    assert Counter(map(str, numbered.selectExpr(*shown).collect())) == Counter(map(str, df.selectExpr(*shown).collect()))
+    check(numbered.select("id", "bucket", "batch_no", "item_number"), df.select("id"), 7)
+
+
+@pytest.mark.parametrize("key", ["m", "c", "v", "z"])
+def test_keys_of_any_type(spark, key):
+    df = spark.sql(ODD).dropDuplicates(["id"])
+    expected = None
+    for frame in (df, df.repartition(5)):
+        numbered = number_batches(frame, 7, [key, "id"], "global")
+        numbers = sorted(map(tuple, numbered.select("id", "batch_no", "item_number").collect()))
+        assert expected in (None, numbers) and len(numbers) == 60
+        expected = numbers
+
+
 def test_copies_hold_most_rows(spark):
     size = 3
     copies = 3 * SPREAD_BATCHES * size + 5

@@ -229,6 +229,21 @@ def test_numbered_batches_are_those_of_every_run(spark, tmp_path):
     assert all(len(items) <= 8 for _, items in seen[0])
 
 
+def test_one_sequence_of_batches(spark, tmp_path):
+    """Under any setting the same batches, of which one is short."""
+    df = members(spark, 300, 3, F.col("id") % 10 == 0)
+    df = df.unionByName(df.filter("id = 7")).unionByName(df.filter("id = 7"))
+    seen = []
+    for n, frame in enumerate((df, df.repartition(5))):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        delivered = push(frame, CONTEXT, logging_sender(str(folder)), batch_size=8, key=["id"], bucket="global", parallelism=3 + n)
+        assert delivered.count() == 302 and delivered.filter("success").count() == 272
+        seen.append(sorted((r["batch"], [i["tdid"] for i in r["items"]]) for r in requests_in(folder)))
+    assert seen[0] == seen[1]
+    assert [(batch[1], len(items)) for batch, items in seen[0]] == [(k, 8) for k in range(34)]
+
+
 def test_numbered_batches_with_hashed_buckets(spark, tmp_path):
     df = members(spark, 300, 3)
     for unique_rows in (False, True):

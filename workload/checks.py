@@ -229,6 +229,10 @@ CHECKS = {
           CAST(place % 25 + 1 AS INTEGER) AS item_number
         FROM (SELECT l_orderkey,
           row_number() OVER (PARTITION BY l_orderkey // 500 ORDER BY l_orderkey) - 1 AS place FROM lineitem)""",
+    "batch_numbers_global": """
+        SELECT l_orderkey, l_returnflag, place // 25 AS batch_no, CAST(place % 25 + 1 AS INTEGER) AS item_number
+        FROM (SELECT l_orderkey, l_returnflag, row_number() OVER (ORDER BY l_orderkey, l_returnflag) - 1 AS place
+          FROM lineitem)""",
     "request_envelopes": f"""
         WITH {CONV}, batched AS (
           SELECT o_orderkey, o_orderkey // 500 AS bucket,
@@ -268,6 +272,9 @@ CHECKS = {
         f"({BAD} OR batch_no % 5 = 0)",
     )
     + " FROM batched",
+    "deliver_map_column": f"""
+        WITH {MEM} SELECT event_id, {BAD_STATUS},
+          '{{"type":"' || segment_name || '","note":' || to_json(note) || '}}' AS tags FROM mem""",
     "deliver_in_arrival_order": f"WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem",
     "transient_failures": f"WITH {BATCHED} SELECT event_id, "
     + _status(

@@ -256,6 +256,13 @@ def batch_numbers_of_copies(spark, sf_dir):
     return number_batches(lines, 25, ["l_orderkey"], _block("l_orderkey"))
 
 
+@query
+def batch_numbers_global(spark, sf_dir):
+    """One sequence of batches over all order lines, copies included."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_returnflag")
+    return number_batches(lines, 25, ["l_orderkey", "l_returnflag"], "global").drop("bucket")
+
+
 @query
 def request_envelopes(spark, sf_dir):
     numbered = number_batches(conversions(spark, sf_dir), 3, ["o_orderkey"], _block("o_orderkey"))
@@ -295,6 +302,15 @@ def deliver_status(spark, sf_dir):
     return times(delivered, "timestamp_ntz")
 
 
+@query
+def deliver_map_column(spark, sf_dir):
+    """A column that has neither a hash nor an order goes through numbered batches as it is."""
+    tags = F.create_map(F.lit("type"), F.col("segment_name"), F.lit("note"), F.col("note"))
+    rows = memberships(spark, sf_dir).withColumn("tags", tags)
+    delivered = deliver(rows, FIRST_PARTY, senders.reject_bad_events, **_by_event())
+    return times(delivered.select(*STATUS, F.to_json("tags").alias("tags")), "timestamp_ntz")
+
+
 @query
 def deliver_in_arrival_order(spark, sf_dir):
     delivered = deliver(
