@@ -28,6 +28,9 @@ STATUS_FIELDS = [
 
 UPDATED_AT = T.StructField("updated_at", T.TimestampType())
 
+# Names the run that wrote a result, and in the ledger the run that is whole.
+RUN_ID = T.StructField("run_id", T.StringType())
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("feed", T.StringType()),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from outpour.contracts import Context
+from outpour.contracts import RUN_ID, Context
 from outpour.errors import ConfigurationError
 from outpour.operators.checks import require_sendable
 from outpour.operators.conform import conform, missing_columns
@@ -17,7 +18,7 @@ from outpour.operators.deliver import Send, attempt, record
 from outpour.operators.history import key_hash_columns, skip_delivered
 from outpour.operators.increment import last_mark, new_rows
 from outpour.operators.keyfilter import look_at
-from outpour.sources.tables import append_rows, append_run, require_table
+from outpour.sources.tables import append_rows, append_run, require_table, visible_results
 
 
 @dataclass(frozen=True)
@@ -69,6 +70,10 @@ def run_batch(
     written before the ledger, so a run that breaks between the two is repeated, not lost. After a fatal
     response the rows of all batches that were sent are in the results, the ledger is left as it was, and
     ``SendError`` is raised: a later run with ``skip_delivered_by`` sends the rest.
+
+    Where output and ledger tables have a run id, results of a run that broke stay out of sight
+    (``visible_results``), for ``skip_delivered_by`` too. After a fatal response the run is recorded in the ledger
+    under its old mark, so that what was sent is seen.
     """
     if new_rows_only and ledger_table is None:
         raise ConfigurationError("new_rows_only needs a ledger_table")
@@ -76,6 +81,7 @@ def run_batch(
         raise ConfigurationError("since has no effect without new_rows_only")
     if ledger_table is not None:
         require_table(spark, ledger_table)
+    run_id = _run_id(spark, output_table, ledger_table)
     contract = context.contract
     feed = feed or contract.name
     run_at = datetime.now(timezone.utc)
@@ -98,6 +104,8 @@ def run_batch(
     read = {}
     if skip_delivered_by and spark.catalog.tableExists(output_table):
         results = spark.table(output_table)
+        if run_id is not None:
+            results = visible_results(results, spark.table(ledger_table))
         hashed = key_hash_columns(rows, results, skip_delivered_by)
         if hashed is None:
             seen, read = None, rows.agg(*stamps).first().asDict()
@@ -109,7 +117,10 @@ def run_batch(
         since = None if look_back is None else run_at - look_back
         rows = skip_delivered(rows, results, skip_delivered_by, version=version, since=since, seen=seen)
     attempted = attempt(rows, context, sender_factory, **options)
-    done = record(attempted, lambda sent: append_rows(sent, output_table), *stamps)
+    own = [] if run_id is None else [F.lit(run_id).alias(RUN_ID.name)]
+    done = record(attempted, lambda sent: append_rows(sent.select("*", *own), output_table), *stamps)
+    if done.stop is not None and run_id is not None:
+        append_run(spark, ledger_table, feed, mark, run_at, done.records, run_id)
     done.require_all()
     seen = done.metrics | read
     if seen["latest"] is not None:
@@ -118,6 +129,15 @@ def run_batch(
         reached = None if stamped else run_at
     mark = max((m for m in (mark, reached) if m is not None), default=None)
     if ledger_table is not None:
-        append_run(spark, ledger_table, feed, mark, run_at, done.records)
+        append_run(spark, ledger_table, feed, mark, run_at, done.records, run_id)
     failed = done.records - done.succeeded
     return RunSummary(done.records, done.succeeded, failed, mark, unstamped, seen["ahead"] or 0, done.strays)
+
+
+def _run_id(spark: SparkSession, output_table: str, ledger_table: str | None) -> str | None:
+    """A new id for the run, if its results are to carry one."""
+    if not spark.catalog.tableExists(output_table) or missing_columns(spark.table(output_table), [RUN_ID.name]):
+        return None
+    if ledger_table is None or missing_columns(spark.table(ledger_table), [RUN_ID.name]):
+        raise ConfigurationError(f"results of {output_table} carry a run id, so a ledger_table with a run id is needed")
+    return uuid4().hex

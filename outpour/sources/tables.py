@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outpour.contracts import LEDGER_SCHEMA, Contract, result_schema, with_updated_at
+from outpour.contracts import LEDGER_SCHEMA, RUN_ID, Contract, result_schema, with_updated_at
 from outpour.errors import ConfigurationError, ContractError
 from outpour.operators.conform import missing_columns, quoted, same_name_rule
 from outpour.operators.increment import instant
+from outpour.sources.types import holds, join_schemas, widened
 
 
 def _create(spark: SparkSession, name: str, schema: T.StructType, location: str | None, source: str | None) -> str:
@@ -42,17 +43,54 @@ def create_output_table(
     name: str | None = None,
     location: str | None = None,
     source: str | None = None,
+    input_schema: T.StructType | None = None,
+    with_run_id: bool = False,
 ) -> str:
-    """Create, if absent, the table of results: the input table's columns and the status."""
+    """Create, if absent, the table of results: the input table's columns and the status.
+
+    ``input_schema`` is what will be delivered, where that has further columns or wider types than the contract: each
+    column gets the narrowest type that holds both. ``with_run_id`` adds the column by which a run's results become
+    visible at once (see ``visible_results``).
+    """
     name = name or f"delivery_{contract.name}_output"
-    return _create(spark, name, result_schema(with_updated_at(contract.schema)), location, source)
+    schema = with_updated_at(contract.schema)
+    if input_schema is not None:
+        shown = T.StructType([field for field in input_schema if not field.name.startswith("_")])
+        try:
+            schema = join_schemas(schema, shown, same_name_rule(spark))
+        except ValueError as error:
+            raise ContractError(f"{contract.display_name}: {error}", [], contract.name, "output") from error
+    schema = result_schema(schema)
+    return _create(spark, name, T.StructType([*schema, RUN_ID]) if with_run_id else schema, location, source)
 
 
 def create_ledger_table(
-    spark: SparkSession, name: str | None = None, location: str | None = None, source: str | None = None
+    spark: SparkSession,
+    name: str | None = None,
+    location: str | None = None,
+    source: str | None = None,
+    with_run_id: bool = False,
 ) -> str:
-    """Create, if absent, the table with one row per run. Feeds may share it."""
-    return _create(spark, name or "delivery_ledger", LEDGER_SCHEMA, location, source)
+    """Create, if absent, the table with one row per run. Feeds may share it.
+
+    ``with_run_id``: the row also says which results are whole, see ``visible_results``.
+    """
+    schema = T.StructType([*LEDGER_SCHEMA, RUN_ID]) if with_run_id else LEDGER_SCHEMA
+    return _create(spark, name or "delivery_ledger", schema, location, source)
+
+
+def visible_results(results: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The results of runs that the ledger has, and those from before runs had an id.
+
+    A run writes its results first and then one row to the ledger, so what it wrote counts from that row on, all at once;
+    what a broken run left behind is never seen. The join is with one row for each run, which Spark broadcasts
+    as long as that is small.
+    """
+    if missing_columns(results, [RUN_ID.name]):
+        return results
+    runs = ledger.filter(F.col(RUN_ID.name).isNotNull()).select(F.col(RUN_ID.name).alias("__run")).distinct()
+    joined = results.join(runs, F.col(RUN_ID.name) == F.col("__run"), "left")
+    return joined.filter(F.col(RUN_ID.name).isNull() | F.col("__run").isNotNull()).drop("__run")
 
 
 def require_table(spark: SparkSession, name: str) -> None:
@@ -73,7 +111,7 @@ def _fits(given: T.DataType, stored: T.DataType) -> bool:
     """Whether every value of a type can be stored as another."""
     here, there = given.simpleString(), stored.simpleString()
     widens = here in _WIDENING and there in _WIDENING and _WIDENING.index(here) < _WIDENING.index(there)
-    return here == there or here == "void" or widens
+    return here == there or widens or holds(stored, given)
 
 
 def aligned(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
@@ -90,13 +128,15 @@ def aligned(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     misfits = [field.name for field in df.schema if not _fits(field.dataType, stored[rule(field.name)])]
     if misfits:
         raise ContractError(f"table {table} has another type for {misfits}", misfits, table, "output")
-    absent = set(missing_columns(df, schema.names))
-    return df.select(
-        *[
-            (F.lit(None) if field.name in absent else F.col(quoted(field.name))).cast(field.dataType).alias(field.name)
-            for field in schema
-        ]
-    )
+    own = {rule(field.name): field.dataType for field in df.schema}
+    columns = []
+    for field in schema:
+        if rule(field.name) in own:
+            column = widened(F.col(quoted(field.name)), own[rule(field.name)], field.dataType)
+        else:
+            column = F.lit(None).cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -111,10 +151,18 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def append_run(
-    spark: SparkSession, ledger: str, feed: str, mark: datetime | None, run_at: datetime, records: int
+    spark: SparkSession,
+    ledger: str,
+    feed: str,
+    mark: datetime | None,
+    run_at: datetime,
+    records: int,
+    run_id: str | None = None,
 ) -> None:
-    """Append the record of one run."""
+    """Append the record of one run, in one file: it is there as a whole or not at all."""
     last = F.lit(None) if mark is None else instant(mark)
     values = [F.lit(feed), last, instant(run_at), F.lit(records)]
     row = [value.cast(f.dataType).alias(f.name) for value, f in zip(values, LEDGER_SCHEMA)]
-    append_rows(spark.range(1).select(*row), ledger)
+    if run_id is not None:
+        row.append(F.lit(run_id).alias(RUN_ID.name))
+    append_rows(spark.range(0, 1, 1, 1).select(*row), ledger)

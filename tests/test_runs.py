@@ -3,6 +3,7 @@ from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outpour import (
     CONTRACTS,
@@ -21,7 +22,9 @@ from outpour import (
 )
 from outpour.contracts import with_updated_at
 from outpour.operators.increment import last_mark, new_rows
-from outpour.sources.tables import append_rows, append_run, stamp_updated
+from outpour.plans import batch
+from outpour.sources.tables import append_rows, append_run, stamp_updated, visible_results
+from outpour.sources.types import holds, join_types
 from tests.senders import accepting, failing_first_item, logging_sender, refusing, requests_in
 
 CONTEXT = FirstParty("adv")
@@ -266,6 +269,82 @@ def test_refusal_records_what_was_sent(spark, tables):
     assert again.records == 3 and spark.table(ledger).count() == 1
 
 
+def test_results_of_a_broken_run_are_not_seen(spark, tables, monkeypatch):
+    source, suffix = tables[0], uuid4().hex
+    results = create_output_table(spark, CONTRACT, f"runs_{suffix}", with_run_id=True)
+    ledger = create_ledger_table(spark, f"runs_ledger_{suffix}", with_run_id=True)
+    append_rows(members(spark, 1, 2), source)
+    options = {"new_rows_only": True, "skip_delivered_by": ["id_value"]}
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "append_run", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, CONTEXT, accepting, source, results, ledger, **options)
+    assert spark.table(results).count() == 2
+    assert visible_results(spark.table(results), spark.table(ledger)).count() == 0
+    assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 2
+    seen = visible_results(spark.table(results), spark.table(ledger))
+    assert sorted(row["id_value"] for row in seen.collect()) == ["v1", "v2"] and spark.table(results).count() == 4
+    assert seen.select("run_id").distinct().count() == 1
+    append_rows(members(spark, 3, 4).coalesce(1), source)
+    with pytest.raises(SendError):
+        run_batch(spark, CONTEXT, refusing, source, results, ledger, parallelism=1, batch_size=1, **options)
+    seen = visible_results(spark.table(results), spark.table(ledger))
+    assert seen.count() == 3 and seen.filter("error_code = 'Unauthorized'").count() == 1
+    assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 2
+
+
+def test_results_from_before_run_ids_are_seen(spark):
+    old = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, run_id string")
+    ledger = spark.createDataFrame([("f", "a"), ("f", None), ("f", "a")], "feed string, run_id string")
+    assert sorted(row["id"] for row in visible_results(old, ledger).collect()) == [1, 2]
+    assert visible_results(old.drop("run_id"), ledger).count() == 3
+
+
+def test_run_ids_need_a_ledger_with_them(spark, tables):
+    results = create_output_table(spark, CONTRACT, f"runs_{uuid4().hex}", with_run_id=True)
+    for ledger in (None, tables[2]):
+        with pytest.raises(ConfigurationError, match="run id"):
+            run_batch(spark, CONTEXT, accepting, tables[0], results, ledger)
+
+
+def test_output_table_for_further_columns(spark, tables):
+    source, results = f"extra_{uuid4().hex}", f"extra_out_{uuid4().hex}"
+    rows = spark.sql(
+        """SELECT 'TDID' id_type, 'a' id_value, 's' segment_name, 3L ttl_in_minutes, TIMESTAMP '2024-01-01' updated_at,
+           named_struct('x', 1) AS more, array(named_struct('y', 2S)) AS list, 'h' AS _hidden"""
+    )
+    rows.write.saveAsTable(source)
+    schema = rows.withColumn("more", F.struct(F.lit(1).cast("long").alias("x"), F.lit("z").alias("z"))).schema
+    create_output_table(spark, CONTRACT, results, input_schema=schema)
+    run_batch(spark, CONTEXT, accepting, source, results)
+    row = spark.table(results).first()
+    assert (row["ttl_in_minutes"], row["more"].asDict(), row["list"][0]["y"], row["success"]) == (3, {"x": 1, "z": None}, 2, True)
+    assert "_hidden" not in spark.table(results).columns
+    with pytest.raises(ContractError, match="id_value"):
+        create_output_table(spark, CONTRACT, results + "b", input_schema=rows.withColumn("ID_VALUE", F.lit(1)).schema)
+
+
+@pytest.mark.parametrize(
+    "a, b, both",
+    [
+        ("int", "int", "int"), ("int", "bigint", "bigint"), ("tinyint", "float", "float"), ("int", "float", "double"),
+        ("bigint", "double", None), ("bigint", "decimal(5,2)", "decimal(21,2)"), ("decimal(38,0)", "decimal(38,10)", None),
+        ("void", "string", "string"), ("string", "int", None), ("date", "timestamp", None),
+        ("array<int>", "array<bigint>", "array<bigint>"), ("map<string,int>", "map<string,bigint>", "map<string,bigint>"),
+        ("map<string,int>", "map<int,int>", None), ("array<int>", "int", None),
+        ("struct<a:int>", "struct<b:string,a:bigint>", "struct<a:bigint,b:string>"), ("struct<a:int>", "struct<a:string>", None),
+    ],
+)
+def test_types_that_hold_both(spark, a, b, both):
+    a, b = (T.StructType.fromDDL(f"x {kind}")[0].dataType for kind in (a, b))
+    found = join_types(a, b)
+    assert (found and found.simpleString()) == both
+    flipped = join_types(b, a)
+    assert (flipped is None) == (found is None)
+    if found is not None:
+        assert holds(found, a) and holds(found, b) or "struct" in both
+
+
 def naming_too_many():
     return lambda request: partial([(0, "LOW", None), (len(request.items) + 1, "HIGH", None), (1, "BAD", None)])
 

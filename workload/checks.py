@@ -331,6 +331,9 @@ CHECKS = {
           CAST(1 + CAST(26 + batch_no > count(*) AS INTEGER) + CAST(count(*) < 4 AS INTEGER) AS INTEGER) AS strays
         FROM numbered GROUP BY bucket, batch_no""",
     "table_setup": f"WITH {MEM} SELECT * EXCLUDE (event_id, note), {OPTIONAL}, {BAD_STATUS} FROM mem",
+    "table_setup_extra": f"""
+        WITH {MEM} SELECT * REPLACE (CAST(ttl_in_minutes AS BIGINT) AS ttl_in_minutes), {OPTIONAL}, {BAD_STATUS} FROM mem""",
+    "visible_results": f"WITH {MEM} SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem",
     "results_append": f"""
         WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem
         UNION ALL

@@ -23,6 +23,7 @@ from outpour.operators.increment import high_water_marks, last_mark, new_rows
 from outpour.plans import report
 from outpour.plans.batch import run_batch
 from outpour.plans.push import push
+from outpour.sources import tables
 from outpour.sources.session import shared_path
 from outpour.sources.tables import append_rows, create_input_table, create_ledger_table, create_output_table
 from outpour.streaming.increments import run_stream
@@ -474,6 +475,37 @@ def table_setup(spark, sf_dir):
     return times(spark.table(results), "timestamp_ntz")
 
 
+@query
+def table_setup_extra(spark, sf_dir):
+    """An output table for rows with further columns and a wider type than the contract has."""
+    rows = memberships(spark, sf_dir).withColumn("ttl_in_minutes", F.col("ttl_in_minutes").cast("long"))
+    source, results = _stored(spark, rows, "input"), _name("output")
+    contract = FIRST_PARTY.contract
+    create_output_table(spark, contract, results, shared_path(spark, "output"), "parquet", input_schema=rows.schema)
+    run_batch(spark, FIRST_PARTY, senders.reject_bad_events, source, results, **_by_event())
+    return times(spark.table(results), "timestamp_ntz")
+
+
+@query
+def visible_results(spark, sf_dir):
+    """Runs over an increment each, and between them one that broke before it was recorded: its results do not count."""
+    rows = memberships(spark, sf_dir)
+    source, contract = _name("input"), FIRST_PARTY.contract
+    rows.filter("updated_at < '2024-01-10'").write.option("path", shared_path(spark, "in")).format("parquet").saveAsTable(source)
+    results = create_output_table(
+        spark, contract, _name("output"), shared_path(spark, "out"), "parquet", input_schema=rows.schema, with_run_id=True
+    )
+    ledger = create_ledger_table(spark, _name("ledger"), shared_path(spark, "ledger"), "parquet", with_run_id=True)
+    options = {"new_rows_only": True, "skip_delivered_by": ["event_id"], **_by_event()}
+    run_batch(spark, FIRST_PARTY, senders.reject_bad_events, source, results, ledger, **options)
+    broken = push(rows, FIRST_PARTY, senders.accept_all, processed_at=SENT_AT).withColumn("run_id", F.lit("broken"))
+    append_rows(broken, results)
+    append_rows(rows.filter("updated_at >= '2024-01-10'"), source)
+    run_batch(spark, FIRST_PARTY, senders.reject_bad_events, source, results, ledger, **options)
+    seen = tables.visible_results(spark.table(results), spark.table(ledger))
+    return times(seen.drop("run_id"), "timestamp_ntz")
+
+
 @query
 def results_append(spark, sf_dir):
     results = _name("results")
