@@ -153,6 +153,8 @@ class Transducer:
             return (whole,)
         if len(self._moves) > 4 * MEMORY:
             self._forget()
+        if len(self._beside) > 4 * MEMORY:
+            self._beside = {}
         ids, number, moves = [], 0, self._moves
         for byte in piece:
             number, emitted = moves.get((number, byte)) or self._move(number, byte)

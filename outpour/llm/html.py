@@ -2,7 +2,7 @@
 
 The standard library's streaming parser turns a page into lines: one for each block of text, with its characters and the
 tags met while it was read. Lines inside elements that are never content (menus, forms, scripts, adverts ..., by element
-or by a whole class, id or role) are left out; a form or a named element that wraps the page is not one of them. The ratio of text to tags of the other lines is smoothed
+or by class, id or role, see ``_tells``) are left out; a form or a named element that wraps the page is not one of them. The ratio of text to tags of the other lines is smoothed
 with a Gaussian over the page, and a threshold that splits the ratios into two clusters (their means in turn set the
 threshold) selects content lines. If most of the selected text lies in one article or main element, the region is that
 element with all of its lines, short ones too. Else lines are selected by the logarithms of their ratios, so that a long one
@@ -10,13 +10,16 @@ does not outweigh the others, and only say where the region is: in the innermost
 from the first to the last, and on to both sides up to lines that are mostly links (``_span``). All of its lines stay.
 
 White space in a block becomes one space; blocks are joined by an empty line in page order. Null html is empty text.
-Broken markup is read as the parser reads it; element ends that were never opened are ignored. Each page is on its own, so
+Broken markup is read as the parser reads it; element ends that were never opened are ignored, and markup that nothing closes
+is text, found in one pass over the page. Columns of ``carry`` named text or n_chars are replaced. Each page is on its own, so
 repeated rows, ties and extra columns have no effect.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -44,6 +47,13 @@ NOT_CONTENT_WORDS = frozenset(
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
     "related share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
+# First parts of a name that make the rest say something else, such as has-sidebar or tag-advertising.
+OTHER_SENSE = frozenset("cat category format has hide hides is no show shows status tag tags topic type with without".split())
+# Words that also name a part of an article (post-header), and what comes before them where they do not.
+OF_ARTICLES = frozenset(["header", "masthead"])
+OF_PAGES = frozenset("blog global main page site top web".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_OPENINGS = [("<!--", re.compile(r"--\s*>")), ("<![", re.compile(r"\]\s*>"))]
 #: Elements that may hold the whole content of a page without article and main.
 CONTAINERS = frozenset("html body div section center form td".split())
 #: Share of the selected text that the content region of such a page holds at least.
@@ -97,7 +107,7 @@ class Lines(HTMLParser):
         region, mark = self._region, self._mark
         if not left_out:
             left_out = tag in NEVER_CONTENT and tag != "form" or self._hidden(attrs) or (tag == "header" and not region)
-            if not left_out and (tag == "form" or (tag not in WHOLE and self._named(attrs))):
+            if not left_out and (tag == "form" or (tag not in WHOLE and self._named(tag, attrs))):
                 self._outer.append(mark)
                 mark = len(self._outer) - 1
             if tag in REGIONS and not region:
@@ -115,10 +125,9 @@ class Lines(HTMLParser):
         return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
 
     @staticmethod
-    def _named(attrs: list[tuple[str, str | None]]) -> bool:
-        """Whether a whole class, id or role is one of the words; a part of one, as in has-header-image, says nothing."""
+    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         names = [value.lower().split() for name, value in attrs if value and name in ("class", "id", "role")]
-        return any(not NOT_CONTENT_WORDS.isdisjoint(own) for own in names)
+        return any(_tells(word, tag in HEADINGS) for own in names for word in own)
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
@@ -160,7 +169,6 @@ class Lines(HTMLParser):
         return gone
 
     def finish(self) -> None:
-        self.close()
         self._end_line()
         gone, before = self._gone(), 0
         for parts, tags, region, container in self._lines:
@@ -176,11 +184,44 @@ class Lines(HTMLParser):
                 before = 0
 
 
+def _tells(name: str, heading: bool) -> bool:
+    """Whether a class, id or role says that an element is no content: as a whole, or by its first or last part.
+
+    A part of a heading's name says nothing, nor does one in another sense, nor header where it is that of an article.
+    """
+    if name in NOT_CONTENT_WORDS:
+        return True
+    parts = [part for part in re.split(r"[-_]+", name) if part]
+    if heading or len(parts) < 2 or parts[0] in OTHER_SENSE:
+        return False
+    return any(
+        part in NOT_CONTENT_WORDS and (part not in OF_ARTICLES or parts[0] in OF_PAGES) for part in (parts[0], parts[-1])
+    )
+
+
+def _read(html: str) -> Lines:
+    """The lines of a page, in time linear in it.
+
+    The parser looks for the end of what is not closed once for each opening. So openings of comments and sections behind the last
+    close of that kind become text before, and what follows the last > is text without being parsed.
+    """
+    for opening, closing in _OPENINGS:
+        last = 0
+        for found in closing.finditer(html):
+            last = found.start()
+        html = html[:last] + html[last:].replace(opening, "&lt;" + opening[1:])
+    page, cut = Lines(), html.rfind(">") + 1
+    page.feed(html[:cut])
+    page.close()
+    if cut < len(html):
+        page.handle_data(unescape(html[cut:]))
+    page.finish()
+    return page
+
+
 def main_text(html: str | None, smoothing: float = 1.0) -> str:
     """The main text of one page."""
-    page = Lines()
-    page.feed(html or "")
-    page.finish()
+    page = _read(html or "")
     if not page.texts:
         return ""
     size = np.fromiter(map(len, page.texts), np.float64, len(page.texts))

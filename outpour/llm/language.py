@@ -29,6 +29,7 @@ from outpour.llm.store import ship
 UNDETERMINED = "und"
 DIMS = 1 << 12
 MAX_ROWS = 4000
+MAX_LANGUAGES = 200
 #: Texts of a language that are drawn at least, by expectation, so that none is left without any by chance.
 LEAST = 20
 
@@ -102,20 +103,24 @@ def _winner(contests: tuple[Contest, ...], names: list[str], point: np.ndarray)
     return best, float(1 / (1 + np.exp(-4 * np.clip(weakest[best], -9, 9)))) if contests else 1.0
 
 
-def fit(labelled: DataFrame, text_column: str, lang_column: str, max_rows: int = MAX_ROWS) -> Model:
+def fit(
+    labelled: DataFrame, text_column: str, lang_column: str, max_rows: int = MAX_ROWS, max_languages: int = MAX_LANGUAGES
+) -> Model:
     """A model of the labelled rows; rows with a null label are left out.
 
     ``max_rows`` bounds the sample that is fitted on: about ``max_rows / languages`` different texts of each language, those
     with the smallest hash, and all of a language that has fewer; texts are drawn before features are computed from them,
-    and copies of a text count and are learned from once.
+    and copies of a text count and are learned from once. ``max_languages`` bounds the languages that are learned: those with the
+    most different texts (ties: the smaller name), so that stray labels do not fill the driver.
     """
     ship(labelled.sparkSession)
     rows = labelled.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     rows = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     # Texts are drawn by their hash, so what a share gives goes by different texts, not by rows.
     different = rows.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    different = different.where(F.col("lang") != UNDETERMINED).orderBy(F.desc("texts"), "lang").limit(max_languages)
     sizes = {row["lang"]: row["texts"] for row in different.collect()}
-    languages = tuple(sorted(language for language in sizes if language != UNDETERMINED))
+    languages = tuple(sorted(sizes))
     if not languages:
         return Model((), (), {})
     each = max(1, max_rows // len(languages))

@@ -23,15 +23,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from outpour.llm.bpe import read_ranks
+from outpour.llm.bpe import Encoder, read_ranks
 from outpour.llm.store import ship, written
 
 CLOSING_ID = 0
+LONG_SPACE = 100_000
+_SPACES = regex.compile(r"\s{64,}")
 
 
 def added_tokens(tokenizer: bytes) -> dict[str, int]:
@@ -44,13 +47,32 @@ def added_tokens(tokenizer: bytes) -> dict[str, int]:
 
 
 def tiktoken_encoder(ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], np.ndarray]:
-    """Encoder of whole texts to uint32 ids; texts are split at the tokens of ``added``, which have their own ids."""
+    """Encoder of whole texts to uint32 ids; texts are split at the tokens of ``added``, which have their own ids.
+
+    The library's pattern fails on very long runs of white space; texts with such a run go through our own transducer.
+    """
     import tiktoken
 
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks), special_tokens=added or {})
-    if not added:
-        return lambda text: np.array(encoding.encode_ordinary(text), np.uint32)
-    return lambda text: np.array(encoding.encode(text, allowed_special="all"), np.uint32)
+    own: list[Encoder] = []
+    tokens = regex.compile("|".join(f"({regex.escape(token)})" for token in sorted(added or {}, key=len, reverse=True)) or "(?!)")
+
+    def encode_spaces(text: str) -> list[int]:
+        if not own:
+            own.append(Encoder(read_ranks(ranks), pattern))
+        ids: list[int] = []
+        for part in tokens.splititer(text):
+            if part:
+                ids += [added[part]] if added and part in added else own[0].encode(part)
+        return ids
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) >= LONG_SPACE and max(map(len, _SPACES.findall(text)), default=0) >= LONG_SPACE:
+            return np.array(encode_spaces(text), np.uint32)
+        ids = encoding.encode(text, allowed_special="all") if added else encoding.encode_ordinary(text)
+        return np.array(ids, np.uint32)
+
+    return encode
 
 
 def pieces(

@@ -1,0 +1,111 @@
+"""Texts and pages that once crashed or hung, and names that tell what is content."""
+
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tokenizers
+
+from outpour.llm import bpe, html, language, packing, queries
+
+
+def read(name):
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    added = packing.added_tokens(read("byte_bpe_50k.json"))
+    own = packing.tiktoken_encoder(read("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added)
+    return own, tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("space", [" ", "\t", "\n", " ", "\r\n "])
+@pytest.mark.parametrize("around", [("", ""), ("a", " b"), ("<|endoftext|>", "x<|endoftext|>y<|endoftext|>")])
+def test_long_white_space_is_encoded_like_the_library(encoders, space, around):
+    own, library = encoders
+    text = around[0] + space * (2_000_000 // len(space)) + around[1]
+    expected = library.encode(text, add_special_tokens=False).ids
+    assert np.array_equal(own(text), expected)
+
+
+def test_short_white_space_too(encoders):
+    own, library = encoders
+    for text in (" " * 99_999 + "a", " " * 100_000 + "a", "a  b <|endoftext|>  c", ("x" + " " * 70) * 2000):
+        assert own(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_long_white_space(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (2, None)], "doc_id long, text string")
+    rows = queries.packed(docs).collect()
+    assert {row["doc_id"]: row["doc_tokens"] for row in rows}[2] == 1
+    assert sum(row["length"] for row in rows if row["doc_id"] == 1) == rows[0]["doc_tokens"] or len(rows) > 1
+
+
+def test_memory_of_neighbours_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 50)
+    encoder = bpe.Encoder(bpe.read_ranks(read("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    expected = bpe.Encoder(bpe.read_ranks(read("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        text = "".join(map(chr, rng.integers(33, 1000, 40)))
+        assert encoder.encode(text) == expected.encode(text)
+        assert len(encoder.transducer._beside) < 200 + 100 * 40
+
+
+STORY = "".join(f"<p>Paragraph {k} of the story says quite a number of things in one long sentence.</p>" for k in range(6))
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", '<a b="', "<!--", "<!-- >", "<![CDATA[", "<![CDATA[ >", "</a ", "<", "<script>", "<p", "-- ", "&#", "<a b='x>"]
+)
+def test_broken_markup_takes_linear_time(part):
+    text = html.main_text(f"<article>{STORY}</article>")
+    start = time.perf_counter()
+    found = html.main_text(f"<article>{STORY}</article>" + part * (1_000_000 // len(part)))
+    assert time.perf_counter() - start < 6
+    assert text in found
+    start = time.perf_counter()
+    html.main_text("<a " * 333_333)
+    assert time.perf_counter() - start < 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    "comment-list comments-area post-comments cookie-banner related-posts share-buttons advert-box ad-slot sidebar-left "
+    "newsletter-signup site-header page_footer menu top-ad".split(),
+)
+def test_named_blocks_are_left_out(name):
+    whole = html.main_text(f"<article>{STORY}</article>")
+    block = f"<div class='{name}'><p>Something beside the story that is not of it at all, whatever it says.</p></div>"
+    assert html.main_text(f"<body><article>{STORY}{block}</article></body>") == whole
+    assert html.main_text(f"<body><div>{block}{STORY}{block}</div></body>") == whole
+    assert html.main_text(f"<body><div id='x {name}'>{STORY}</div></body>") == whole
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-comments", "post-header", "tag-advertising", "category-social", "adventure", "header-image-post"])
+def test_names_in_another_sense_stay(name):
+    block = f"<div class='{name}'><p>This is of the story, whatever its name.</p></div>"
+    assert "whatever its name" in html.main_text(f"<body><article>{block}{STORY}</article></body>")
+    assert html.main_text(f"<body><article><h2 class='related-work'>Title</h2>{STORY}</article></body>").startswith("Title")
+
+
+def test_pages_of_every_kind(spark):
+    rows = [(1, "<p>" + "x " * 300_000 + "</p>", "a"), (2, None, None), (2, "", "b"), (2, "", "b"), (None, f"<main>{STORY}</main>", "c")]
+    pages = spark.createDataFrame(rows, "page_id long, html string, text string")
+    found = html.extract(pages, "html", pages.columns)
+    assert found.columns == ["page_id", "html", "text", "n_chars"]
+    sizes = sorted((row["page_id"] or 0, row["n_chars"]) for row in found.collect())
+    assert sizes == [(0, len(html.main_text(rows[4][1]))), (1, 599_999), (2, 0), (2, 0), (2, 0)]
+    assert html.extract(pages.limit(0), "html", ["page_id"]).collect() == []
+
+
+def test_stray_languages_do_not_fill_the_driver(spark):
+    texts = [(f"{word} {k} the of and", "en") for k, word in enumerate(["house", "river", "stone"] * 20)]
+    texts += [(f"{word} {k} der und die", "de") for k, word in enumerate(["haus", "fluss", "stein"] * 20)]
+    texts += [(f"stray {k}", f"x{k}") for k in range(300)]
+    docs = spark.createDataFrame(texts, "text string, lang string")
+    model = language.fit(docs, "text", "lang", max_languages=2)
+    assert set(model.languages) == {"en", "de"}
