@@ -20,8 +20,9 @@ from outpour.operators.conform import conform, validate
 from outpour.operators.deliver import Outcome, Request, deliver, fatal, ok, partial, server_error, transient
 from outpour.plans.batch import RunSummary, run_batch
 from outpour.plans.push import push
-from outpour.sources.tables import create_input_table, create_ledger_table, create_output_table
+from outpour.sources.tables import create_input_table, create_ledger_table, create_output_table, visible_results
 from outpour.streaming.increments import run_stream
+from outpour.streaming.retries import run_retrying_stream
 
 __all__ = [
     "CONTRACTS",
@@ -54,8 +55,10 @@ __all__ = [
     "push",
     "result_schema",
     "run_batch",
+    "run_retrying_stream",
     "run_stream",
     "server_error",
     "transient",
     "validate",
+    "visible_results",
 ]

@@ -1,6 +1,10 @@
+import time
+from datetime import timedelta
+from uuid import uuid4
+
 import pytest
 
-from outpour import FirstParty, run_stream
+from outpour import Conversion, FirstParty, create_ledger_table, partial, run_retrying_stream, run_stream
 from outpour.errors import send_error
 from tests.senders import accepting, logging_sender, refusing, requests_in
 
@@ -60,3 +64,97 @@ def test_batches_by_key(spark, folders):
     stream(spark, folders, sender, key=["id_value"], batch_size=3, trigger={"once": True}).awaitTermination()
     assert all(len(r["items"]) <= 3 for r in requests_in(folders["sent"]))
     assert spark.read.parquet(folders["out"]).filter("success").count() == 20
+
+
+def retrying(spark, folders, factory, **options):
+    rows = spark.readStream.schema(MEMBER).parquet(folders["in"])
+    return run_retrying_stream(rows, ["id_value"], CONTEXT, factory, folders["out"], folders["checkpoint"], **options)
+
+
+def attempts(spark, folders):
+    results = spark.read.schema("id_value string, attempt int, success boolean").parquet(folders["out"])
+    return sorted((row["id_value"], row["attempt"], row["success"]) for row in results.collect())
+
+
+def test_failures_are_sent_again_and_copies_are_not(spark, folders):
+    ledger = create_ledger_table(spark, f"retry_ledger_{uuid4().hex}")
+    options = {"wait": timedelta(0), "attempts": 2, "ledger_table": ledger}
+    arrive(spark, folders["in"], "a", "b", "a")
+    retrying(spark, folders, failing_all, **options).awaitTermination()
+    assert attempts(spark, folders) == [("a", 1, False), ("b", 1, False)]
+    arrive(spark, folders["in"], "b", "c")  # b is open
+    retrying(spark, folders, accepting, **options).awaitTermination()
+    found = [("a", 1, False), ("a", 2, True), ("b", 1, False), ("b", 2, True), ("c", 1, True)]
+    assert attempts(spark, folders) == found
+    arrive(spark, folders["in"], "a", "c")  # both were delivered
+    retrying(spark, folders, accepting, **options).awaitTermination()
+    assert attempts(spark, folders) == found
+    assert [row[0] for row in spark.table(ledger).orderBy("run_timestamp").select("records_processed").collect()] == [2, 3]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def failing_all():
+    return lambda request: partial([(None, "BAD", None)])
+
+
+def test_nested_rows_are_kept_while_open(spark, folders):
+    rows = spark.sql(
+        """SELECT 'i' || id order_id, 't' tracking_tag_id, TIMESTAMP '2024-01-01 00:00:00.123456' timestamp_utc,
+           array(named_struct('type', 'EUID', 'id', 'e')) user_ids, map('k', array(id)) extra FROM range(3)"""
+    )
+    rows.write.parquet(folders["in"])
+    for factory in (failing_all, logging_sender(folders["sent"])):
+        arriving = spark.readStream.schema(rows.schema).parquet(folders["in"])
+        run_retrying_stream(
+            arriving, ["order_id"], Conversion("p"), factory, folders["out"], folders["checkpoint"], wait=timedelta(0)
+        ).awaitTermination()
+    items = [item for request in requests_in(folders["sent"]) for item in request["items"]]
+    assert sorted(item["order_id"] for item in items) == ["i0", "i1", "i2"]
+    assert {(item["timestamp_utc"], str(item["user_id_array"])) for item in items} == {("2024-01-01T00:00:00.123456Z", "[['4', 'e']]")}
+
+
+def test_used_up_attempts_and_rows_that_cannot_be_sent(spark, folders):
+    arrive(spark, folders["in"], "a")
+    rows = spark.createDataFrame([("CoreID", "x", "s")], MEMBER)
+    rows.write.mode("append").parquet(folders["in"])
+    for _ in range(4):
+        retrying(spark, folders, failing_all, wait=timedelta(0), attempts=2).awaitTermination()
+    assert attempts(spark, folders) == [("a", 1, False), ("a", 2, False), ("x", 1, False)]
+    arrive(spark, folders["in"], "a")
+    retrying(spark, folders, accepting, wait=timedelta(0), attempts=2).awaitTermination()
+    assert attempts(spark, folders)[-2:] == [("a", 2, False), ("x", 1, False)] and ("a", 1, True) in attempts(spark, folders)
+
+
+def test_timers_send_again_after_the_wait(spark, folders):
+    arrive(spark, folders["in"], "a", "b")
+    seen = folders["sent"] + "/failed"
+
+    def once():
+        def send(request):
+            try:
+                open(seen, "x").close()
+            except FileExistsError:
+                return partial([])
+            return partial([(None, "BAD", None)])
+
+        return send
+
+    options = {"wait": timedelta(seconds=2), "trigger": {"processingTime": "200 milliseconds"}, "parallelism": 1}
+    query = retrying(spark, folders, once, **options)
+    try:
+        until = time.time() + 90
+        while len(attempts(spark, folders)) < 4 and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert attempts(spark, folders) == [("a", 1, False), ("a", 2, True), ("b", 1, False), ("b", 2, True)]
+    times = spark.read.parquet(folders["out"]).groupBy("attempt").agg({"processed_timestamp": "max"}).orderBy("attempt")
+    first, second = (row[1] for row in times.filter("attempt is not null").collect())
+    assert second - first >= timedelta(seconds=2)
+
+
+def test_key_of_retries_is_checked(spark, folders):
+    arrive(spark, folders["in"], "a")
+    rows = spark.readStream.schema(MEMBER).parquet(folders["in"])
+    with pytest.raises(ValueError, match="nothing"):
+        run_retrying_stream(rows, ["nothing"], CONTEXT, accepting, folders["out"], folders["checkpoint"])

@@ -354,6 +354,12 @@ CHECKS = {
         WITH {BATCHED} SELECT count(*) AS records, count(*) FILTER (WHERE {SENDABLE}) AS succeeded,
           count(DISTINCT (event_id // 500, batch_no)) FILTER (WHERE {SENDABLE}) AS strays FROM batched""",
     "stream_increment": f"WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem",
+    "stream_retry": f"""
+        WITH {MEM}, sent AS (SELECT event_id, id_type, {BAD_STATUS} FROM mem)
+        SELECT event_id, 1 AS attempt, success, error_code FROM sent
+        UNION ALL SELECT event_id, 2, event_id % 22 <> 0, CASE WHEN event_id % 22 = 0 THEN 'BAD' END
+        FROM sent WHERE error_code = 'BAD'
+        UNION ALL SELECT event_id, 3, TRUE, NULL FROM sent WHERE error_code = 'BAD' AND event_id % 22 = 0""",
     "status_totals": f"""
         WITH {MEM}, sent AS (SELECT {BAD_STATUS} FROM mem)
         SELECT count(*) AS total, count(*) FILTER (WHERE success) AS succeeded,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,7 @@ from outpour.sources import tables
 from outpour.sources.session import shared_path
 from outpour.sources.tables import append_rows, create_input_table, create_ledger_table, create_output_table
 from outpour.streaming.increments import run_stream
+from outpour.streaming.retries import run_retrying_stream
 from workload import senders
 from workload.fixtures import MEMBERSHIPS, conversions, line_conversions, memberships, prepare, subject_requests, times
 
@@ -608,6 +609,32 @@ def stream_increment(spark, sf_dir):
     return times(spark.read.parquet(path).select(*STATUS), "timestamp_ntz")
 
 
+@query
+def stream_retry(spark, sf_dir):
+    """Rows that arrive twice and are sent once; what fails is sent again by two restarts from the checkpoint."""
+    prepare(spark)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = times(spark.sql(MEMBERSHIPS, events=events), "timestamp")
+    rows = rows.unionByName(rows)
+    path = shared_path(spark, "retry-results")
+    for sender in (senders.reject_bad_events, senders.reject_worse_events, senders.accept_all):
+        stream = run_retrying_stream(
+            rows,
+            ["event_id"],
+            FIRST_PARTY,
+            sender,
+            path,
+            f"{path}-checkpoint",
+            wait=timedelta(0),
+            batch_size=25,
+            processed_at=SENT_AT,
+        )
+        stream.awaitTermination()
+    results = spark.read.schema("event_id long, attempt int, success boolean, error_code string").parquet(path)
+    return results.select("event_id", "attempt", "success", "error_code")
+
+
 # --- reports and later runs --------------------------------------------------------------------
 
 
