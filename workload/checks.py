@@ -84,10 +84,12 @@ NUMBERED = """numbered AS (
   SELECT event_id, event_id // 500 AS bucket, place // 25 AS batch_no, CAST(place % 25 + 1 AS INTEGER) AS item_number
   FROM (SELECT event_id, row_number() OVER (PARTITION BY event_id // 500 ORDER BY event_id) - 1 AS place FROM events))"""
 
-LEDGER = """ledger AS (
+_LEDGER_OF = """ledger AS (
   SELECT event_type AS feed, max(ts) AS last_processed_date, max(ts) + INTERVAL 1 MINUTE AS run_timestamp,
     count(*) AS records_processed
-  FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY event_type, CAST(ts AS DATE))"""
+  FROM events {where} GROUP BY event_type, CAST(ts AS DATE))"""
+ALL_RUNS = _LEDGER_OF.format(where="")
+LEDGER = _LEDGER_OF.format(where="WHERE ts < TIMESTAMP '2024-01-16'")
 
 # Results of the first run, and of the second one with what failed in it.
 RUNS = f"""{MEM}, first_run AS (SELECT *, {BAD_STATUS} FROM mem),
@@ -166,7 +168,15 @@ CHECKS = {
     "conform_conversion": f"""
         WITH {CONV} SELECT *, {CONVERSION_NULLS},
           CASE WHEN o_orderkey % 4 = 2 THEN 2 WHEN o_orderkey % 4 <> 0 THEN 1 END AS user_ids_size,
-          CAST(NULL AS INTEGER) AS line_items_size, CAST(NULL AS INTEGER) AS privacy_settings_size FROM conv""",
+          CAST(NULL AS INTEGER) AS line_items_size, CAST(NULL AS INTEGER) AS privacy_settings_size,
+          CASE WHEN o_orderkey % 4 <> 0 THEN '[{{"type":"TDID","id":"c' || o_custkey || '"}}'
+            || CASE WHEN o_orderkey % 4 = 2 THEN ',{{"type":"rampid","id":"r' || o_custkey || '"}}' ELSE '' END || ']'
+          END AS user_ids FROM conv""",
+    "conform_conversion_lines": f"""
+        WITH {LINES} SELECT l_orderkey, l_linenumber, CAST(NULL AS VARCHAR) AS user_ids,
+          CASE WHEN l_linenumber = 7 THEN '[]' WHEN l_linenumber <> 6 THEN '[' || concat_ws(',', {LINE_ENTRY},
+            CASE WHEN l_returnflag = 'R' THEN {TAX_ENTRY} END) || ']' END AS line_items,
+          '[' || {PRIVACY_ENTRY} || ']' AS privacy_settings FROM lines""",
     "drop_hidden_columns": f"WITH {MEM} SELECT * FROM mem",
     "id_normalize": f"WITH {MEM} SELECT event_id, id_type, {FIELD} AS id_field FROM mem",
     "id_quarantine": f"""
@@ -180,11 +190,11 @@ CHECKS = {
           CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 4 = 0
             AND impression_id IS NULL THEN 'NO_IDENTITY' END) AS reasons FROM conv)
         SELECT * FROM judged WHERE reasons <> ''""",
-    "high_water_mark": f"WITH {LEDGER} SELECT feed, max(last_processed_date) AS last_processed_date FROM ledger GROUP BY feed",
+    "high_water_mark": f"WITH {ALL_RUNS} SELECT feed, max(last_processed_date) AS last_processed_date FROM ledger GROUP BY feed",
     "incremental_rows": f"WITH {MEM} SELECT * FROM mem WHERE updated_at > {MARK}",
     "incremental_first_run": f"WITH {MEM} SELECT * FROM mem",
     "incremental_override": f"WITH {MEM} SELECT * FROM mem WHERE updated_at > TIMESTAMP '2024-01-20'",
-    "ledger_append": f"WITH {LEDGER} SELECT * FROM ledger",
+    "ledger_append": f"WITH {ALL_RUNS} SELECT * FROM ledger",
     "payload_first_party": f"""
         WITH {MEM} SELECT event_id, CASE WHEN {SENDABLE} THEN {FIRST_PARTY_ITEM} END AS item FROM mem""",
     "payload_third_party": f"""

@@ -89,7 +89,16 @@ def conform_conversion(spark, sf_dir):
     rows = conform(conversions(spark, sf_dir), CONVERSION.contract)
     nested = ["user_ids", "line_items", "privacy_settings"]
     sizes = [F.when(F.col(n).isNotNull(), F.size(n)).alias(f"{n}_size") for n in nested]
-    return times(rows.select("*", *sizes).drop(*nested), "timestamp_ntz")
+    plain = [F.col(n) for n in rows.columns if n not in nested]
+    return times(rows.select(*plain, *sizes, F.to_json("user_ids").alias("user_ids")), "timestamp_ntz")
+
+
+@query
+def conform_conversion_lines(spark, sf_dir):
+    """Nested columns with all of their contents."""
+    rows = conform(line_conversions(spark, sf_dir), CONVERSION.contract)
+    nested = [F.to_json(n).alias(n) for n in ("line_items", "privacy_settings")]
+    return rows.select("l_orderkey", "l_linenumber", *nested, F.to_json("user_ids").alias("user_ids"))
 
 
 @query
@@ -135,10 +144,10 @@ def contract_violations(spark, sf_dir):
 # --- increments --------------------------------------------------------------------------------
 
 
-def _ledger(spark, sf_dir):
-    """A run per feed (event type) and day up to the 15th, each up to its last event."""
+def _runs(spark, sf_dir):
+    """A run per feed (event type) and day, each up to its last event."""
     prepare(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("ts") < "2024-01-16")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     days = events.groupBy(F.col("event_type").alias("feed"), F.to_date("ts").alias("day"))
     runs = days.agg(F.max("ts").alias("last"), F.count(F.lit(1)).alias("records_processed"))
     last = F.col("last").cast("timestamp")
@@ -150,9 +159,14 @@ def _ledger(spark, sf_dir):
     )
 
 
+def _ledger(spark, sf_dir):
+    """The runs up to the 15th: what a later run starts from."""
+    return _runs(spark, sf_dir).filter(F.col("last_processed_date") < "2024-01-16")
+
+
 @query
 def high_water_mark(spark, sf_dir):
-    return times(high_water_marks(_ledger(spark, sf_dir)), "timestamp_ntz")
+    return times(high_water_marks(_runs(spark, sf_dir)), "timestamp_ntz")
 
 
 @query
@@ -175,7 +189,7 @@ def incremental_override(spark, sf_dir):
 
 @query
 def ledger_append(spark, sf_dir):
-    ledger = _ledger(spark, sf_dir)
+    ledger = _runs(spark, sf_dir)
     name = create_ledger_table(spark, _name("ledger"), shared_path(spark, "ledger"), "parquet")
     append_rows(ledger.filter(F.col("feed") == "view"), name)
     append_rows(ledger.filter(F.col("feed") != "view").select(*reversed(ledger.columns)), name)
