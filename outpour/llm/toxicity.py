@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
     known = known.groupBy(F.col(id_column).alias("__id")).agg(F.max(label_column).cast("int").alias("toxic"))
     known = written(known, "toxic-labels")
     texts = docs.select(F.col(id_column).alias("__id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    texts = gated(texts, gate(known.select("__id"), "label-gate"), [F.col("__id")], "__maybe").where("__maybe")
+    texts = gated(texts, gate(known.select("__id")), [F.col("__id")], "__maybe").where("__maybe")
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")  # equal texts fall into one half
     labelled = written(texts.join(known, "__id").select("text", "toxic", half), "labelled-texts")
 
