@@ -33,6 +33,7 @@ from outpour.functions.attribution import attribute_batch, count_strays, status_
 from outpour.operators.batches import number_batches, shape
 from outpour.operators.checks import rejection_reasons
 from outpour.operators.conform import conform, quoted
+from outpour.sources.session import ship_own_package
 
 DEFAULT_BATCH_SIZE = 1600
 
@@ -325,6 +326,7 @@ def attempt(
     contract, spark = context.contract, df.sparkSession
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
+    ship_own_package(spark)
     if spark.conf.get("spark.speculation", "false") == "true":
         warnings.warn("spark.speculation is on: batches of slow tasks will be sent twice", stacklevel=2)
     rows = conform(df, contract)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outpour.functions.canonical import canonical
 from outpour.operators.conform import quoted
 from outpour.operators.increment import instant
 from outpour.operators.keyfilter import KeyFilter, look_at, word_of
@@ -28,7 +29,8 @@ def retry_set(results: DataFrame, key: list[str]) -> DataFrame:
     columns = [F.col(quoted(name)) for name in results.columns]
     by_key = F.struct(*[F.col(name) for name in key]).alias("_key")
     at = F.col("processed_timestamp")
-    latest = F.max_by(F.struct(*columns), F.struct(at, F.xxhash64(F.to_json(F.struct(*columns)))))  # maps have no hash
+    forms = [canonical(F.col(quoted(field.name)), field.dataType) for field in results.schema]
+    latest = F.max_by(F.struct(*columns), F.struct(at, F.xxhash64(*forms)))
     failed = results.filter(~F.col("success")).groupBy(by_key)
     failed = failed.agg(latest.alias("_latest"), F.max(at).alias("_failed_at"))
     succeeded = results.filter(F.col("success")).groupBy(by_key).agg(F.max(at).alias("_succeeded_at"))

@@ -53,3 +53,10 @@ def ship_packages(spark: SparkSession, *folders: str) -> None:
             continue
         base = os.path.join(tempfile.mkdtemp(prefix="outpour-zip-"), shipped.removesuffix(".zip"))
         context.addPyFile(shutil.make_archive(base, "zip", parent, package))
+
+
+def ship_own_package(spark: SparkSession) -> None:
+    """Ship this package where it runs from a source checkout; an installed one is on the executors already."""
+    folder = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if "site-packages" not in folder and "dist-packages" not in folder and not folder.endswith(".zip/outpour"):
+        ship_packages(spark, folder)
