@@ -12,7 +12,7 @@ Decoding joins the bytes of tokens and feeds them to an incremental UTF-8 machin
 comes out when its last byte is there, and malformed bytes become U+FFFD.
 
 Null texts count as empty: no tokens. Encoding is a map; a row needs nothing but itself, and repeated rows and extra
-columns are of no effect.
+columns are of no effect. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ The machines are fitted on a bounded sample: at most ``max_rows`` labelled rows
 a hash of the text, copies counted once (``fit``). Everything else covers whole texts and all rows, and prediction is a map without a shuffle.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows with a null language are not learned from. With
-one learned language every other text gets it with score 1; with none, everything is ``und``.
+one learned language every other text gets it with score 1; with none, everything is ``und``. Ties of votes and margins go to the
+smaller name. An empty table gives no rows; columns of ``carry`` named lang_pred or score are replaced.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ tasks are added from a small table. A piece's number then says which copy of whi
 
 Every id of every document, the closing id included, lies in exactly one piece. Null texts count as empty and are the
 closing id alone. Repeated rows are packed like any others; ids of documents may be null.
+An empty table gives no pieces. Columns other than id and text are not looked at.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ conditional expression.
 Learning takes at most ``max_rows`` labelled rows (their few numbers come to the driver), drawn by a hash of the id;
 statistics and decisions cover all rows and whole texts. Null texts have no words. Without labels of both kinds the list is
 empty and keeps everything. Labels that repeat an id count once (the smallest); null labels do not count.
+An empty table gives no rows; columns of ``carry`` named like a statistic are replaced.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ number, and shifted by the rows of that shard in earlier partitions, which are s
 partition and shard.
 
 Rows with a null key all go to the shard of the null key; repeated keys go to one shard. Null texts count as empty.
+An empty table gives no rows; columns of ``carry`` may not be named shard or slot.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ A node yields a star for each set of linked fingerprints, not its pairs. Stars o
 
 Null texts count as empty; texts without words have the fingerprint 0 and are linked like any other. A row with a null
 id links nothing; it gets the component of its fingerprint, null if only such rows have it. Repeated rows share a component.
+An empty table gives no rows; columns other than id and text are not looked at.
 """
 
 from __future__ import annotations

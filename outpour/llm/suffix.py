@@ -17,6 +17,7 @@ each lot then meets those of other lots in one more aggregate, so no task holds
 
 Null texts are empty. Null ids come before all others; rows that repeat an id count as documents of their own, in the order
 of their texts. Documents shorter than ``length`` bytes lose nothing.
+An empty table gives no rows; columns of ``carry`` named like the results are replaced.
 """
 
 from __future__ import annotations

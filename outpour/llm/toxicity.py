@@ -15,6 +15,7 @@ of each class of one half of the labelled texts, drawn by a hash and scored by a
 
 Null and empty texts have no evidence; their score is the curve's at zero. Null labels and labels without a text are not
 learned from; a repeated id counts with its largest label. Without texts of both classes every score is 0.
+An empty table gives no rows; columns of ``carry`` named score or predicted are replaced. Ties (0.5) are predicted 1.
 """
 
 from __future__ import annotations
