@@ -285,8 +285,8 @@ CHECKS = {
     "deliver_map_column": f"""
         WITH {MEM} SELECT event_id, {BAD_STATUS},
           '{{"type":"' || segment_name || '","note":' || to_json(note) || '}}' AS tags FROM mem""",
-    "deliver_in_arrival_order": f"WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem",
-    "transient_failures": f"WITH {BATCHED} SELECT event_id, "
+    "deliver_in_arrival_order": f"WITH {MEM} SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem",
+    "transient_failures": f"WITH {BATCHED} SELECT * EXCLUDE (batch_no), {OPTIONAL}, "
     + _status(
         "CASE batch_no % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Service Unavailable' WHEN 2 THEN 'HTTP 599' ELSE 'BAD' END",
         "CASE batch_no % 4 WHEN 0 THEN 'timed out' WHEN 1 THEN 'overloaded' WHEN 2 THEN 'odd' "
@@ -363,7 +363,7 @@ CHECKS = {
     "live_strays": f"""
         WITH {BATCHED} SELECT count(*) AS records, count(*) FILTER (WHERE {SENDABLE}) AS succeeded,
           count(DISTINCT (event_id // 500, batch_no)) FILTER (WHERE {SENDABLE}) AS strays FROM batched""",
-    "stream_increment": f"WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem",
+    "stream_increment": f"WITH {MEM} SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem",
     "stream_retry": f"""
         WITH {MEM}, sent AS (SELECT event_id, id_type, {BAD_STATUS} FROM mem)
         SELECT event_id, 1 AS attempt, success, error_code FROM sent
@@ -378,13 +378,13 @@ CHECKS = {
         WITH {MEM}, sent AS (SELECT {BAD_STATUS} FROM mem)
         SELECT success, error_code, count(*) AS rows FROM sent GROUP BY success, error_code""",
     "failed_rows": f"""
-        WITH {MEM}, sent AS (SELECT event_id, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE NOT success""",
+        WITH {MEM}, sent AS (SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE NOT success""",
     "succeeded_rows": f"""
-        WITH {MEM}, sent AS (SELECT event_id, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE success""",
+        WITH {MEM}, sent AS (SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem) SELECT * FROM sent WHERE success""",
     "retry_set": f"""
         WITH {RUNS}, ranked AS (
           SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY processed_timestamp DESC) AS latest FROM runs)
-        SELECT {STATUS} FROM ranked WHERE latest = 1 AND NOT success""",
+        SELECT * EXCLUDE (latest), {OPTIONAL} FROM ranked WHERE latest = 1 AND NOT success""",
     "retry_users": f"""
         WITH {RUNS}, ranked AS (
           SELECT * REPLACE (timestamp_utc AS processed_timestamp), row_number() OVER (
