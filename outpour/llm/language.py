@@ -143,34 +143,40 @@ def fit(
     points: dict[str, list[bytes]] = {}
     for row in sorted(found, key=lambda row: (row["lang"], bytes(row["point"]))):
         points.setdefault(row["lang"], []).append(bytes(row["point"]))
-    matrices = {
-        language: np.frombuffer(b"".join(own), np.float16).reshape(-1, DIMS).astype(np.float32)
-        for language, own in points.items()
-    }
+    del found
+    matrices = {}
+    for language in list(points):
+        own = points.pop(language)
+        matrices[language] = np.frombuffer(b"".join(own), np.float16).reshape(-1, DIMS).astype(np.float32)
     languages = tuple(sorted(matrices))
     families = {}
     for language in languages:
         families.setdefault(_family(language), []).append(language)
-    stacked = {family: np.concatenate([matrices[language] for language in own]) for family, own in families.items()}
-    within = {family: _contests({name: matrices[name] for name in own}) for family, own in families.items()}
-    return Model(languages, _contests(stacked), within)
+    together = {family: [matrices[language] for language in own] for family, own in families.items()}
+    within = {family: _contests({name: [matrices[name]] for name in own}) for family, own in families.items()}
+    return Model(languages, _contests(together), within)
 
 
-def _contests(points: dict[str, np.ndarray]) -> tuple[Contest, ...]:
+def _contests(points: dict[str, list[np.ndarray]]) -> tuple[Contest, ...]:
     return tuple(Contest(a, b, *_machine(points[a], points[b])) for a, b in combinations(sorted(points), 2))
 
 
-def _machine(first: np.ndarray, second: np.ndarray, cost: float = 10.0, passes: int = 12) -> tuple[np.ndarray, float]:
+def _machine(first: list[np.ndarray], second: list[np.ndarray], cost: float = 10.0, passes: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear support vector machine (squared hinge loss), by dual coordinate descent.
 
     Both classes weigh the same, however many rows they have.
     """
-    points = np.concatenate([first, second])
-    points = np.concatenate([points, np.full((len(points), 1), 0.3, np.float32)], axis=1)
-    sign = np.concatenate([np.ones(len(first)), -np.ones(len(second))])
-    balance = np.concatenate([np.full(n, len(points) / (2.0 * n)) for n in (len(first), len(second))])
+    rows = [sum(map(len, side)) for side in (first, second)]
+    # One array for all points and the place of the bias: it is what takes memory on the driver.
+    points = np.full((sum(rows), DIMS + 1), 0.3, np.float32)
+    start = 0
+    for matrix in (*first, *second):
+        points[start : start + len(matrix), :DIMS] = matrix
+        start += len(matrix)
+    sign = np.concatenate([np.ones(rows[0]), -np.ones(rows[1])])
+    balance = np.concatenate([np.full(n, len(points) / (2.0 * n)) for n in rows])
     slack = 1 / (2 * cost * balance)
-    size = (points * points).sum(axis=1) + slack
+    size = np.concatenate([(part * part).sum(axis=1) for part in np.array_split(points, len(points) // 256 + 1)]) + slack
     alpha, weights, order = np.zeros(len(points)), np.zeros(points.shape[1], np.float32), np.random.default_rng(7)
     for _ in range(passes):
         for i in order.permutation(len(points)).tolist():
