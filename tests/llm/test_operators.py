@@ -346,5 +346,37 @@ def test_toxicity(spark, docs, nothing):
     found = toxicity.score_texts(test, model, "text", ["toxic"]).collect()
     assert sum(r["toxic"] == r["predicted"] for r in found) >= 0.95 * len(found)
     assert all(0 <= r["score"] <= 1 for r in toxicity.score_texts(docs, model, "text", ["doc_id"]).collect())
+    for frequent in (0, 300):  # n-grams beyond the bound are joined; scores do not depend on it
+        split = toxicity.fit(frame.select("doc_id", "text"), train.select("doc_id", "toxic"), "doc_id", "text", "toxic", frequent=frequent)
+        assert len(split.ratios.low) <= frequent and split.others.count() > 1000
+        for given in (docs, test):
+            scores = [
+                sorted((r["doc_id"], r["score"]) for r in toxicity.score_texts(given, one, "text", ["doc_id"]).collect())
+                for one in (model, split)
+            ]
+            assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-6 for a, b in zip(*scores, strict=True))
     none = toxicity.fit(nothing, train.limit(0), "doc_id", "text", "toxic")
     assert {r["score"] for r in toxicity.score_texts(docs, none, "text", ["doc_id"]).collect()} == {0.0}
+
+
+def test_the_table_of_ratios_is_exact():
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 48, 50_000, dtype=np.uint64))
+    order = np.argsort(toxicity._mixed(codes))
+    ratio = rng.normal(size=len(codes)).astype(np.float32)
+    table = toxicity.Ratios.of(toxicity._mixed(codes)[order], ratio[order])
+    assert (table.find(codes) == ratio).all()
+    others = np.setdiff1d(rng.integers(0, 1 << 48, 50_000, dtype=np.uint64), codes)
+    assert np.isnan(table.find(others)).all()
+    nothing = toxicity.Ratios.of(np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    assert np.isnan(nothing.find(codes)).all()
+
+
+def test_pieces_hold_every_expression():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abc é") for _ in range(500))
+    ratio = np.array([code % 97 for code in toxicity._codes(toxicity._padded(text))], np.float64)
+    whole = toxicity._strongest(ratio)
+    for size in (1, 7, 100, 1000):
+        parts = [toxicity._codes(piece) % np.uint64(97) for piece in toxicity._pieces(text, size)]
+        assert max(toxicity._strongest(part.astype(np.float64)) for part in parts) == whole
