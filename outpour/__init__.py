@@ -19,8 +19,15 @@ from outpour.errors import ConfigurationError, ContractError, DeliveryError, Sen
 from outpour.operators.conform import conform, validate
 from outpour.operators.deliver import Outcome, Request, deliver, fatal, ok, partial, server_error, transient
 from outpour.plans.batch import RunSummary, run_batch
+from outpour.plans.intervals import run_intervals
 from outpour.plans.push import push
-from outpour.sources.tables import create_input_table, create_ledger_table, create_output_table, visible_results
+from outpour.sources.tables import (
+    create_coverage_table,
+    create_input_table,
+    create_ledger_table,
+    create_output_table,
+    visible_results,
+)
 from outpour.streaming.increments import run_stream
 from outpour.streaming.retries import run_retrying_stream
 
@@ -45,6 +52,7 @@ __all__ = [
     "SendError",
     "ThirdParty",
     "conform",
+    "create_coverage_table",
     "create_input_table",
     "create_ledger_table",
     "create_output_table",
@@ -55,6 +63,7 @@ __all__ = [
     "push",
     "result_schema",
     "run_batch",
+    "run_intervals",
     "run_retrying_stream",
     "run_stream",
     "server_error",

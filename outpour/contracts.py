@@ -40,6 +40,18 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+# One row for each cell of time that a run has read.
+COVERAGE_SCHEMA = T.StructType(
+    [
+        T.StructField("feed", T.StringType()),
+        T.StructField("from_date", T.TimestampType()),
+        T.StructField("to_date", T.TimestampType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("digest", T.LongType()),
+        T.StructField("run_timestamp", T.TimestampType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Contract:

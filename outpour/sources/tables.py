@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outpour.contracts import LEDGER_SCHEMA, RUN_ID, Contract, result_schema, with_updated_at
+from outpour.contracts import COVERAGE_SCHEMA, LEDGER_SCHEMA, RUN_ID, Contract, result_schema, with_updated_at
 from outpour.errors import ConfigurationError, ContractError
 from outpour.operators.conform import missing_columns, quoted, same_name_rule
 from outpour.operators.increment import instant
@@ -79,6 +79,13 @@ def create_ledger_table(
     return _create(spark, name or "delivery_ledger", schema, location, source)
 
 
+def create_coverage_table(
+    spark: SparkSession, name: str | None = None, location: str | None = None, source: str | None = None
+) -> str:
+    """Create, if absent, the table of cells of time that runs by intervals have read. Feeds may share it."""
+    return _create(spark, name or "delivery_coverage", COVERAGE_SCHEMA, location, source)
+
+
 def visible_results(results: DataFrame, ledger: DataFrame) -> DataFrame:
     """The results of runs that the ledger has, and those from before runs had an id.
 

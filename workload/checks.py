@@ -344,6 +344,17 @@ CHECKS = {
     "table_setup_extra": f"""
         WITH {MEM} SELECT * REPLACE (CAST(ttl_in_minutes AS BIGINT) AS ttl_in_minutes), {OPTIONAL}, {BAD_STATUS} FROM mem""",
     "visible_results": f"WITH {MEM} SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem",
+    "interval_marks": """
+        WITH cells AS (
+          SELECT date_trunc('hour', ts) AS from_date, count(*) AS records FROM events GROUP BY ALL
+        ), begun AS (
+          SELECT *, CASE WHEN from_date = lag(from_date) OVER (ORDER BY from_date) + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS begins
+          FROM cells
+        ), islands AS (SELECT *, sum(begins) OVER (ORDER BY from_date) AS island FROM begun)
+        SELECT 'members' AS feed, min(from_date) AS from_date, max(from_date) + INTERVAL 1 HOUR AS to_date,
+          CAST(sum(records) AS BIGINT) AS records
+        FROM islands GROUP BY island""",
+    "interval_rows": f"WITH {MEM} SELECT *, {OPTIONAL}, {BAD_STATUS} FROM mem",
     "results_append": f"""
         WITH {MEM} SELECT event_id, {BAD_STATUS} FROM mem
         UNION ALL

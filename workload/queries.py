@@ -20,12 +20,20 @@ from outpour.operators.checks import quarantine, rejection_reasons
 from outpour.operators.conform import conform, drop_hidden
 from outpour.operators.deliver import deliver
 from outpour.operators.increment import high_water_marks, last_mark, new_rows
+from outpour.operators.intervals import intervals
 from outpour.plans import report
 from outpour.plans.batch import run_batch
+from outpour.plans.intervals import run_intervals
 from outpour.plans.push import push
 from outpour.sources import tables
 from outpour.sources.session import shared_path
-from outpour.sources.tables import append_rows, create_input_table, create_ledger_table, create_output_table
+from outpour.sources.tables import (
+    append_rows,
+    create_coverage_table,
+    create_input_table,
+    create_ledger_table,
+    create_output_table,
+)
 from outpour.streaming.increments import run_stream
 from outpour.streaming.retries import run_retrying_stream
 from workload import senders
@@ -521,6 +529,37 @@ def visible_results(spark, sf_dir):
     return times(seen.drop("run_id"), "timestamp_ntz")
 
 
+def _interval_runs(spark, sf_dir):
+    """Three runs by intervals: a part of the events with a late start and holes, then all of them, then nothing new."""
+    rows = memberships(spark, sf_dir)
+    early = (F.col("updated_at") >= "2024-01-10") & (F.col("event_id") % 7 != 0)
+    source, contract = _name("input"), FIRST_PARTY.contract
+    rows.filter(early).write.option("path", shared_path(spark, "in")).format("parquet").saveAsTable(source)
+    results = create_output_table(
+        spark, contract, _name("output"), shared_path(spark, "out"), "parquet", input_schema=rows.schema
+    )
+    coverage = create_coverage_table(spark, _name("coverage"), shared_path(spark, "coverage"), "parquet")
+    run = [spark, FIRST_PARTY, senders.reject_bad_events, source, results, coverage, ["event_id"], "members"]
+    run_intervals(*run, **_by_event())
+    append_rows(rows.filter(~early), source)
+    run_intervals(*run, **_by_event())
+    run_intervals(*run, **_by_event())
+    return spark.table(results), spark.table(coverage)
+
+
+@query
+def interval_marks(spark, sf_dir):
+    _, coverage = _interval_runs(spark, sf_dir)
+    return times(intervals(coverage), "timestamp_ntz")
+
+
+@query
+def interval_rows(spark, sf_dir):
+    """Late rows are sent once, whether their time was covered before or not, and nothing is sent again."""
+    results, _ = _interval_runs(spark, sf_dir)
+    return times(results, "timestamp_ntz")
+
+
 @query
 def results_append(spark, sf_dir):
     results = _name("results")
