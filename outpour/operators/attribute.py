@@ -21,13 +21,16 @@ def attribute(numbered: DataFrame, responses: DataFrame) -> DataFrame:
 
     Failures are taken apart into one line per item before they meet the rows, so that a batch of which
     all items failed costs no more than its size. Both joins are on batches or items of batches, which are
-    bounded, so no key is hot.
+    bounded, so no key is hot. No filter asks for the response: Spark would move it below the step that made one row
+    per batch out of many, and compute the response of a large batch for each of them.
     """
     batch, item = ["bucket", "batch_no"], ["bucket", "batch_no", "item_number"]
-    answered = responses.where(F.col("response").isNotNull())
-    general = answered.select(*batch, F.lit(True).alias("__answered"), batch_error(F.col("response")).alias("__general"))
-    lines = answered.where(F.col("response.kind").isNull() | ~F.col("response.kind").isin(*WHOLE_KINDS))
-    lines = lines.select(*batch, F.posexplode("response.failed").alias("__pos", "__line"))
+    response = F.col("response")
+    answered = F.when(response.isNotNull(), F.lit(True)).alias("__answered")
+    general = responses.select(*batch, answered, batch_error(response).alias("__general"))
+    named = F.when(response["kind"].isNull() | ~response["kind"].isin(*WHOLE_KINDS), response["failed"])
+    # The outer form, since Spark filters by the size of what the other one takes apart.
+    lines = responses.select(*batch, F.posexplode_outer(named).alias("__pos", "__line"))
     lines = lines.select(*batch, "__pos", "__line", F.col("__line.item_number").alias("item_number"))
     own = F.max_by(item_error(F.col("__line")), "__pos").alias("__own")
     failures = lines.where(F.col("item_number").isNotNull()).groupBy(*item).agg(own)

@@ -106,3 +106,21 @@ def test_strays(spark):
     df = spark.createDataFrame([(3, ("ok", None, None, failed)), (3, ("ok", None, None, None))], BATCHES)
     counts = df.select(stray_failures(F.col("response.failed"), F.col("n"))).collect()
     assert [row[0] for row in counts] == [2, 0]
+
+
+def test_response_is_computed_for_a_batch_and_not_for_each_of_its_rows(spark):
+    """Where responses are made from the rows, no filter on them may end up below the step that finds the batches."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf(RESPONSE_TYPE)
+    def respond(batch_no):
+        calls.add(1)
+        return None if batch_no == 1 else ("partial", None, None, [(1, "A", "x"), (None, "B", "y")])
+
+    numbered = spark.range(2000).selectExpr("0L bucket", "id div 1000 batch_no", "cast(id % 1000 + 1 as int) item_number")
+    batches = numbered.select("bucket", "batch_no").distinct()
+    found = attribute(numbered, batches.withColumn("response", respond("batch_no")))
+    counts = found.groupBy("success", "error_code", "error_message").count().collect()
+    expected = {(False, None, "No response", 1000), (False, "A", "x", 1), (False, "B", "y", 999)}
+    assert {tuple(row) for row in counts} == expected
+    assert calls.value <= 20
