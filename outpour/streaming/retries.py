@@ -1,16 +1,21 @@
 """A stream that sends failed rows again after a wait, and each row once however often it arrives.
 
-One state for each key: how often its row was sent, whether that is settled, and the row while it may be needed again. Two
-streams meet in it: what arrives, and the results that this stream has written itself. A row whose result is a failure
+For each key is known how often its row was sent, whether that is settled, and the row while it may be needed again. Two
+streams meet there: what arrives, and the results that this stream has written itself. A row whose result is a failure
 is held until a timer is due and then goes out once more, with its attempt beside it; a key that is open or
 was delivered lets no second row pass. State lives in the checkpoint, so all of this goes on after a restart.
+
+A call of the state from Python costs far more than what is done with a row, so keys share states: a hash puts each into
+one of ``CELLS``, and a cell is read and written once in a micro-batch, whatever the number of its keys.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from outpour.contracts import Context
+from outpour.functions.canonical import is_plain
 from outpour.operators.conform import conform, missing_columns, quoted
 from outpour.operators.deliver import Send, attempt, record
 from outpour.sources.tables import append_run
@@ -26,6 +32,9 @@ from outpour.streaming.increments import BATCH_COLUMN, RUN_COLUMN
 
 ATTEMPT = "attempt"
 
+# States that keys share. Part of a checkpoint: with another number its keys are looked for in other states.
+CELLS = 1 << 14
+
 # A row that could not be sent will not be sendable later.
 SENT = "not coalesce(startswith(error_message, 'not sent: '), false)"
 
@@ -34,64 +43,95 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def _plain(value):
-    """Rows as tuples, at any depth; the state takes no rows inside of values."""
-    if isinstance(value, tuple):
-        return tuple(map(_plain, value))
-    if isinstance(value, list):
-        return list(map(_plain, value))
-    return {name: _plain(one) for name, one in value.items()} if isinstance(value, dict) else value
+def _hashable(value):
+    """A key's value as Spark groups it: what is inside of arrays and structs as tuples, NaN equal to itself."""
+    if isinstance(value, dict):
+        return tuple(map(_hashable, value.values()))
+    if isinstance(value, (list, tuple)):
+        return tuple(map(_hashable, value))
+    return "NaN" if isinstance(value, float) and value != value else value
+
+
+class _Open(NamedTuple):
+    """What is known of a key: ``due`` and ``changed`` in milliseconds."""
+
+    sent: int
+    settled: bool
+    due: int | None = None
+    values: tuple | None = None
+    changed: int = 0
 
 
 class _Attempts(StatefulProcessor):
     """Hands on the rows that are to be sent now."""
 
     def __init__(self, row_schema: T.StructType, keys: int, wait: timedelta, attempts: int, remember: timedelta) -> None:
-        self._row_schema, self._keys, self._attempts = row_schema, keys, attempts
+        self._names, self._keys, self._attempts = [*row_schema.names, ATTEMPT], keys, attempts
         self._wait, self._remember = (int(span / timedelta(milliseconds=1)) for span in (wait, remember))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        fields = [T.StructField("sent", T.IntegerType()), T.StructField("settled", T.BooleanType())]
-        # Milliseconds after its last change a key is forgotten, and with it what is still open.
-        self._state = handle.getValueState("row", T.StructType([*fields, *self._row_schema]), self._remember)
+        self._handle, self._row = handle, Row(*self._names)
+        # Milliseconds after its last change a key is forgotten, and with it what is still open; so is a cell.
+        self._state = handle.getValueState("cell", T.StructType([T.StructField("keys", T.BinaryType())]), self._remember)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        state = _plain(self._state.get()) if self._state.exists() else None
+        now = timerValues.getCurrentProcessingTimeInMs()
+        cell, waits = self._load(now), False
         # Results first: a row that arrives with them finds its key as they leave it.
-        arrived, results = [], []
+        arrived, results = {}, {}
         for row in rows:
-            sent, again, *values = _plain(row)[self._keys :]
-            if sent is None:
-                arrived.append(values)
-            else:
-                results.append((sent, again))
-        for sent, retry in sorted(results):
-            if state is None or sent != state[0] or state[1]:
-                continue
-            if not retry or sent >= self._attempts:
-                state = (sent if not retry else 0, not retry, *[None] * len(self._row_schema))
-            elif self._wait <= 0:
-                state = (sent + 1, False, *state[2:])
-                yield self._going(state)
-            else:
-                self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._wait)
-        for values in arrived[:1]:
-            if state is None or (state[0] == 0 and not state[1]):
-                state = (1, False, *values)
+            _, *given = row
+            one = _hashable(given[: self._keys])
+            sent, again, values = given[self._keys :]
+            if sent is not None:
+                results.setdefault(one, []).append((sent, again))
+            elif one not in arrived:
+                arrived[one] = tuple(values.values())
+        for one in results | arrived:
+            state = cell.get(one)
+            for sent, retry in sorted(results.get(one, ())):
+                if state is None or sent != state.sent or state.settled:
+                    continue
+                if not retry or sent >= self._attempts:
+                    state = _Open(sent if not retry else 0, not retry)
+                elif self._wait <= 0:
+                    state = _Open(sent + 1, False, values=state.values)
+                    yield self._going(state)
+                else:
+                    state, waits = state._replace(due=now + self._wait), True
+            if one in arrived and (state is None or (state.sent == 0 and not state.settled)):
+                state = _Open(1, False, values=arrived[one])
                 yield self._going(state)
-        if state is not None:
-            self._state.update(state)
+            if state is not None:
+                cell[one] = state._replace(changed=now)
+        if waits:
+            self._handle.registerTimer(now + self._wait)
+        self._store(cell)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        state = _plain(self._state.get()) if self._state.exists() else None
-        if state is not None and not state[1] and 0 < state[0] < self._attempts:
-            state = (state[0] + 1, False, *state[2:])
-            self._state.update(state)
-            yield self._going(state)
-
-    def _going(self, state: tuple) -> Row:
-        return Row(*self._row_schema.names, ATTEMPT)(*state[2:], state[0])
+        now, until = timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        cell = self._load(now)
+        for one, state in cell.items():
+            if state.due is not None and state.due <= until:
+                cell[one] = _Open(state.sent + 1, False, values=state.values, changed=now)
+                yield self._going(cell[one])
+        self._store(cell)
+
+    def _load(self, now: int) -> dict[tuple, _Open]:
+        """The keys of the cell that are remembered."""
+        if not self._state.exists():
+            return {}
+        known = {one: _Open(*state) for one, state in pickle.loads(self._state.get()[0]).items()}
+        return {one: state for one, state in known.items() if state.changed + self._remember > now}
+
+    def _store(self, cell: dict[tuple, _Open]) -> None:
+        if cell:
+            self._state.update((pickle.dumps({one: tuple(state) for one, state in cell.items()}, 5),))
+        elif self._state.exists():
+            self._state.clear()
+
+    def _going(self, state: _Open) -> Row:
+        return self._row(*state.values, state.sent)
 
     def close(self) -> None:
         pass
@@ -155,18 +195,21 @@ def run_retrying_stream(
     spark.createDataFrame([], read).write.mode("overwrite").parquet(f"{folder}/{RUN_COLUMN}=none/{BATCH_COLUMN}=-1")
     results = spark.readStream.schema(read).parquet(folder)
 
-    def keyed(sent: Column, again: Column, frame: DataFrame) -> DataFrame:
-        own = [
-            (F.col(quoted(f.name)) if f.name in frame.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in row_schema
-        ]
-        one = [F.col(quoted(name)).alias(f"__key_{place}") for place, name in enumerate(key)]
-        return frame.select(*one, sent.cast("int").alias("__sent"), again.alias("__again"), *own)
-
-    arriving = keyed(F.lit(None), F.lit(None).cast("boolean"), shaped)
-    returning = keyed(F.col(ATTEMPT), ~F.col("success") & F.expr(retry), results)
+    def keyed(sent: Column, again: Column, own: Column, frame: DataFrame) -> DataFrame:
+        # Strings with a collation are compared by it.
+        collated = {f.name for f in keys if isinstance(f.dataType, T.StringType) and not is_plain(f.dataType)}
+        one = [F.expr(f"collation_key({quoted(name)})") if name in collated else F.col(quoted(name)) for name in key]
+        cell = F.pmod(F.xxhash64(*one), F.lit(CELLS)).cast("int").alias("__cell")
+        one = [column.alias(f"__key_{place}") for place, column in enumerate(one)]
+        return frame.select(cell, *one, sent.cast("int").alias("__sent"), again.alias("__again"), own.alias("__row"))
+
+    # One column, since each is a call for each row in Python.
+    own = F.struct(*[F.col(quoted(name)) for name in row_schema.names])
+    arriving = keyed(F.lit(None), F.lit(None).cast("boolean"), own, shaped)
+    returning = keyed(F.col(ATTEMPT), ~F.col("success") & F.expr(retry), F.lit(None).cast(row_schema), results)
     going = (
         arriving.unionByName(returning)
-        .groupBy(*[f"__key_{place}" for place in range(len(key))])
+        .groupBy("__cell")
         .transformWithState(
             _Attempts(row_schema, len(key), wait, attempts, remember),
             T.StructType([*row_schema, T.StructField(ATTEMPT, T.IntegerType())]),

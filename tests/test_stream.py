@@ -1,11 +1,14 @@
+import re
 import time
 from datetime import timedelta
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import types as T
 
 from outpour import Conversion, FirstParty, create_ledger_table, partial, run_retrying_stream, run_stream
 from outpour.errors import send_error
+from outpour.streaming import retries
 from tests.senders import accepting, logging_sender, refusing, requests_in
 
 CONTEXT = FirstParty("adv")
@@ -158,3 +161,85 @@ def test_key_of_retries_is_checked(spark, folders):
     rows = spark.readStream.schema(MEMBER).parquet(folders["in"])
     with pytest.raises(ValueError, match="nothing"):
         run_retrying_stream(rows, ["nothing"], CONTEXT, accepting, folders["out"], folders["checkpoint"])
+
+
+def test_keys_share_states(spark, folders, monkeypatch):
+    """The number of states does not grow with the keys, and each key is still followed by itself."""
+    monkeypatch.setattr(retries, "CELLS", 2)
+    ids = [f"k{n}" for n in range(40)]
+    arrive(spark, folders["in"], *ids, *ids)
+    options = {"wait": timedelta(0), "attempts": 2}
+
+    def odd_ones():
+        return lambda request: partial([(n, "BAD", None) for n, item in enumerate(request.items, 1) if re.search(r"[13579]\"", item)])
+
+    first = retrying(spark, folders, odd_ones, **options)
+    first.awaitTermination()
+    assert first.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    arrive(spark, folders["in"], "k1", "k2", "new")
+    retrying(spark, folders, accepting, **options).awaitTermination()
+    once = [(one, 1, int(one[1:]) % 2 == 0) for one in ids] + [("new", 1, True)]
+    again = [(one, 2, True) for one in ids if int(one[1:]) % 2]
+    assert attempts(spark, folders) == sorted(once + again)
+
+
+class Held:
+    """A state and its timers, in memory."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema, ttl):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class At:
+    """The time of a micro-batch, or of a timer."""
+
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.at
+
+    getExpiryTimeInMs = getCurrentProcessingTimeInMs
+
+
+def test_keys_of_a_cell_wait_and_are_forgotten_one_by_one():
+    schema = T.StructType([T.StructField("v", T.StringType())])
+    held, second = Held(), timedelta(seconds=1)
+    operator = retries._Attempts(schema, 1, 2 * second, 3, 10 * second)
+    operator.init(held)
+
+    def step(at, *rows):
+        return [tuple(row) for row in operator.handleInputRows((0,), iter(rows), At(at))]
+
+    def due(at):
+        return [tuple(row) for row in operator.handleExpiredTimer((0,), At(at), At(at))]
+
+    nan = float("nan")
+    assert step(0, (0, "a", None, None, {"v": "x"}), (0, nan, None, None, {"v": "y"}), (0, nan, None, None, {"v": "z"})) == [("x", 1), ("y", 1)]
+    assert step(1000, (0, "a", 1, True, None)) == [] and held.timers == [3000]
+    assert step(2000, (0, nan, 1, True, None), (0, "a", None, None, {"v": "w"})) == [] and held.timers == [3000, 4000]
+    assert due(3000) == [("x", 2)]
+    assert due(4000) == [("y", 2)]
+    assert step(5000, (0, "a", 2, False, None)) == []  # delivered
+    assert step(13999, (0, nan, None, None, {"v": "y"}), (0, "a", None, None, {"v": "x"})) == []
+    assert step(23998, (0, "b", None, None, {"v": "q"})) == [("q", 1)]
+    assert step(23999, (0, "a", None, None, {"v": "x"}), (0, nan, None, None, {"v": "y"})) == [("x", 1), ("y", 1)]
+    assert step(40000, (0, "a", 1, True, None)) == [] and held.value is None
