@@ -79,6 +79,8 @@ def attribute_batch(
     failed: list[tuple[int | None, str | None, str | None]], rows: int
 ) -> tuple[list[bool], list[str | None], list[str | None]]:
     """Success, error code and error message of each of ``rows`` items."""
+    if not failed:
+        return [True] * rows, [None] * rows, [None] * rows
     by_item = {number: (code, message) for number, code, message in failed if number is not None}
     general = [(code, message) for number, code, message in failed if number is None]
     fallback = general[-1] if general else None

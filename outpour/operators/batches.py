@@ -33,6 +33,7 @@ def number_batches(
     parallelism: int | None = None,
     names: tuple[str, str, str] = BATCH_COLUMNS,
     in_order: bool = False,
+    most_copies: int | None = None,
 ) -> DataFrame:
     """Add ``bucket``, ``batch_no`` (from 0) and ``item_number`` (from 1).
 
@@ -51,7 +52,8 @@ def number_batches(
     Copies of a row cannot be told apart by any hash, so they are first folded into one row with
     a count, and unfolded after they have been numbered and spread again. Columns of any type will do: maps,
     variants, strings with a collation and signed zeros are told apart by their canonical form and come back as they are. ``unique_rows=True``
-    promises that there are no copies and saves that: one shuffle instead of three.
+    promises that there are no copies and saves that: one shuffle instead of three. So does ``most_copies``, a bound of the
+    copies of any row, where it is no more than a span, which unfolding would not cut either; the numbers are the same.
 
     ``in_order`` makes the rows of a batch lie together, by item number, for a sender that reads
     them as they come.
@@ -75,13 +77,15 @@ def number_batches(
     if slices > 1 and not everywhere:
         bucket = bucket * slices + F.pmod(F.xxhash64(*forms), F.lit(slices))
     rows = df.withColumn("__numbered", F.lit(True) if only is None else F.coalesce(only, F.lit(False)))
-    if unique_rows:
+    few_copies = most_copies is not None and most_copies <= SPREAD_BATCHES * batch_size and not everywhere
+    unfolded = unique_rows or few_copies
+    if unfolded:
         rows = rows.withColumn("__copies", F.lit(1).cast("long"))
     else:
         rows = _folded(rows, df, forms)
     rows = rows.withColumn("__bucket", bucket.cast("long"))
 
-    # Rows that are said to be unique may still share a key.
+    # Rows that are said to be unique may still share a key. Copies share all of this and lie together.
     order = [*_forms(df, key, ordered=True), F.xxhash64(*forms)]
     if everywhere:
         placed = _placed_globally(rows, order, tasks)
@@ -91,10 +95,11 @@ def number_batches(
         else:
             placed = placed.withColumn("__place", F.col("__first"))
     else:
-        if parallelism is not None:
-            rows = rows.repartition(parallelism, "__bucket")
+        if parallelism is not None or not unique_rows and few_copies:
+            # As many tasks as there would be with unfolding.
+            rows = rows.repartition(tasks, "__bucket")
         window = W.partitionBy("__bucket", "__numbered").orderBy(*order)
-        if unique_rows:
+        if unfolded:
             placed = rows.withColumn("__place", F.row_number().over(window).cast("long") - 1)
         else:
             placed = _unfold(_placed(rows, window), SPREAD_BATCHES * batch_size, tasks, in_order)

@@ -50,6 +50,9 @@ _SENT_FIELDS = [
     T.StructField(_STRAYS, T.LongType()),
 ]
 
+# Statuses go back to Spark when so many rows, or characters of their texts, are there.
+_RETURNED_ROWS, _RETURNED_CHARS = 4096, 1 << 24
+
 Failure = Tuple[int | None, str | None, str | None]
 
 
@@ -138,6 +141,73 @@ def _worker_sender(token: str, factory: Callable[[], Send]) -> Send:
     return _senders[token]
 
 
+class _Statuses:
+    """Statuses on their way back to Spark, of many batches in one array.
+
+    Every array that comes back is a message of its own, which costs more than the rows of a small batch. An array
+    has some thousand rows, and texts far below what one array of them can hold.
+    """
+
+    def __init__(self) -> None:
+        self.rows, self.chars = 0, 0
+        self.success, self.codes, self.messages = [], [], []
+        self.moments, self.counts, self.held = [], [], []
+        self.stops, self.strays = {}, {}  # by row, of the few that have some
+
+    def add(
+        self,
+        rows: int,
+        places: list[int],
+        found: tuple[list, list, list] | None,
+        moment: datetime,
+        held: bool,
+        stop: str | None,
+        strays: int,
+    ) -> None:
+        """The rows of one batch: those at ``places`` have an item, and ``found`` if it was sent."""
+        for column, own in zip((self.success, self.codes, self.messages), found or [[None] * len(places)] * 3):
+            if len(places) < rows:
+                values = [None] * rows
+                for place, value in zip(places, own):
+                    values[place] = value
+                own = values
+            column.extend(own)
+        if held:
+            self.held.extend(self.rows + place for place in places)
+        if stop is not None:
+            self.stops[self.rows + places[0]] = stop
+        if strays:
+            self.strays[self.rows + places[0]] = strays
+        self.moments.append(moment)
+        self.counts.append(rows)
+        self.rows += rows
+        if found is not None:
+            self.chars += sum(len(text) for texts in found[1:] for text in texts if text)
+        self.chars += len(stop or "")
+
+    def full(self) -> bool:
+        return self.rows >= _RETURNED_ROWS or self.chars >= _RETURNED_CHARS
+
+    def array(self) -> pa.StructArray:
+        stops, held, strays = [None] * self.rows, np.zeros(self.rows, bool), np.zeros(self.rows, np.int64)
+        for row, stop in self.stops.items():
+            stops[row] = stop
+        for row, count in self.strays.items():
+            strays[row] = count
+        held[self.held] = True
+        moments = pa.array(self.moments, pa.timestamp("us", "UTC"))
+        columns = [
+            pa.array(self.success, pa.bool_()),
+            pa.array(self.codes, pa.string()),
+            pa.array(self.messages, pa.string()),
+            moments.take(pa.array(np.repeat(np.arange(len(self.counts)), self.counts))),
+            pa.array(held),
+            pa.array(stops, pa.string()),
+            pa.array(strays),
+        ]
+        return pa.StructArray.from_arrays(columns, [field.name for field in _SENT_FIELDS])
+
+
 @dataclass(frozen=True)
 class _Delivery:
     """What a task needs to know to send its batches."""
@@ -155,40 +225,33 @@ class _Delivery:
         return Request(self.path, self.base_url, self.envelopes[with_ids], items, *batch, self.scopes[with_ids])
 
     def send(
-        self, items: pa.Array, with_ids: pa.Array, batch: tuple[int, int], broken: str | None = None
-    ) -> pa.StructArray:
-        """Statuses of the rows of one batch; rows without an item get a null success.
+        self,
+        texts: list[str | None],
+        with_ids: np.ndarray,
+        batch: tuple[int | None, int],
+        to: _Statuses,
+        broken: str | None = None,
+    ) -> None:
+        """Add the statuses of the rows of one batch to ``to``; rows without an item get a null success.
 
         Nothing is sent after a fatal response, nor a batch that is ``broken``, which stops the delivery too.
         """
         moment = self.processed_at or datetime.now(timezone.utc)
-        sent = np.flatnonzero(items.is_valid())
-        success = np.full(len(items), None, dtype=object)
-        codes, messages, stops = success.copy(), success.copy(), success.copy()
-        held, strays = np.zeros(len(items), bool), np.zeros(len(items), np.int64)
-        if len(sent):
+        places = [place for place, text in enumerate(texts) if text is not None]
+        found, held, stop, strays = None, False, None, 0
+        if places:
             if broken is not None:
                 self._stop(fatal_text(None, broken, batch))
-            if self.token in _stopped:
-                held[sent] = True
-            else:
-                texts = items.drop_null().to_pylist()
-                outcome = self._outcome(self.request(texts, bool(np.asarray(with_ids)[sent].any()), batch))
+            held = self.token in _stopped
+            if not held:
+                items = texts if len(places) == len(texts) else [texts[place] for place in places]
+                outcome = self._outcome(self.request(items, bool(with_ids.any() and with_ids[places].any()), batch))
                 if outcome.kind == "fatal":
                     self._stop(fatal_text(outcome.status, outcome.message or "", batch))
-                success[sent], codes[sent], messages[sent] = _statuses(outcome, len(sent))
-                strays[sent[0]] = count_strays(outcome.failed, len(sent))
-            stops[sent[0]] = _stopped.get(self.token)
-        columns = [
-            pa.array(success, pa.bool_()),
-            pa.array(codes, pa.string()),
-            pa.array(messages, pa.string()),
-            pa.repeat(pa.scalar(moment, pa.timestamp("us", "UTC")), len(items)),
-            pa.array(held),
-            pa.array(stops, pa.string()),
-            pa.array(strays),
-        ]
-        return pa.StructArray.from_arrays(columns, [field.name for field in _SENT_FIELDS])
+                found = _statuses(outcome, len(items))
+                strays = count_strays(outcome.failed, len(items))
+            stop = _stopped.get(self.token)
+        to.add(len(texts), places, found, moment, held, stop, strays)
 
     def _stop(self, reason: str) -> None:
         _stopped.clear()
@@ -224,16 +287,24 @@ def _status_of_chunks(delivery: _Delivery):
             # Rejected rows behind the last cut wait with the others: only a partition's last request may be short.
             if len(sendable) == 0:
                 cuts.append(len(items))
-            start = 0
+            end = cuts[-1] if cuts else 0
+            texts, flags = items[:end].to_pylist(), _flags(with_ids[:end])
+            start, sent = 0, _Statuses()
             for cut in cuts:
-                part = slice(start, cut)
                 if cut > start:
-                    yield delivery.send(items[part], with_ids[part], (partition, number))
+                    delivery.send(texts[start:cut], flags[start:cut], (partition, number), sent)
                     number += 1
                 start = cut
+                if sent.full():
+                    yield sent.array()
+                    sent = _Statuses()
+            if sent.rows:
+                yield sent.array()
             items, with_ids = items[start:], with_ids[start:]
         if items is not None and len(items):
-            yield delivery.send(items, with_ids, (partition, number))
+            sent = _Statuses()
+            delivery.send(items.to_pylist(), _flags(with_ids), (partition, number), sent)
+            yield sent.array()
 
     return status
 
@@ -250,27 +321,42 @@ def _status_of_numbered(delivery: _Delivery):
             more = pa.RecordBatch.from_arrays(list(arrays), names)
             held = more if held is None else pa.concat_batches([held, more])
             starts = _run_starts(held)
-            for start, end in zip(starts, starts[1:]):
-                yield send_run(held.slice(start, end - start))
-            held = held.slice(starts[-1]) if starts else None
-            if held is not None and held["batch_no"].null_count:
-                yield send_run(held)
-                held = None
-        if held is not None and held.num_rows:
-            yield send_run(held)
-
-    def send_run(run: pa.RecordBatch) -> pa.StructArray:
-        if run["batch_no"].null_count:
-            return delivery.send(pa.nulls(run.num_rows, pa.string()), run["with_ids"], (-1, -1))
-        batch = (run["bucket"][0].as_py(), run["batch_no"][0].as_py())
-        in_order = np.array_equal(run["item_number"], np.arange(1, run.num_rows + 1))
-        together = in_order and run.num_rows <= delivery.batch_size
-        broken = None if together else "the rows of this batch are not together or not in order"
-        return delivery.send(run["items"], run["with_ids"], batch, broken)
+            # The last run may go on in the next rows; rejected rows need not wait for that.
+            end = starts[-1] if starts else 0
+            if starts and not held["batch_no"][end].is_valid:
+                end = held.num_rows
+            yield from send_runs(held.slice(0, end), [start for start in starts if start < end])
+            held = held.slice(end) if end < held.num_rows else None
+        if held is not None:
+            yield from send_runs(held, [0])
+
+    def send_runs(rows: pa.RecordBatch, starts: list[int]) -> Iterator[pa.StructArray]:
+        ends, sent = [*starts[1:], rows.num_rows], _Statuses()
+        texts, flags = rows["items"].to_pylist(), _flags(rows["with_ids"])
+        items = rows["item_number"].fill_null(0).to_numpy()
+        firsts = rows.select(["bucket", "batch_no"]).take(pa.array(starts, pa.int64()))
+        batches = zip(firsts["bucket"].to_pylist(), firsts["batch_no"].to_pylist())
+        for start, end, batch in zip(starts, ends, batches):
+            if batch[1] is None:
+                delivery.send([None] * (end - start), flags[start:end], (-1, -1), sent)
+            else:
+                in_order = items[start] == 1 and (np.diff(items[start:end]) == 1).all()
+                together = in_order and end - start <= delivery.batch_size
+                broken = None if together else "the rows of this batch are not together or not in order"
+                delivery.send(texts[start:end], flags[start:end], batch, sent, broken)
+            if sent.full():
+                yield sent.array()
+                sent = _Statuses()
+        if sent.rows:
+            yield sent.array()
 
     return status
 
 
+def _flags(with_ids: pa.Array) -> np.ndarray:
+    return with_ids.fill_null(False).to_numpy(zero_copy_only=False)
+
+
 def _run_starts(rows: pa.RecordBatch) -> list[int]:
     """Where a run of equal batch numbers starts."""
     if rows.num_rows == 0:
@@ -313,6 +399,7 @@ def attempt(
     trace_id: str | None = None,
     documented_checks: bool = False,
     processed_at: datetime | None = None,
+    most_copies: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` with their status after delivery, and with the hidden columns that ``record`` takes.
 
@@ -337,7 +424,7 @@ def attempt(
         sendable = F.size(rejection_reasons(contract, documented_checks)) == 0
         count = parallelism if isinstance(parallelism, int) else None
         ready = number_batches(
-            rows, batch_size, key, bucket, slices, unique_rows, sendable, count, _NUMBERS, in_order=True
+            rows, batch_size, key, bucket, slices, unique_rows, sendable, count, _NUMBERS, True, most_copies
         )
         extra, status_of = _NUMBERS, _status_of_numbered
 

@@ -13,6 +13,7 @@ from outpour.functions.canonical import canonical
 from outpour.operators.conform import quoted
 from outpour.operators.increment import instant
 from outpour.operators.keyfilter import KeyFilter, look_at, word_of
+from outpour.sources.session import written
 
 # Rows of a key beyond this many are dealt out to several tasks.
 HOT_ROWS = 1_000_000
@@ -79,6 +80,7 @@ def skip_delivered(
     version: str | None = None,
     since: datetime | None = None,
     seen: KeyFilter | None = None,
+    keys_first: bool = False,
 ) -> DataFrame:
     """The rows whose key has no successful result yet: an anti join against distinct keys.
 
@@ -91,6 +93,9 @@ def skip_delivered(
     keys and the time; what is shuffled of a long history is what may be wanted. It also finds heavy keys, any number of them:
     their rows are dealt out by a hash of the row, and only their delivered keys are repeated as many times.
     Rows with a null in the key match nothing and are spread over all tasks.
+
+    ``keys_first`` also writes the delivered keys that the filter leaves before the join is planned: then Spark knows how
+    few they are, and takes them to the rows instead of shuffling all rows to them.
     """
     columns = [F.col(quoted(name)) for name in key]
     hashed = key_hash_columns(rows, results, key)
@@ -104,6 +109,8 @@ def skip_delivered(
         if seen.most_rows > hot_rows:
             heavy = F.broadcast(seen.heavy(hot_rows))  # at most one row for each ``hot_rows`` rows, and MAX_WORDS
     newest = _newest(delivered, key, version)
+    if keys_first and seen is not None and seen.packed is not None:
+        newest = written(newest, "delivered-keys")
     names = [F.col(name) for name in newest.columns[: len(key)]]
     parts = F.lit(1)
     if heavy is not None:

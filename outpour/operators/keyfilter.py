@@ -43,7 +43,10 @@ def _bits(columns: list[Column]) -> Column:
 
 @dataclass(frozen=True)
 class KeyFilter:
-    """Made by ``look_at``. ``keys``: about how many different keys there are; ``metrics``: what else was asked for."""
+    """Made by ``look_at``. ``keys``: about how many different keys there are; ``metrics``: what else was asked for.
+
+    ``most_rows``: the most rows of a word; ``most_copies``: no row has more copies than this, one with a null in the key neither.
+    """
 
     words: DataFrame  # word, bits, rows, at full resolution
     packed: DataFrame | None  # group, of 64 words each
@@ -52,6 +55,7 @@ class KeyFilter:
     ranges: dict[str, tuple] = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
     most_rows: int = 0
+    most_copies: int = 0
 
     def marked(self, df: DataFrame, columns: list[Column], flag: str) -> DataFrame:
         """Adds whether the key of a row may be among those of the filter; without a filter it always may."""
@@ -112,6 +116,7 @@ def look_at(
     seen = words.agg(
         F.count("word").alias("words"),
         F.max(F.when(F.col("word").isNotNull(), F.col("rows"))).alias("most_rows"),
+        F.max("rows").alias("most_copies"),
         *[total(name).alias(name) for name, total in totals.items()],
         *[F.min(f"{name}_least").alias(f"{name}_least") for name in wide],
         *[F.max(f"{name}_most").alias(f"{name}_most") for name in wide],
@@ -133,4 +138,4 @@ def look_at(
     found = {own: (seen[f"{name}_least"], seen[f"{name}_most"]) for own, name in zip(ranged or [], names) if name in wide}
     ranges = {own: bounds for own, bounds in found.items() if bounds[0] is not None}
     metrics = {name: seen[f"__also_{name}"] for name in also}
-    return KeyFilter(words, packed, size, count, ranges, metrics, seen["most_rows"] or 0)
+    return KeyFilter(words, packed, size, count, ranges, metrics, seen["most_rows"] or 0, seen["most_copies"] or 0)

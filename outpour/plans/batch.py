@@ -115,7 +115,9 @@ def run_batch(
             read = seen.metrics
         version = "updated_at" if stamped and not missing_columns(results, ["updated_at"]) else None
         since = None if look_back is None else run_at - look_back
-        rows = skip_delivered(rows, results, skip_delivered_by, version=version, since=since, seen=seen)
+        if seen is not None:
+            options = {"most_copies": seen.most_copies} | options
+        rows = skip_delivered(rows, results, skip_delivered_by, version=version, since=since, seen=seen, keys_first=True)
     attempted = attempt(rows, context, sender_factory, **options)
     own = [] if run_id is None else [F.lit(run_id).alias(RUN_ID.name)]
     done = record(attempted, lambda sent: append_rows(sent.select("*", *own), output_table), *stamps)

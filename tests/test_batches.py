@@ -164,6 +164,21 @@ def test_shuffles(spark):
     assert plan(number_batches(df, 10, ["id"])).count("Exchange") == 3
 
 
+def test_few_copies_are_numbered_without_folding(spark):
+    """In one shuffle over as many tasks, with the same numbers; a bound that says too little changes nothing."""
+    df = spark.range(300).selectExpr("id div 3 AS id", "id % 2 AS other", "cast(null AS string) AS note")
+    bucket, only = F.expr("id div 20"), F.expr("id % 7 <> 0")
+    folded = number_batches(df, 4, ["id"], bucket, only=only)
+    few = number_batches(df, 4, ["id"], bucket, only=only, most_copies=2)
+    assert plan(few).count("Exchange") == 1 and "hashpartitioning(__bucket" in plan(few)
+    assert sorted(map(str, few.collect())) == sorted(map(str, folded.collect()))
+    hashed = [number_batches(df, 4, ["id"], 3, most_copies=most) for most in (None, 2)]
+    assert sorted(map(str, hashed[0].collect())) == sorted(map(str, hashed[1].collect()))
+    many = number_batches(df, 4, ["id"], bucket, most_copies=SPREAD_BATCHES * 4 + 1)
+    assert plan(many).count("Exchange") == 3
+    assert number_batches(df, 4, ["id"], "global", most_copies=2).filter("batch_no = 0").count() == 4
+
+
 def test_requests(spark):
     rows = [(n, "TDID" if n % 5 else "CoreID", f"v{n}", "s") for n in range(23)]
     df = spark.createDataFrame(rows, "n int, id_type string, id_value string, segment_name string")

@@ -4,7 +4,9 @@ import subprocess
 import sys
 import time
 from datetime import datetime, timezone
+from uuid import uuid4
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from outpour import (
     server_error,
     transient,
 )
+from outpour.operators import deliver as deliver_module
 from outpour.operators.batches import gather_requests, number_batches
 from outpour.operators.deliver import request_key, spread_rows
 from tests.senders import accepting, failing_first_item, logging_sender, refusing, requests_in
@@ -119,6 +122,66 @@ def test_outcomes(spark):
         assert [row[1:] for row in rows] == expected
 
 
+def delivery(send, batch_size):
+    return deliver_module._Delivery(lambda: send, uuid4().hex, "p", None, ("{}", "{}"), ("{}", "{}"), batch_size, datetime(2024, 1, 1, tzinfo=timezone.utc))
+
+
+def numbered_rows(items, batch_no, item_number, bucket=0):
+    rows = len(items)
+    numbers = [None if number is None else bucket for number in batch_no]
+    return (
+        pa.array(items, pa.string()),
+        pa.array([False] * rows),
+        pa.array(numbers, pa.int64()),
+        pa.array(batch_no, pa.int64()),
+        pa.array(item_number, pa.int32()),
+    )
+
+
+def test_small_batches_come_back_together():
+    """The statuses of many batches make one array, with rejected rows and a batch over two reads among them."""
+    requests = []
+
+    def send(request):
+        requests.append((request.bucket, request.batch_no, len(request.items)))
+        return partial([(2, "X", "second"), (9, "Y", "stray")]) if request.batch_no % 2 else ok()
+
+    places = [divmod(place, 5) for place in range(998)]
+    rows = [("i", batch, item + 1) for batch, item in places] + [(None, None, None)] * 3
+    reads = [numbered_rows(*zip(*part)) for part in (rows[:403], rows[403:])]
+    arrays = list(deliver_module._status_of_numbered(delivery(send, 5))(iter(reads)))
+    assert [len(array) for array in arrays] == [400, 601]
+    assert requests == [(0, n, 5) for n in range(199)] + [(0, 199, 3)]
+    found = [row for array in arrays for row in array.to_pylist()]
+    failed = [batch % 2 == 1 and item == 1 for batch, item in places]
+    assert [row["success"] for row in found] == [not bad for bad in failed] + [None] * 3
+    assert [row["error_message"] for row in found] == ["second" if bad else None for bad in failed] + [None] * 3
+    assert [row["__strays"] for row in found] == [int(batch % 2 == 1 and item == 0) for batch, item in places] + [0] * 3
+    assert {row["processed_timestamp"] for row in found} == {datetime(2024, 1, 1, tzinfo=timezone.utc)}
+    assert not any(row["__held"] or row["__stop"] for row in found)
+
+
+def test_arrays_that_come_back_are_bounded(monkeypatch):
+    rows = [("i", *divmod(place, 5)) for place in range(1000)]
+    read = numbered_rows(*zip(*[(text, batch, item + 1) for text, batch, item in rows]))
+    monkeypatch.setattr(deliver_module, "_RETURNED_ROWS", 100)
+    arrays = list(deliver_module._status_of_numbered(delivery(lambda request: ok(), 5))(iter([read])))
+    assert [len(array) for array in arrays] == [100] * 9 + [95, 5]  # the last batch might have gone on
+    monkeypatch.setattr(deliver_module, "_RETURNED_CHARS", 50)
+    arrays = list(deliver_module._status_of_numbered(delivery(lambda request: transient("ten chars!"), 5))(iter([read])))
+    assert [len(array) for array in arrays] == [5] * 200
+
+
+def test_a_stop_among_small_batches():
+    """Of one array: the refused batch with its status, the later ones held back, rejected rows neither."""
+    rows = [("i", 0, 1), ("i", 0, 2), ("i", 1, 1), ("i", 1, 2), (None, None, None), ("i", 2, 1)]
+    send = delivery(lambda request: fatal(401, "no") if request.batch_no == 1 else ok(), 2)
+    found = [row for array in deliver_module._status_of_numbered(send)(iter([numbered_rows(*zip(*rows))])) for row in array.to_pylist()]
+    assert [row["success"] for row in found] == [True, True, False, False, None, None]
+    assert [row["__held"] for row in found] == [False] * 5 + [True]
+    assert [row["__stop"] is not None for row in found] == [False, False, True, False, False, True]
+
+
 def test_refusal_stops_the_run(spark):
     with pytest.raises(SendError) as caught:
         push(members(spark, 5), CONTEXT, refusing, batch_size=2, parallelism="source")

@@ -120,6 +120,25 @@ def test_thousands_of_hot_keys_are_dealt_out(spark):
     assert skip_delivered(one, done, ["key"], 100).count() == 5000 and skip_delivered(one, done.selectExpr("1 key", "n", "success", "processed_timestamp"), ["key"], 100).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_few_delivered_keys_come_to_the_rows(spark, hot_rows):
+    rows = spark.range(3000).selectExpr("if(id % 10 = 0, null, id) AS key", "id").repartition(3)
+    done = spark.range(0, 30_000, 7).selectExpr("id AS key", "id % 2 = 0 AS success", "timestamp'2024-01-01' AS processed_timestamp")
+    seen = look_at(rows, [F.col("key").cast("bigint")], ranged=["key"])
+    left = skip_delivered(rows, done, ["key"], hot_rows, seen=seen, keys_first=True)
+    text = plan(left)
+    assert "LeftAnti" in text and "hashpartitioning" not in text and "SortMergeJoin" not in text
+    expected = skip_delivered(rows, done, ["key"], hot_rows)
+    assert sorted(row["id"] for row in left.collect()) == sorted(row["id"] for row in expected.collect())
+
+
+def test_bound_of_copies_counts_rows_without_a_key(spark):
+    rows = spark.range(100).selectExpr("if(id < 40, null, id) AS key")
+    seen = look_at(rows, [F.col("key")])
+    assert seen.most_copies == 40 and seen.most_rows < 5
+    assert look_at(rows.limit(0), [F.col("key")]).most_copies == 0
+
+
 def test_filter_is_as_large_as_its_keys(spark):
     few = look_at(spark.range(1000), [F.col("id")])
     assert few.size == 256 and abs(few.keys - 1000) < 30

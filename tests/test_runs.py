@@ -21,6 +21,7 @@ from outpour import (
     run_batch,
 )
 from outpour.contracts import with_updated_at
+from outpour.operators import deliver
 from outpour.operators.increment import last_mark, new_rows
 from outpour.plans import batch
 from outpour.sources.tables import append_rows, append_run, stamp_updated, visible_results
@@ -293,6 +294,25 @@ def test_results_of_a_broken_run_are_not_seen(spark, tables, monkeypatch):
     assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 2
 
 
+def test_a_run_shuffles_its_rows_once(spark, tables, monkeypatch):
+    """Few delivered keys are taken to the rows, and rows with few copies are numbered without folding them."""
+    source, results, ledger = tables
+    plans, options = [], {"skip_delivered_by": ["id_value"], "key": ["id_value"], "bucket": F.length("id_value"), "batch_size": 2}
+
+    def attempt(*args, **more):
+        attempted = deliver.attempt(*args, **more)
+        plans.append(attempted._jdf.queryExecution().executedPlan().toString())
+        return attempted
+
+    monkeypatch.setattr(batch, "attempt", attempt)
+    append_rows(members(spark, 1, 2, 3).unionByName(members(spark, 3)), source)
+    assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 4
+    append_rows(members(spark, 4), source)
+    assert run_batch(spark, CONTEXT, accepting, source, results, ledger, **options).records == 1
+    assert [text.count("hashpartitioning") for text in plans] == [1, 1]
+    assert delivered(spark, results) == ["v1", "v2", "v3", "v3", "v4"]
+
+
 def test_results_from_before_run_ids_are_seen(spark):
     old = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, run_id string")
     ledger = spark.createDataFrame([("f", "a"), ("f", None), ("f", "a")], "feed string, run_id string")
