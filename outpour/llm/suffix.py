@@ -9,8 +9,9 @@ the same document); strings do not cross documents. The suffix order of the corp
 * Dictionary. Phrases of equal content are one entry, with its earliest occurrence; all later occurrences are repeated as
   a whole, without a look at their bytes. Highly repetitive text costs one small row for each phrase.
 * Order. Strings of different entries can only be equal if the entries share a trigger. Only such entries have their
-  bytes fetched, and a suffix array of them (prefix doubling, cut at ``length`` bytes) puts equal strings side by side;
-  the earliest of each is new, the others repeat it.
+  bytes fetched. Sorted by the bytes from the trigger on, and by those before it read backwards, neighbours show how far each
+  entry agrees with another; strings that reach further are new. A suffix array of the rest (prefix doubling, cut at ``length``
+  bytes) puts equal strings side by side; the earliest of each is new, the others repeat it.
 
 Entries are dealt out by trigger; a trigger with more than ``capacity`` entries is dealt out in lots, and the earliest string of
 each lot then meets those of other lots in one more aggregate, so no task holds an unbounded group.
@@ -40,7 +41,8 @@ CAPACITY = 4096
 _PLACE_BITS = 24
 _PLACES = np.uint64((1 << _PLACE_BITS) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK = 1 << 22
+_CHUNK = 1 << 15  # bytes whose hashes stay in the processor's cache
+_ROWS = 1 << 14
 
 
 def _rolling(data: np.ndarray) -> np.ndarray:
@@ -62,52 +64,70 @@ def _rolling(data: np.ndarray) -> np.ndarray:
     return value ^ (value >> np.uint64(32))
 
 
-def parse(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of strings and trigger hash of each phrase, in order. Phrase k covers its strings' bytes."""
-    strings = len(data) - length + 1
-    if strings <= 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    whole = np.frombuffer(data, np.uint8)
-    found = []
-    for begin in range(0, strings, _CHUNK):
-        part = whole[begin : min(begin + _CHUNK, strings) + length - 1]
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and where each begins, with the end; null is empty."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    whole = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def parse(whole: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of strings and trigger hash of each phrase, in order. Phrase k covers its strings' bytes.
+
+    ``whole``: documents one after the other, which begin and end at ``bounds``. A string lies in one document.
+    """
+    none = np.zeros(0, np.int64)
+    found = [(none, none, none, none)]
+    for begin in range(0, len(whole) - length + 1, _CHUNK):
+        part = whole[begin : begin + _CHUNK + length - 1]
         hashes = _rolling(part)
         least = (hashes & ~_PLACES) | np.arange(len(hashes), dtype=np.uint64)
         wide, size = length - GRAM + 1, 1
         while size * 2 <= wide:
             least = np.minimum(least[:-size], least[size:])
             size *= 2
-        least = np.minimum(least[: len(part) - length + 1], least[wide - size :][: len(part) - length + 1])
-        place = (least & _PLACES).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        found.append((first + begin, np.diff(np.append(first, len(place))), hashes[place[first]].view(np.int64)))
-    return tuple(np.concatenate(column) for column in zip(*found))
+        strings = len(part) - length + 1
+        least = np.minimum(least[:strings], least[wide - size :][:strings])
+        docs = slice(np.searchsorted(bounds, begin, "right") - 1, np.searchsorted(bounds, begin + strings) + 1)
+        last = np.repeat(bounds[docs][1:] - length, np.diff(np.clip(bounds[docs], begin, begin + strings)))
+        inside = np.flatnonzero(np.arange(begin, begin + strings) <= last)
+        place = (least[inside] & _PLACES).astype(np.int64)
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        trigger = hashes[place[first]].view(np.int64)
+        found.append((inside[first] + begin, np.diff(first, append=len(place)), trigger, place[first] + begin))
+    start, strings, trigger, place = (np.concatenate(column) for column in zip(*found))
+    # A phrase that a chunk cut is one phrase.
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return start[first], np.add.reduceat(strings, first) if len(first) else none, trigger[first]
 
 
 def phrases(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """trigger, content, doc, start and strings of each phrase. ``docs``: doc, text."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for part in parts:
-            for k in range(part.num_rows):
-                data = (part.column(1)[k].as_py() or "").encode("utf-8", "surrogatepass")
-                start, strings, trigger = parse(data, length)
-                for lot in range(0, len(start), 1 << 17):
-                    s, n = start[lot : lot + (1 << 17)], strings[lot : lot + (1 << 17)]
-                    ends = (s + n + length - 1).tolist()
-                    digest = xxhash.xxh3_64_intdigest
-                    content = np.array([digest(data[a:b]) for a, b in zip(s.tolist(), ends)], np.uint64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(trigger[lot : lot + (1 << 17)]),
-                            pa.array(content.view(np.int64)),
-                            part.column(0).take(pa.array(np.full(len(s), k))),
-                            pa.array(s.astype(np.int32)),
-                            pa.array(n.astype(np.int32)),
-                        ],
-                        ["trigger", "content", "doc", "start", "strings"],
-                    )
+            if not part.num_rows:
+                continue
+            whole, bounds = _bytes(part.column(1))
+            data = whole.tobytes()
+            found = parse(whole, bounds, length)
+            for lot in range(0, len(found[0]), _ROWS):
+                start, strings, trigger = (column[lot : lot + _ROWS] for column in found)
+                ends = (start + strings + length - 1).tolist()
+                content = np.array([digest(data[a:b]) for a, b in zip(start.tolist(), ends)], np.uint64)
+                doc = np.searchsorted(bounds, start, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(trigger),
+                        pa.array(content.view(np.int64)),
+                        part.column(0).take(pa.array(doc)),
+                        pa.array((start - bounds[doc]).astype(np.int32)),
+                        pa.array(strings.astype(np.int32)),
+                    ],
+                    ["trigger", "content", "doc", "start", "strings"],
+                )
 
     return docs.select("doc", "text").mapInArrow(
         batches, "trigger long, content long, doc long, start int, strings int"
@@ -151,21 +171,29 @@ def new_strings(docs: DataFrame, length: int = LENGTH, capacity: int = CAPACITY)
 def _entries(parts: Iterator[pa.RecordBatch], length: int, capacity: int) -> Iterator[pa.RecordBatch]:
     """Bytes of the phrases in each document's spans."""
     for part in parts:
-        for k in range(part.num_rows):
-            doc, data = part.column(0)[k].as_py(), (part.column(1)[k].as_py() or "").encode("utf-8", "surrogatepass")
-            rows = []
-            for span in part.column(2)[k].as_py():
-                start, lots = span["start"], -(-span["entries"] // capacity)
-                lot = xxhash.xxh64_intdigest(f"{doc} {start}") % lots if lots > 1 else 0
-                piece = data[start : start + span["strings"] + length - 1]
-                rows.append((span["trigger"], lot, lots > 1, doc, start, piece))
-            names = ["trigger", "lot", "hot", "doc", "start", "data"]
-            kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()]
-            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def _by_suffix(parts: Iterator[pa.RecordBatch], length: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+        if not part.num_rows:
+            continue
+        whole, bounds = _bytes(part.column(1))
+        data, docs = whole.tobytes(), part.column(0).to_numpy()
+        spans, counts = part.column(2).flatten(), part.column(2).value_lengths().to_numpy()
+        owners = np.repeat(np.arange(part.num_rows), counts)
+        for begin in range(0, len(owners), _ROWS):
+            owner = owners[begin : begin + _ROWS]
+            trigger, entries, start, strings = (c.to_numpy() for c in spans.slice(begin, _ROWS).flatten())
+            doc, lots = docs[owner], -(-entries // capacity)
+            lot = np.zeros(len(owner), np.int32)
+            for k in np.flatnonzero(lots > 1).tolist():
+                lot[k] = xxhash.xxh64_intdigest(f"{doc[k]} {start[k]}") % int(lots[k])
+            first = bounds[owner] + start
+            ends = (first + strings + length - 1).tolist()
+            pieces = [data[a:b] for a, b in zip(first.tolist(), ends)]
+            columns = [trigger, lot, lots > 1, doc, start]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), pa.array(pieces, pa.binary())], ["trigger", "lot", "hot", "doc", "start", "data"]
+            )
+
+
+def _by_suffix(parts: Iterator[pa.RecordBatch], length: int, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """New strings of entries that come in order of trigger and lot; whole groups at a time, about ``most`` bytes."""
     held: list[pa.RecordBatch] = []
     size = 0
@@ -201,24 +229,74 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
         ranks, known = (ranks << np.uint64(32)) | later, known + step
 
 
+def _most_in_common(group: np.ndarray, contexts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many leading bytes each row has in common with that row of its group that has the most in common with it.
+
+    In sorted order that is a neighbour. Rows are filled up to one width, so bytes of zero may count where a row has ended.
+    """
+    contexts[np.arange(contexts.shape[1]) >= sizes[:, None]] = 0
+    keys = np.hstack([group.astype(">u4").view(np.uint8).reshape(-1, 4), contexts])
+    order = np.argsort(keys.view(f"S{keys.shape[1]}").ravel())
+    keys = keys[order]
+    differ = np.hstack([keys[1:] != keys[:-1], np.ones((len(keys) - 1, 1), bool)])
+    common = np.concatenate([[0], differ.argmax(axis=1), [0]])
+    most = np.empty(len(keys), np.int64)
+    most[order] = np.maximum(common[1:], common[:-1]) - 4
+    return np.clip(most, 0, sizes)
+
+
+def _shared_strings(
+    whole: np.ndarray, bounds: np.ndarray, trigger: np.ndarray, lot: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each entry's strings that may equal one of another entry of its trigger and lot, and the one after the last.
+
+    Equal strings have the trigger at the same place, so entries that share one have bytes around their triggers in common.
+    """
+    sizes = np.diff(bounds)
+    strings = sizes - length + 1
+    hashes = _rolling(whole).view(np.int64)
+    entry = np.repeat(np.arange(len(sizes)), sizes)[: len(hashes)]
+    within = np.arange(len(hashes)) - bounds[entry]
+    own = (hashes == trigger[entry]) & (within >= strings[entry] - 1) & (within <= length - GRAM)
+    found = np.flatnonzero(own)
+    at = found[np.searchsorted(found, bounds[:-1])]
+    before, group = at - bounds[:-1], _runs(trigger, lot)
+    after = np.concatenate([whole, np.zeros(length, np.uint8)])
+    back = np.concatenate([whole[::-1], np.zeros(length, np.uint8)])
+    after = np.lib.stride_tricks.sliding_window_view(after, length)[at]
+    back = np.lib.stride_tricks.sliding_window_view(back, length - GRAM)[len(whole) - at]
+    ahead = _most_in_common(group, after, sizes - before)
+    behind = _most_in_common(group, back, before)
+    return before - behind, np.minimum(before - length + ahead + 1, strings)
+
+
 def _earliest(rows: pa.RecordBatch, length: int) -> pa.RecordBatch:
-    joined = b"".join(rows.column(5).to_pylist())
-    sizes = np.fromiter(map(len, rows.column(5).to_pylist()), np.int64, rows.num_rows)
-    first, strings = np.cumsum(sizes) - sizes, sizes - length + 1
-    entry = np.repeat(np.arange(len(sizes)), strings)
+    trigger, lot, _, docs, starts = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+    whole, bounds = _bytes(rows.column(5))
+    first, strings = bounds[:-1], np.diff(bounds) - length + 1
+    entry = np.repeat(np.arange(len(strings)), strings)
     within = np.arange(len(entry)) - np.repeat(np.cumsum(strings) - strings, strings)
-    rank = suffix_ranks(np.frombuffer(joined, np.uint8), length)[first[entry] + within]
-    doc, start = rows.column(3).to_numpy()[entry], rows.column(4).to_numpy()[entry] + within
-    order = np.lexsort((start, doc, rank))
-    new = np.zeros(len(entry), bool)
-    new[order] = np.concatenate([[True], rank[order][1:] != rank[order][:-1]])
+    doc, start = docs[entry], starts[entry] + within
+    new = np.ones(len(entry), bool)
+    low, high = _shared_strings(whole, bounds, trigger, lot, length)
+    asked = np.flatnonzero((within >= low[entry]) & (within < high[entry]))
+    if len(asked):
+        # Only the bytes of strings that may be equal are put in order.
+        some = np.flatnonzero(high > low)
+        sizes = (high - low)[some] + length - 1
+        begin = np.cumsum(sizes) - sizes
+        taken = np.arange(sizes.sum()) - np.repeat(begin - (first + low)[some], sizes)
+        number = np.cumsum(high > low)[entry[asked]] - 1
+        rank = suffix_ranks(whole[taken], length)[begin[number] + within[asked] - low[entry[asked]]]
+        order = np.lexsort((start[asked], doc[asked], rank))
+        new[asked[order]] = np.concatenate([[True], rank[order][1:] != rank[order][:-1]])
     hot = rows.column(2).to_numpy(zero_copy_only=False)[entry]
     settled, open_ = np.flatnonzero(new & ~hot), np.flatnonzero(new & hot)
     begins = np.concatenate([[True], (np.diff(settled) != 1) | (np.diff(entry[settled]) != 0)]) if len(settled) else []
     begin = np.flatnonzero(begins)
     ends = np.append(begin[1:], len(settled)) - 1 if len(begin) else begin
     digests = [
-        xxhash.xxh3_128_digest(joined[a : a + length]) for a in (first[entry[open_]] + within[open_]).tolist()
+        xxhash.xxh3_128_digest(whole[a : a + length]) for a in (first[entry[open_]] + within[open_]).tolist()
     ]
     keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
     runs = settled[begin] if len(begin) else settled
